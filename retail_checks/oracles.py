@@ -389,6 +389,8 @@ _BODIES = {
     "date_attributes":
         f"select customer_id, article_id, sale_date, {_ATTRIBUTES.format('sale_date')} from stg",
     "monthly_median_price": "select * from monthly",
+    "median_by_rank":
+        "select sales_channel_id, median(price) as median_price from tx group by 1",
     "latest_median_price": "select * from latest",
     "snapshot_first_run": "select * from snap",
     "snapshot_one_change": f"""

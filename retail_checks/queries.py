@@ -277,8 +277,23 @@ def dim_date(spark, sf_dir):
 # -- prices and their history --------------------------------------------------------------------
 
 
+def monthly(spark, sf_dir, **kwargs):
+    """Monthly medians. No group can hold more rows than there are order lines, and those are
+    counted from file footers."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    return median.monthly_median_price(raw_transactions(spark, sf_dir, **kwargs), lines)
+
+
 def monthly_median_price(spark, sf_dir):
-    return median.monthly_median_price(raw_transactions(spark, sf_dir))
+    return monthly(spark, sf_dir)
+
+
+def median_by_rank(spark, sf_dir):
+    """Median price per channel, with each group spread over many tasks."""
+    return median.exact_median(
+        raw_transactions(spark, sf_dir), ["sales_channel_id"], "price", "median_price",
+        max_group_rows=1000,
+    )
 
 
 def latest_median_price(spark, sf_dir):
@@ -293,17 +308,15 @@ def snapshot_first_run(spark, sf_dir):
 
 def snapshot_one_change(spark, sf_dir):
     """Two runs over rounded prices: the second sees the sales since the first."""
-    sales = raw_transactions(spark, sf_dir, repeated_prices=True)
     checked = ("article_id", ["median_price"])
-    monthly = median.monthly_median_price(sales)
-    before = monthly.where(F.col("price_month") < F.lit(CUT).cast("date"))
+    prices = monthly(spark, sf_dir, repeated_prices=True)
+    before = prices.where(F.col("price_month") < F.lit(CUT).cast("date"))
     first = snapshot.snapshot_check(None, median.latest_price(before), *checked, RUN)
-    return snapshot.snapshot_check(first, median.latest_price(monthly), *checked, LATER)
+    return snapshot.snapshot_check(first, median.latest_price(prices), *checked, LATER)
 
 
 def snapshot_replay(spark, sf_dir):
-    sales = raw_transactions(spark, sf_dir, repeated_prices=True)
-    return snapshot.replay(median.monthly_median_price(sales))
+    return snapshot.replay(monthly(spark, sf_dir, repeated_prices=True))
 
 
 def price_history(spark, sf_dir):
@@ -506,6 +519,7 @@ QUERIES = {
     "date_spine": date_spine,
     "date_attributes": date_attributes_query,
     "monthly_median_price": monthly_median_price,
+    "median_by_rank": median_by_rank,
     "latest_median_price": latest_median_price,
     "snapshot_first_run": snapshot_first_run,
     "snapshot_one_change": snapshot_one_change,

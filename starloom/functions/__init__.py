@@ -9,11 +9,13 @@ from starloom.functions.calendar import (
     utc_now,
 )
 from starloom.functions.keys import scd_id, surrogate_key
+from starloom.functions.rows import known_rows
 
 __all__ = [
     "date_attributes",
     "date_spine",
     "in_month",
+    "known_rows",
     "month_bounds",
     "month_label",
     "month_start",

@@ -52,14 +52,24 @@ def unique_combination(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child keys without a parent; a null key passes. Each key is counted before the join."""
+    """Child keys without a parent; a null key passes.
+
+    Both sides are reduced to one row per key first, so no key is large in the join. It is an
+    outer join on purpose: Spark would move an anti join below the counting, onto the raw rows.
+    """
     keys = (
         child.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("from_field"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    parents = parent.select(F.col(field).alias("to_field"))
-    return keys.join(parents, F.col("from_field") == F.col("to_field"), "left_anti")
+    parents = (
+        parent.select(F.col(field).alias("to_field")).distinct().withColumn("found", F.lit(True))
+    )
+    return (
+        keys.join(parents, F.col("from_field") == F.col("to_field"), "left")
+        .where(F.col("found").isNull())
+        .select("from_field", "n_records")
+    )
 
 
 def accepted_values(rows: DataFrame, column: str, values: list) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from starloom.functions import month_bounds, utc_now
 from starloom.operators import marts, median, quality, snapshot, staging
 from starloom.schemas import DATASETS, SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO
-from starloom.sinks.landing import LOAD_MONTH, Landing
-from starloom.sinks.warehouse import LAYERS, VERSION, Warehouse
+from starloom.sinks.landing import LOAD_MONTH, Landing, loaded_months
+from starloom.sinks.warehouse import LAYERS, VERSION, Warehouse, write_partitioned
 from starloom.sources import csv_files, seeds
 
 SNAPSHOT = "snap_article_price"
@@ -69,12 +69,6 @@ _BUILT = "starloom.built."
 # -- month by month ------------------------------------------------------------------------------
 
 
-def _loaded_months(w: Warehouse) -> dict[str, str]:
-    """Month -> folder its rows lie in. Every load of a month uses a new folder."""
-    specs = w.partitions("raw", "transactions")
-    return {s.split("=", 1)[1]: w.partition_location("raw", "transactions", s) for s in specs}
-
-
 def _refresh_months(
     w: Warehouse,
     layer: str,
@@ -85,7 +79,7 @@ def _refresh_months(
     run_ts: datetime,
     months: list[str] | None = None,
 ) -> dict[str, str]:
-    """Rebuild the months of a derived table whose landing folder changed since the last build.
+    """Rebuild the months of a derived table that were loaded again since its last build.
 
     `months` rebuilds exactly those instead. Months that no load touched would come out the same,
     so they are neither read nor written. Returns the loaded months.
@@ -93,14 +87,14 @@ def _refresh_months(
     w.create_partitioned(
         layer, table, schema, T.StructType([T.StructField(partition, T.DateType())])
     )
-    loaded = _loaded_months(w)
+    loaded = loaded_months(w)
     built = w.properties(layer, table)
     if months is None:
-        months = [m for m, folder in loaded.items() if built.get(_BUILT + m) != folder]
+        months = [m for m, run in loaded.items() if built.get(_BUILT + m) != run]
     if months:
         rows = w.table("raw", "transactions").where(F.col(LOAD_MONTH).isin(months))
         folder = f"{w.root}/{layer}/builds/{table}/{w.new_run(run_ts)}"
-        build(rows).write.partitionBy(partition).parquet(folder)
+        write_partitioned(build(rows), partition, folder)
         w.swap_partitions(layer, table, folder)
         w.set_properties(layer, table, {_BUILT + m: loaded[m] for m in months if m in loaded})
     return loaded
@@ -132,7 +126,9 @@ def _refresh_monthly_prices(w: Warehouse, run_ts: datetime) -> DataFrame:
     """Median price per article and month, recomputed only for months that were loaded again."""
 
     def build(landing: DataFrame) -> DataFrame:
-        monthly = median.monthly_median_price(staging.raw_transactions(landing))
+        # Row counts come from file footers. No article can sell more than its month did.
+        largest = landing.groupBy(LOAD_MONTH).count().agg(F.max("count")).first()[0]
+        monthly = median.monthly_median_price(staging.raw_transactions(landing), largest)
         return monthly.hint("rebalance", F.col("price_month"))
 
     loaded = _refresh_months(
@@ -159,12 +155,8 @@ def _publish_snapshot(w: Warehouse, rows: DataFrame, run: str, previous: str) ->
     """
     folder = f"{w.root}/stg/builds/{_SNAPSHOT_DATA}/{run}_{w.new_run(utc_now())}"
     state = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
-    (
-        rows.withColumn("state", state)
-        .hint("rebalance", F.col("state"))
-        .write.partitionBy("state")
-        .parquet(folder)
-    )
+    staged = rows.withColumn("state", state).hint("rebalance", F.col("state"))
+    write_partitioned(staged, "state", folder)
     w.swap_partitions("stg", _SNAPSHOT_DATA, folder, within=f"run={run}")
     w.create_view(
         "stg",
@@ -215,7 +207,7 @@ def build_snapshot(w: Warehouse, run_ts: datetime | None = None) -> None:
 
 def build_snapshot_history(w: Warehouse) -> None:
     """First build of the snapshot as if it had run after each loaded month, in one pass."""
-    last = max(_loaded_months(w))
+    last = max(loaded_months(w))
     run_ts = datetime.combine(month_bounds(last)[0], datetime.min.time())
     run = _run_id(run_ts)
     if _begin_snapshot(w, run):
@@ -229,10 +221,8 @@ def build_snapshot_history(w: Warehouse) -> None:
 
 def build_seeds(w: Warehouse, run_ts: datetime | None = None) -> None:
     run_ts = run_ts or utc_now()
-    w.replace_table("dwh", "seed_age_bands", seeds.age_bands(w.spark).coalesce(1), run_ts)
-    w.replace_table(
-        "dwh", "seed_sales_channels", seeds.sales_channels(w.spark).coalesce(1), run_ts
-    )
+    w.replace_table("dwh", "seed_age_bands", seeds.age_bands(w.spark), run_ts)
+    w.replace_table("dwh", "seed_sales_channels", seeds.sales_channels(w.spark), run_ts)
 
 
 def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> None:

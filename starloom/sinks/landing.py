@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions import in_month, month_bounds, month_label, month_start, timestamp, utc_now
+from starloom.functions import (
+    in_month,
+    known_rows,
+    month_bounds,
+    month_label,
+    month_start,
+    timestamp,
+    utc_now,
+)
 from starloom.schemas import (
     DATASETS,
     DIMENSIONS,
@@ -17,9 +25,11 @@ from starloom.schemas import (
     TRANSACTIONS,
     dimension,
 )
-from starloom.sinks.warehouse import Warehouse
+from starloom.sinks.warehouse import Warehouse, write_partitioned
+from starloom.sources import files
 
 LOAD_MONTH = "load_month"
+_LOADED = "starloom.loaded."
 _LANDED = T.StructType(
     TRANSACTIONS.fields + [T.StructField(INGESTION_TS, T.TimestampNTZType())]
 )
@@ -35,6 +45,13 @@ def list_months(transactions: DataFrame) -> DataFrame:
     )
 
 
+def loaded_months(w: Warehouse) -> dict[str, str]:
+    """Each month in the landing table, with the load run its rows come from."""
+    noted = w.properties("raw", "transactions")
+    months = [spec.split("=", 1)[1] for spec in w.partitions("raw", "transactions")]
+    return {month: noted[_LOADED + month] for month in months}
+
+
 class Landing:
     """Loads Parquet files from `parquet_dir` into the raw layer of a warehouse.
 
@@ -81,7 +98,7 @@ class Landing:
             folder = self._run_folder(run_ts)
             rows = self._transactions().where(in_month("t_dat", month))
             self._stage(rows, run_ts, folder)
-            if not self.warehouse.swap_partitions("raw", "transactions", folder):
+            if not self._publish(folder):
                 self.warehouse.drop_partitions("raw", "transactions", [f"{LOAD_MONTH}={month}"])
             n = self.month_rows(month)
         except Exception:
@@ -97,8 +114,7 @@ class Landing:
         try:
             folder = self._run_folder(run_ts)
             self._stage(self._transactions().where(F.col("t_dat").isNotNull()), run_ts, folder)
-            published = self.warehouse.swap_partitions("raw", "transactions", folder)
-            months = [spec.split("=", 1)[1] for spec in published]
+            months = self._publish(folder)
             # Counted from file footers: only the partition column is read.
             counts = (
                 self.warehouse.table("raw", "transactions")
@@ -148,18 +164,30 @@ class Landing:
         The rebalance hint lets Spark cut a month that outgrows one task into several and merge
         months that are tiny, so file sizes do not depend on how sales spread over months.
         """
-        (
+        staged = (
             rows.withColumn(INGESTION_TS, timestamp(run_ts))
             .withColumn(LOAD_MONTH, month_label("t_dat"))
             .hint("rebalance", F.col(LOAD_MONTH))
-            .write.partitionBy(LOAD_MONTH)
-            .parquet(folder)
         )
+        write_partitioned(staged, LOAD_MONTH, folder)
+
+    def _publish(self, folder: str) -> list[str]:
+        """Publish the staged months and return them.
+
+        The table first notes which run each month comes from, so that derived tables can tell
+        which months were loaded since they were built. A load that dies in between makes them
+        rebuild a month they need not have; it cannot make them miss one.
+        """
+        months = [s.split("=", 1)[1] for s in files.subfolders(self.spark, folder) if "=" in s]
+        self.warehouse.set_properties(
+            "raw", "transactions", {_LOADED + month: folder for month in months}
+        )
+        self.warehouse.swap_partitions("raw", "transactions", folder)
+        return months
 
     def _log(self, entries: list[tuple]) -> None:
         """Append audit rows: table, partition, rows, loaded_at, status."""
         name = self.warehouse.name("raw", "load_log")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOAD_LOG)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
-        rows = self.spark.createDataFrame(entries, LOAD_LOG).coalesce(1)
-        rows.write.insertInto(name)
+        known_rows(self.spark, entries, LOAD_LOG).write.insertInto(name)

@@ -42,7 +42,8 @@ def convert(
     """
     if files.exists(spark, f"{dst}/_SUCCESS") and not force:
         return 0
-    read_csv(spark, src, schema, multi_line).write.mode("overwrite").parquet(dst)
+    rows = read_csv(spark, src, schema, multi_line)
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(dst)
     return spark.read.schema(schema).parquet(dst).count()
 
 

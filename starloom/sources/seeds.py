@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions import known_rows
 from starloom.schemas import AGE_BAND_ROWS, AGE_BANDS, SALES_CHANNEL_ROWS, SALES_CHANNELS
 from starloom.sources.csv_files import read_csv
 
@@ -15,11 +15,7 @@ def _lookup(
 ) -> DataFrame:
     if csv_path is not None:
         return read_csv(spark, csv_path, schema)
-    records = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*records)))
+    return known_rows(spark, rows, schema)
 
 
 def age_bands(spark: SparkSession, csv_path: str | None = None) -> DataFrame:
