@@ -1,0 +1,72 @@
+"""Medians: every path gives the same, exact result."""
+
+import random
+import statistics
+from datetime import date
+
+import pytest
+
+from starloom.operators import median
+
+
+def sales(spark, rows):
+    return spark.createDataFrame(rows, "k STRING, m STRING, price DOUBLE")
+
+
+def values(df):
+    return {(r.k, r.m): r.median for r in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def random_rows():
+    rng = random.Random(7)
+    rows = []
+    for k, size in [("one", 1), ("two", 2), ("even", 100), ("odd", 101), ("hot", 4000)]:
+        for _ in range(size):
+            rows.append((k, "m", rng.choice([rng.random(), 0.25, 0.5, -1.5])))
+    rows += [("hot", "n", 1.0), ("nulls", "m", None), ("nulls", "m", None), ("even", "m", None)]
+    rows += [(None, "m", 2.0), (None, "m", 4.0), ("same", "m", 3.0), ("same", "m", 3.0)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def expected(random_rows):
+    groups = {}
+    for k, m, price in random_rows:
+        groups.setdefault((k, m), []).extend([] if price is None else [price])
+    return {g: statistics.median(v) if v else None for g, v in groups.items()}
+
+
+@pytest.mark.parametrize(
+    "limits",
+    [
+        {"at_most": 10_000},
+        {},
+        {"max_group_rows": 50},
+        {"max_group_rows": 0},
+        {"max_group_rows": 0, "max_broadcast_groups": 0},
+        {"max_group_rows": 50, "max_broadcast_groups": 0},
+    ],
+)
+def test_paths_agree(spark, random_rows, expected, limits):
+    rows = sales(spark, random_rows).repartition(7)
+    out = values(median.exact_median(rows, ["k", "m"], "price", "median", **limits))
+    assert out.keys() == expected.keys()
+    for group, value in expected.items():
+        if value is None:
+            assert out[group] is None
+        else:
+            assert out[group] == pytest.approx(value, abs=1e-15)
+
+
+def test_latest_month_wins(spark):
+    monthly = spark.createDataFrame(
+        [("a", date(2019, 1, 1), 1.0), ("a", date(2019, 3, 1), None), ("b", None, 5.0),
+         ("c", None, 5.0), ("c", date(2019, 1, 1), 6.0)],
+        "article_id STRING, price_month DATE, median_price DOUBLE",
+    )
+    out = {r.article_id: (r.price_month, r.median_price)
+           for r in median.latest_price(monthly).collect()}
+    assert out == {
+        "a": (date(2019, 3, 1), None), "b": (None, 5.0), "c": (date(2019, 1, 1), 6.0),
+    }

@@ -1,0 +1,91 @@
+"""Change tracking, run by run and in closed form."""
+
+import random
+from datetime import date, datetime
+
+from starloom.operators import median, snapshot
+from starloom.schemas import SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO
+
+T1, T2, T3 = (datetime(2019, m, 1) for m in (1, 2, 3))
+SCHEMA = "article_id STRING, price_month DATE, median_price DOUBLE"
+JAN, FEB = date(2019, 1, 1), date(2019, 2, 1)
+
+
+def check(spark, previous, rows, run_ts):
+    source = spark.createDataFrame(rows, SCHEMA)
+    return snapshot.snapshot_check(previous, source, "article_id", ["median_price"], run_ts)
+
+
+def versions(df):
+    key = ["article_id", "price_month", "median_price", VALID_FROM, VALID_TO]
+    return sorted((tuple(r) for r in df.select(*key).collect()), key=str)
+
+
+def test_first_run_opens_everything(spark):
+    out = check(spark, None, [("a", JAN, 1.0)], T1)
+    assert versions(out) == [("a", JAN, 1.0, T1, None)]
+    row = out.first()
+    assert row[UPDATED_AT] == T1
+    assert len(row[SCD_ID]) == 32
+
+
+def test_unchanged_row_is_frozen(spark):
+    """The month is not compared, so it keeps the value of the first run."""
+    first = check(spark, None, [("a", JAN, 1.0)], T1)
+    assert versions(check(spark, first, [("a", FEB, 1.0)], T2)) == versions(first)
+
+
+def test_change_closes_and_opens(spark):
+    first = check(spark, None, [("a", JAN, 1.0)], T1)
+    out = check(spark, first, [("a", FEB, 2.0)], T2)
+    assert versions(out) == [("a", JAN, 1.0, T1, T2), ("a", FEB, 2.0, T2, None)]
+    closed = out.where(f"{VALID_TO} IS NOT NULL").first()
+    assert closed[UPDATED_AT] == T1
+
+
+def test_new_key_and_vanished_key(spark):
+    first = check(spark, None, [("a", JAN, 1.0)], T1)
+    out = check(spark, first, [("b", FEB, 2.0)], T2)
+    assert versions(out) == [("a", JAN, 1.0, T1, None), ("b", FEB, 2.0, T2, None)]
+
+
+def test_null_is_a_value(spark):
+    first = check(spark, None, [("a", JAN, None), ("b", JAN, 1.0)], T1)
+    second = check(spark, first, [("a", FEB, None), ("b", FEB, None)], T2)
+    assert versions(second) == [
+        ("a", JAN, None, T1, None), ("b", JAN, 1.0, T1, T2), ("b", FEB, None, T2, None),
+    ]
+    third = check(spark, second, [("a", FEB, 3.0), ("b", FEB, None)], T3)
+    assert len(versions(third)) == 4
+
+
+def test_closed_rows_never_change(spark):
+    first = check(spark, None, [("a", JAN, 1.0)], T1)
+    second = check(spark, first, [("a", FEB, 2.0)], T2)
+    third = check(spark, second, [("a", FEB, 1.0)], T3)
+    assert versions(third) == sorted(
+        [("a", JAN, 1.0, T1, T2), ("a", FEB, 2.0, T2, T3), ("a", FEB, 1.0, T3, None)], key=str
+    )
+
+
+def test_closed_form_equals_run_by_run(spark):
+    rng = random.Random(3)
+    months = [date(2019, m, 1) for m in range(1, 7)]
+    monthly = [
+        (f"a{i}", month, rng.choice([1.0, 2.0, None]))
+        for i in range(30) for month in months if rng.random() < 0.6
+    ]
+    table = spark.createDataFrame(monthly, SCHEMA).cache()
+    previous = None
+    for month in months:
+        seen = table.where(table.price_month <= month)
+        source = median.latest_price(seen)
+        out = snapshot.snapshot_check(
+            previous, source, "article_id", ["median_price"],
+            datetime.combine(month, datetime.min.time()),
+        )
+        columns = out.columns
+        previous = spark.createDataFrame(out.collect(), out.schema)
+    replayed = snapshot.replay(table).select(*columns)
+    assert sorted(map(str, replayed.collect())) == sorted(map(str, previous.collect()))
+    table.unpersist()
