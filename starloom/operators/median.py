@@ -12,9 +12,9 @@ from starloom.functions import month_start
 # A group of up to this many rows is ranked by one task, which sorts and spills it. Larger groups
 # are cut into runs of values that many tasks share.
 MAX_GROUP_ROWS = 10_000_000
-# The list of such large groups is broadcast only while it is itself shorter than this.
-MAX_BROADCAST_GROUPS = 100_000
-# Beyond that, rows and group list are joined on the group and one of this many salts.
+# At most this many large groups are listed on the driver and broadcast. If there are more, rows
+# and groups are joined on the group and one of this many salts.
+MAX_LISTED_GROUPS = 10_000
 SALTS = 64
 
 
@@ -25,7 +25,7 @@ def exact_median(
     alias: str,
     at_most: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
-    max_broadcast_groups: int = MAX_BROADCAST_GROUPS,
+    max_listed_groups: int = MAX_LISTED_GROUPS,
 ) -> DataFrame:
     """Median of `value` per `keys`; nulls do not count, and a group of nulls has a null median.
 
@@ -35,15 +35,27 @@ def exact_median(
     """
     if at_most is not None and at_most <= max_group_rows:
         return _median_by_group(rows, keys, value, alias)
-    large = rows.groupBy(*keys).count().where(F.col("count") > max_group_rows).select(*keys)
-    n_large = large.count()
-    if n_large == 0:
+    large = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"), F.count(value).alias("__values"))
+        .where(F.col("__rows") > max_group_rows)
+    )
+    listed = large.limit(max_listed_groups + 1).collect()
+    if not listed:
         return _median_by_group(rows, keys, value, alias)
-    few = n_large <= max_broadcast_groups
-    usual = _match(rows, large, keys, value, "left_anti", few)
-    heavy = _match(rows, large, keys, value, "left_semi", few)
-    return _median_by_group(usual, keys, value, alias).unionByName(
-        median_by_rank(heavy, keys, value, alias, few)
+    few = len(listed) <= max_listed_groups
+    if few:
+        large = rows.sparkSession.createDataFrame(listed, large.schema)
+    groups = large.select(*keys)
+    usual = _match(rows, groups, keys, value, "left_anti", few)
+    heavy = _match(rows, groups, keys, value, "left_semi", few)
+    without_values = large.where("__values = 0").select(
+        *keys, F.lit(None).cast("double").alias(alias)
+    )
+    return (
+        _median_by_group(usual, keys, value, alias)
+        .unionByName(median_by_rank(heavy, keys, value, alias, few))
+        .unionByName(without_values)
     )
 
 
@@ -101,7 +113,7 @@ def _match(
 def median_by_rank(
     rows: DataFrame, keys: list[str], value: str, alias: str, few: bool = True
 ) -> DataFrame:
-    """The same median with every group spread over many tasks.
+    """The same median with every group spread over many tasks; groups of nulls are left out.
 
     1. Count each distinct value per group; repeated values collapse before the shuffle.
     2. Range-partition on (group, value) and sum the counts per group and partition. This cuts
@@ -109,8 +121,7 @@ def median_by_rank(
     3. Running totals over those few runs tell which one or two hold the middle ranks.
     4. Only the values inside those runs are ranked one by one.
     """
-    weights = _weights(rows, keys, value)
-    counted = weights.where(F.col(value).isNotNull())
+    counted = _weights(rows.where(F.col(value).isNotNull()), keys, value)
 
     runs = (
         counted.repartitionByRange(*keys, value)
@@ -150,16 +161,9 @@ def median_by_rank(
         holds = (F.col("__from") <= F.col(rank)) & (F.col(rank) < F.col("__to"))
         return F.max(F.when(holds, F.col(value)))
 
-    medians = ranked.groupBy(*keys).agg(
+    return ranked.groupBy(*keys).agg(
         (value_at("__rank_low") * 0.5 + value_at("__rank_high") * 0.5).alias(alias)
     )
-    only_nulls = (
-        weights.groupBy(*keys)
-        .agg(F.count(value).alias("__values"))
-        .where("__values = 0")
-        .select(*keys, F.lit(None).cast("double").alias(alias))
-    )
-    return medians.unionByName(only_nulls)
 
 
 def monthly_median_price(raw_transactions: DataFrame, at_most: int | None = None) -> DataFrame:

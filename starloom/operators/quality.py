@@ -17,6 +17,8 @@ from starloom.schemas import INGESTION_TS
 
 # Fixed value: age at which a landing table counts as stale.
 FRESHNESS = timedelta(hours=48)
+# At most this many repeated hashes are brought to the driver and put into a filter.
+MAX_LISTED_HASHES = 10_000
 
 
 def _outside(
@@ -45,7 +47,17 @@ def unique(rows: DataFrame, column: str) -> DataFrame:
 
 
 def unique_combination(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Column combinations that occur more than once; nulls group together."""
+    """Column combinations that occur more than once; nulls group together.
+
+    Rows are first counted by a 64-bit hash of the columns, which shuffles a few bytes per row
+    instead of all columns. Only rows whose hash repeats can fail, so only those are grouped by
+    their columns. If too many hashes repeat to be listed, all rows are.
+    """
+    hashed = F.xxhash64(*columns)
+    repeated = rows.groupBy(hashed.alias("h")).count().where("count > 1").select("h")
+    listed = [r["h"] for r in repeated.limit(MAX_LISTED_HASHES + 1).collect()]
+    if len(listed) <= MAX_LISTED_HASHES:
+        rows = rows.where(hashed.isin(listed)) if listed else rows.limit(0)
     return (
         rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
     )

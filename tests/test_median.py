@@ -44,8 +44,8 @@ def expected(random_rows):
         {},
         {"max_group_rows": 50},
         {"max_group_rows": 0},
-        {"max_group_rows": 0, "max_broadcast_groups": 0},
-        {"max_group_rows": 50, "max_broadcast_groups": 0},
+        {"max_group_rows": 0, "max_listed_groups": 0},
+        {"max_group_rows": 50, "max_listed_groups": 0},
     ],
 )
 def test_paths_agree(spark, random_rows, expected, limits):

@@ -34,6 +34,17 @@ def test_unique_combination_groups_nulls(rows):
     assert out(quality.unique_combination(rows.where("k IS NOT NULL"), ["k", "v"])) == []
 
 
+def test_unique_combination_with_many_repeats(rows, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_LISTED_HASHES", 0)
+    assert out(quality.unique_combination(rows, ["k", "v"])) == [(None, 1, 2)]
+
+
+def test_unique_combination_tells_equal_hashes_apart(spark):
+    """Nulls do not enter the hash, so these two rows share one."""
+    rows = spark.sql("SELECT * FROM VALUES ('a', NULL), (NULL, 'a') AS t(k, v)")
+    assert out(quality.unique_combination(rows, ["k", "v"])) == []
+
+
 def test_relationships_pass_null_keys(rows, spark):
     parents = spark.sql("SELECT * FROM VALUES ('b'), ('b'), (NULL) AS p(id)")
     assert out(quality.relationships(rows, "k", parents, "id")) == [("a", 2)]
