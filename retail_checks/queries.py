@@ -134,13 +134,9 @@ def csv_to_parquet(spark, sf_dir):
     csv_files.convert_all(spark, folder)
     articles = spark.read.parquet(f"{folder}/parquet/articles.parquet")
     sold = spark.read.parquet(f"{folder}/parquet/transactions_train.parquet")
-    buyers = spark.read.parquet(f"{folder}/parquet/customers.parquet")
     lines = sold.groupBy("article_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    n_customers = buyers.agg(F.count(F.lit(1)).alias("n_customers"))
-    return (
-        articles.select("article_id", "prod_name", "detail_desc")
-        .join(lines, "article_id", "left")
-        .join(F.broadcast(n_customers))
+    return articles.select("article_id", "prod_name", "detail_desc").join(
+        lines, "article_id", "left"
     )
 
 

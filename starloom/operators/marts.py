@@ -11,7 +11,6 @@ from starloom.functions import (
     date_attributes,
     date_spine,
     in_month,
-    month_bounds,
     month_start,
     surrogate_key,
 )
@@ -146,10 +145,6 @@ def sales_between(fact: DataFrame, start: date, end: date) -> DataFrame:
     )
 
 
-def sales_of_month(fact: DataFrame, month: str) -> DataFrame:
-    return sales_between(fact, *month_bounds(month))
-
-
 def star_sales_by_month_band_channel(
     fact: DataFrame, dates: DataFrame, customers: DataFrame, channels: DataFrame
 ) -> DataFrame:

@@ -37,10 +37,10 @@ def convert(
 ) -> int:
     """Write one CSV as Parquet and return its row count; 0 if the target is already complete.
 
-    A target counts as present only once its job has committed, so a broken run is redone. The
-    count comes from the written footers and is right even when tasks were retried.
+    What a broken run left is not complete and is written again. The count comes from the written
+    files, so it is right even when tasks were retried.
     """
-    if files.exists(spark, f"{dst}/_SUCCESS") and not force:
+    if files.is_written(spark, dst) and not force:
         return 0
     rows = read_csv(spark, src, schema, multi_line)
     rows.write.mode("overwrite").option("compression", "zstd").parquet(dst)

@@ -11,9 +11,15 @@ def _resolve(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), location
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a file, or a folder that some job has finished writing, is at this path."""
     system, location = _resolve(spark, path)
-    return system.exists(location)
+    if not system.exists(location):
+        return False
+    if system.getFileStatus(location).isFile():
+        return True
+    names = {s.getPath().getName() for s in system.listStatus(location)}
+    return "_SUCCESS" in names or bool(names) and "_temporary" not in names
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -108,6 +108,16 @@ def test_unchanged_months_are_not_rebuilt(built):
     assert w.partition_location("dwh", "fct_sales_months", "sale_month=2019-02-01") != location
 
 
+def test_build_without_any_sale(warehouse, parquet_dir):
+    landing = Landing(warehouse, parquet_dir)
+    reports = build.run_month(landing, "2018-01", RUN)
+    assert {r.status for r in reports[0].collect()} == {"pass"}
+    assert warehouse.table("dwh", "fct_sales").count() == 0
+    assert {r.current_price for r in warehouse.table("dwh", "dim_article").collect()} == {None}
+    stale = {r.source_name: r.status for r in reports[1].collect()}
+    assert stale == {"transactions": "warn", "articles": "pass", "customers": "pass"}
+
+
 def test_second_run_tracks_the_change(spark, built, parquet_dir):
     landing, _ = built
     w = landing.warehouse
