@@ -8,7 +8,7 @@ from starloom.functions.calendar import (
     timestamp,
     utc_now,
 )
-from starloom.functions.keys import scd_id, surrogate_key
+from starloom.functions.keys import scd_id, surrogate_key, surrogate_key_sql
 from starloom.functions.rows import known_rows
 
 __all__ = [
@@ -21,6 +21,7 @@ __all__ = [
     "month_start",
     "scd_id",
     "surrogate_key",
+    "surrogate_key_sql",
     "timestamp",
     "utc_now",
 ]

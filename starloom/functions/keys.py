@@ -11,17 +11,19 @@ KEY_SEPARATOR = "-"
 SCD_SEPARATOR = "|"
 
 
-def _column(value: str | Column) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def surrogate_key_sql(*columns: str) -> str:
+    """SQL text of a surrogate key, for views."""
+    texts = ", ".join(f"coalesce(cast(`{c}` as string), '{NULL_KEY}')" for c in columns)
+    return f"md5(concat_ws('{KEY_SEPARATOR}', {texts}))"
 
 
-def surrogate_key(*parts: str | Column) -> Column:
+def surrogate_key(*columns: str) -> Column:
     """md5 over the text of one or more natural key columns."""
-    texts = [F.coalesce(_column(p).cast("string"), F.lit(NULL_KEY)) for p in parts]
-    return F.md5(texts[0] if len(texts) == 1 else F.concat_ws(KEY_SEPARATOR, *texts))
+    return F.expr(surrogate_key_sql(*columns))
 
 
 def scd_id(*parts: str | Column) -> Column:
     """md5 that identifies one version row of a change-tracked table."""
-    texts = [F.coalesce(_column(p).cast("string"), F.lit("")) for p in parts]
+    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
+    texts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
     return F.md5(F.concat_ws(SCD_SEPARATOR, *texts))

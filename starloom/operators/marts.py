@@ -13,6 +13,7 @@ from starloom.functions import (
     in_month,
     month_start,
     surrogate_key,
+    surrogate_key_sql,
 )
 from starloom.schemas import VALID_FROM, VALID_TO
 
@@ -85,16 +86,21 @@ def dim_article(articles: DataFrame, snapshot: DataFrame) -> DataFrame:
     )
 
 
+# One row per article and price version. Kept as expressions because the warehouse serves it as a
+# view: the snapshot already stores these rows, and closed ones never change.
+PRICE_HISTORY = [
+    surrogate_key_sql("article_id", VALID_FROM) + " as price_version_sk",
+    "article_id",
+    "median_price",
+    "price_month",
+    f"{VALID_FROM} as valid_from",
+    f"{VALID_TO} as valid_to",
+    f"{VALID_TO} is null as is_current",
+]
+
+
 def dim_article_price_history(snapshot: DataFrame) -> DataFrame:
-    return snapshot.select(
-        surrogate_key("article_id", VALID_FROM).alias("price_version_sk"),
-        "article_id",
-        "median_price",
-        "price_month",
-        F.col(VALID_FROM).alias("valid_from"),
-        F.col(VALID_TO).alias("valid_to"),
-        F.col(VALID_TO).isNull().alias("is_current"),
-    )
+    return snapshot.selectExpr(*PRICE_HISTORY)
 
 
 def sales_grain(transactions: DataFrame, month: str | None = None) -> DataFrame:

@@ -178,6 +178,15 @@ def _run_of(spec: str) -> str:
     return spec.split("/", 1)[0].split("=", 1)[1]
 
 
+def _open_rows(w: Warehouse) -> DataFrame:
+    """Open versions of the last published run; reads only their partition."""
+    last = w.properties("stg", SNAPSHOT)[VERSION]
+    rows = w.table("stg", _SNAPSHOT_DATA)
+    return rows.where((F.col("run") == last) & (F.col("state") == "open")).select(
+        *_SNAPSHOT_SCHEMA.fieldNames()
+    )
+
+
 def _begin_snapshot(w: Warehouse, run: str) -> str:
     """Check that runs move forward in time and drop what a run that died left behind."""
     w.create_partitioned("stg", _SNAPSHOT_DATA, _SNAPSHOT_SCHEMA, _SNAPSHOT_PARTS)
@@ -196,9 +205,8 @@ def build_snapshot(w: Warehouse, run_ts: datetime | None = None) -> None:
     previous = _begin_snapshot(w, run)
     source = median.latest_price(_refresh_monthly_prices(w, run_ts))
     if previous:
-        open_rows = w.table("stg", SNAPSHOT).where(F.col(VALID_TO).isNull())
         rows = snapshot.changed_versions(
-            open_rows, source, "article_id", ["median_price"], run_ts
+            _open_rows(w), source, "article_id", ["median_price"], run_ts
         )
     else:
         rows = snapshot.open_versions(source, "article_id", run_ts)
@@ -235,7 +243,6 @@ def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> Non
         for view, (source, columns) in staging.STG_VIEWS.items():
             w.create_view("stg", view, columns, w.name("raw", source))
     elif layer == "dwh":
-        snap = w.table("stg", SNAPSHOT)
         articles, customers = w.table("stg", "stg_articles"), w.table("stg", "stg_customers")
         bands = w.table("dwh", "seed_age_bands")
         channels = w.table("dwh", "seed_sales_channels")
@@ -243,10 +250,12 @@ def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> Non
             "dim_date": marts.dim_date(w.spark).coalesce(1),
             "dim_channel": marts.dim_channel(channels),
             "dim_customer": marts.dim_customer(customers, bands),
-            "dim_article": marts.dim_article(articles, snap),
-            "dim_article_price_history": marts.dim_article_price_history(snap),
+            "dim_article": marts.dim_article(articles, _open_rows(w)),
         }.items():
             w.replace_table("dwh", table, rows, run_ts)
+        w.create_view(
+            "dwh", "dim_article_price_history", marts.PRICE_HISTORY, w.name("stg", SNAPSHOT)
+        )
         build_fact(w, run_ts)
     else:
         raise ValueError(f"not a layer: {layer!r} (expected one of {LAYERS})")

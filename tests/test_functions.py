@@ -30,7 +30,7 @@ def test_surrogate_key_of_one_and_many_columns(spark):
         " (NULL, NULL, NULL), ('', 2, TIMESTAMP_NTZ'2019-01-01 00:00:00') AS t(a, n, ts)"
     )
     out = rows.select(
-        surrogate_key("a").alias("one"), surrogate_key("a", F.col("n"), "ts").alias("many")
+        surrogate_key("a").alias("one"), surrogate_key("a", "n", "ts").alias("many")
     ).collect()
     assert [tuple(r) for r in out] == [
         (md5("a"), md5("a-1-2019-01-01 00:00:00.12")),
