@@ -64,6 +64,7 @@ _FACT_SCHEMA = T.StructType(
     ]
 )
 _BUILT = "starloom.built."
+_BASE = "starloom.base"
 
 
 # -- month by month ------------------------------------------------------------------------------
@@ -143,85 +144,83 @@ def _refresh_monthly_prices(w: Warehouse, run_ts: datetime) -> DataFrame:
 # -- price snapshot ------------------------------------------------------------------------------
 
 
-def _run_id(run_ts: datetime) -> str:
-    return f"{run_ts:%Y%m%d%H%M%S%f}"
+def _snapshot_run(w: Warehouse, run_ts: datetime) -> tuple[str, str]:
+    """Name of the run about to start and of the run it builds on, '' for none.
 
+    Names sort by run time, then attempt. Repeating the time of the last run replaces that run;
+    an earlier time is refused. Partitions that belong neither to the last run nor to the ones it
+    builds on were left by runs that died or were replaced, and are dropped first.
+    """
+    w.create_partitioned("stg", _SNAPSHOT_DATA, _SNAPSHOT_SCHEMA, _SNAPSHOT_PARTS)
+    known = w.properties("stg", SNAPSHOT)
+    last, base = known.get(VERSION, ""), known.get(_BASE, "")
+    stray = []
+    for spec in w.partitions("stg", _SNAPSHOT_DATA):
+        run, state = (part.split("=", 1)[1] for part in spec.split("/"))
+        if run not in (last, base) and (state == "open" or run > base):
+            stray.append(spec)
+    w.drop_partitions("stg", _SNAPSHOT_DATA, stray)
+
+    time = f"{run_ts:%Y%m%d%H%M%S%f}"
+    last_time, _, attempt = last.partition("_")
+    if time < last_time:
+        raise ValueError(f"snapshot run {time} is before the last one, {last_time}")
+    if time == last_time:
+        return f"{time}_{int(attempt) + 1:06d}", base
+    return f"{time}_{0:06d}", last
+
+
+def _open_rows(w: Warehouse, run: str) -> DataFrame:
+    """Versions open after a run; reads only their partition."""
+    rows = w.table("stg", _SNAPSHOT_DATA)
+    return rows.where((F.col("run") == run) & (F.col("state") == "open")).select(
+        *_SNAPSHOT_SCHEMA.fieldNames()
+    )
 
-def _publish_snapshot(w: Warehouse, rows: DataFrame, run: str, previous: str) -> None:
-    """Add one run: its open rows replace the earlier ones, its closed rows join the earlier ones.
+
+def _publish_snapshot(w: Warehouse, rows: DataFrame, run: str, base: str) -> None:
+    """Add one run: its open rows replace those of `base`, its closed rows join the earlier ones.
 
     Rows closed by past runs never change, so a run writes only open and newly closed rows. The
     view decides which runs count; until it is replaced, readers see the previous state.
     """
-    folder = f"{w.root}/stg/builds/{_SNAPSHOT_DATA}/{run}_{w.new_run(utc_now())}"
+    folder = f"{w.root}/stg/builds/{_SNAPSHOT_DATA}/{w.new_run(utc_now())}"
     state = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
-    staged = rows.withColumn("state", state).hint("rebalance", F.col("state"))
-    write_partitioned(staged, "state", folder)
+    staged = rows.select(*_SNAPSHOT_SCHEMA.fieldNames()).withColumn("state", state)
+    write_partitioned(staged.hint("rebalance", F.col("state")), "state", folder)
     w.swap_partitions("stg", _SNAPSHOT_DATA, folder, within=f"run={run}")
     w.create_view(
         "stg",
         SNAPSHOT,
         _SNAPSHOT_SCHEMA.fieldNames(),
         w.name("stg", _SNAPSHOT_DATA),
-        where=f"(state = 'open' AND run = '{run}') OR (state = 'closed' AND run <= '{run}')",
-        properties={VERSION: run},
-    )
-    parts = w.partitions("stg", _SNAPSHOT_DATA)
-    w.drop_partitions(
-        "stg",
-        _SNAPSHOT_DATA,
-        [p for p in parts if p.endswith("/state=open") and _run_of(p) < previous],
-    )
-
-
-def _run_of(spec: str) -> str:
-    return spec.split("/", 1)[0].split("=", 1)[1]
-
-
-def _open_rows(w: Warehouse) -> DataFrame:
-    """Open versions of the last published run; reads only their partition."""
-    last = w.properties("stg", SNAPSHOT)[VERSION]
-    rows = w.table("stg", _SNAPSHOT_DATA)
-    return rows.where((F.col("run") == last) & (F.col("state") == "open")).select(
-        *_SNAPSHOT_SCHEMA.fieldNames()
+        where=f"run = '{run}' OR (state = 'closed' AND run <= '{base}')",
+        properties={VERSION: run, _BASE: base},
     )
 
 
-def _begin_snapshot(w: Warehouse, run: str) -> str:
-    """Check that runs move forward in time and drop what a run that died left behind."""
-    w.create_partitioned("stg", _SNAPSHOT_DATA, _SNAPSHOT_SCHEMA, _SNAPSHOT_PARTS)
-    published = w.properties("stg", SNAPSHOT).get(VERSION, "")
-    if run <= published:
-        raise ValueError(f"snapshot run {run} is not after the last one, {published}")
-    parts = w.partitions("stg", _SNAPSHOT_DATA)
-    w.drop_partitions("stg", _SNAPSHOT_DATA, [p for p in parts if _run_of(p) > published])
-    return published
-
-
 def build_snapshot(w: Warehouse, run_ts: datetime | None = None) -> None:
     """One change-tracking run over each article's latest monthly median price."""
     run_ts = run_ts or utc_now()
-    run = _run_id(run_ts)
-    previous = _begin_snapshot(w, run)
+    run, base = _snapshot_run(w, run_ts)
     source = median.latest_price(_refresh_monthly_prices(w, run_ts))
-    if previous:
+    if base:
         rows = snapshot.changed_versions(
-            _open_rows(w), source, "article_id", ["median_price"], run_ts
+            _open_rows(w, base), source, "article_id", ["median_price"], run_ts
         )
     else:
         rows = snapshot.open_versions(source, "article_id", run_ts)
-    _publish_snapshot(w, rows.select(*_SNAPSHOT_SCHEMA.fieldNames()), run, previous)
+    _publish_snapshot(w, rows, run, base)
 
 
 def build_snapshot_history(w: Warehouse) -> None:
     """First build of the snapshot as if it had run after each loaded month, in one pass."""
     last = max(loaded_months(w))
     run_ts = datetime.combine(month_bounds(last)[0], datetime.min.time())
-    run = _run_id(run_ts)
-    if _begin_snapshot(w, run):
+    run, base = _snapshot_run(w, run_ts)
+    if base:
         raise ValueError("the snapshot already has runs; a replay would rewrite them")
-    rows = snapshot.replay(_refresh_monthly_prices(w, run_ts))
-    _publish_snapshot(w, rows.select(*_SNAPSHOT_SCHEMA.fieldNames()), run, "")
+    _publish_snapshot(w, snapshot.replay(_refresh_monthly_prices(w, run_ts)), run, base)
 
 
 # -- layers and whole runs -----------------------------------------------------------------------
@@ -243,6 +242,7 @@ def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> Non
         for view, (source, columns) in staging.STG_VIEWS.items():
             w.create_view("stg", view, columns, w.name("raw", source))
     elif layer == "dwh":
+        run = w.properties("stg", SNAPSHOT)[VERSION]
         articles, customers = w.table("stg", "stg_articles"), w.table("stg", "stg_customers")
         bands = w.table("dwh", "seed_age_bands")
         channels = w.table("dwh", "seed_sales_channels")
@@ -250,7 +250,7 @@ def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> Non
             "dim_date": marts.dim_date(w.spark).coalesce(1),
             "dim_channel": marts.dim_channel(channels),
             "dim_customer": marts.dim_customer(customers, bands),
-            "dim_article": marts.dim_article(articles, _open_rows(w)),
+            "dim_article": marts.dim_article(articles, _open_rows(w, run)),
         }.items():
             w.replace_table("dwh", table, rows, run_ts)
         w.create_view(

@@ -12,7 +12,8 @@ from starloom.sources import files
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header row. Quotes are escaped by doubling; a bad value fails the read.
+    """CSV with a header row. Quotes are escaped by doubling; a bad value fails the read, and so
+    does a header that does not list the columns of the schema in order.
 
     A multi-line read keeps each file in one task, so ask for it only where a quoted field can
     hold a line break.
@@ -20,6 +21,7 @@ def read_csv(
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")

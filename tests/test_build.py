@@ -137,7 +137,34 @@ def test_second_run_tracks_the_change(spark, built, parquet_dir):
 
 def test_snapshot_runs_cannot_go_back(built):
     with pytest.raises(ValueError):
-        build.build_snapshot(built[0].warehouse, RUN)
+        build.build_snapshot(built[0].warehouse, datetime(2019, 2, 28))
+
+
+def test_repeated_snapshot_run_replaces_itself(spark, built, parquet_dir):
+    landing, _ = built
+    w = landing.warehouse
+    for price in ("0.7D", "0.05D", "0.9D"):
+        put_transactions(spark, parquet_dir, f"(DATE'2019-02-09', 'c2', 'a1', {price}, 2)")
+        landing.load_month("2019-02", LATER)
+        build.build_snapshot(w, LATER)
+    prices = ("article_id", "median_price", VALID_FROM, VALID_TO)
+    expected = [("a1", 0.05, RUN, LATER), ("a1", 0.9, LATER, None), ("a2", 0.1, RUN, None)]
+    assert rows(w.table("stg", "snap_article_price"), *prices) == expected
+    after = datetime(2019, 3, 5)
+    put_transactions(spark, parquet_dir, "(DATE'2019-02-09', 'c2', 'a1', 0.3D, 2)")
+    landing.load_month("2019-02", after)
+    build.build_snapshot(w, after)
+    assert rows(w.table("stg", "snap_article_price"), *prices[:2]) == [
+        ("a1", 0.05), ("a1", 0.3), ("a1", 0.9), ("a2", 0.1),
+    ]
+
+
+def test_price_history_of_open_rows_reads_one_partition(built):
+    w = built[0].warehouse
+    run = w.properties("stg", "snap_article_price")["starloom.version"]
+    assert len(build._open_rows(w, run).inputFiles()) >= 1
+    plan = build._open_rows(w, run)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run" in plan
 
 
 def test_what_a_dead_snapshot_run_wrote_is_ignored(built, monkeypatch):
