@@ -81,8 +81,10 @@ def _monthly(transactions: str) -> str:
 
 def _latest(monthly: str) -> str:
     return f"""
-        select article_id, price_month, median_price from {monthly}
-        qualify row_number() over (partition by article_id order by price_month desc) = 1"""
+        select article_id, price_month, median_price from (
+            select *, max(price_month) over (partition by article_id) as last_month
+            from {monthly}) as dated
+        where price_month = last_month"""
 
 
 def _stg(transactions: str) -> str:

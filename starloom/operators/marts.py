@@ -65,24 +65,13 @@ def current_price(snapshot: DataFrame) -> DataFrame:
 
 
 def dim_article(articles: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Articles with the price of their open version; articles never sold have none."""
+    """Articles, less their long description, with the price of their open version.
+
+    Articles never sold have no price.
+    """
+    attributes = [c for c in articles.columns if c != "detail_description"]
     return articles.join(current_price(snapshot), "article_id", "left").select(
-        surrogate_key("article_id").alias("article_sk"),
-        "article_id",
-        "product_code",
-        "product_name",
-        "product_type_name",
-        "product_group_name",
-        "graphical_appearance_name",
-        "colour_group_name",
-        "perceived_colour_value_name",
-        "perceived_colour_master_name",
-        "department_name",
-        "index_name",
-        "index_group_name",
-        "section_name",
-        "garment_group_name",
-        "current_price",
+        surrogate_key("article_id").alias("article_sk"), *attributes, "current_price"
     )
 
 

@@ -52,11 +52,11 @@ STG_ARTICLES = [
 # bround: a fractional age rounds half to even before it narrows, where a bare cast would truncate.
 STG_CUSTOMERS = [
     "customer_id",
-    "cast(coalesce(fn, 0) as boolean) as has_fashion_news",
-    "cast(coalesce(active, 0) as boolean) as is_active",
+    "coalesce(fn, 0) <> 0 as has_fashion_news",
+    "coalesce(active, 0) <> 0 as is_active",
     "club_member_status",
-    "case when upper(fashion_news_frequency) = 'NONE' then 'NONE'"
-    " else fashion_news_frequency end as fashion_news_frequency",
+    "if(upper(fashion_news_frequency) = 'NONE', 'NONE', fashion_news_frequency)"
+    " as fashion_news_frequency",
     "cast(bround(age) as smallint) as age",
     "postal_code",
 ]

@@ -118,6 +118,19 @@ def test_build_without_any_sale(warehouse, parquet_dir):
     assert stale == {"transactions": "warn", "articles": "pass", "customers": "pass"}
 
 
+def test_date_range_prunes_fact_months(built):
+    from datetime import date
+
+    from starloom.operators import marts
+
+    fact = built[0].warehouse.table("dwh", "fct_sales")
+    january = marts.sales_between(fact, date(2019, 1, 6), date(2019, 2, 1))
+    assert rows(january, "article_id") == [("a2",)]
+    plan = january._jdf.queryExecution().executedPlan().toString()
+    assert "(sale_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert marts.sales_between(fact, date(2019, 1, 6), date(2019, 2, 2)).count() == 2
+
+
 def test_second_run_tracks_the_change(spark, built, parquet_dir):
     landing, _ = built
     w = landing.warehouse
