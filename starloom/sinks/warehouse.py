@@ -37,6 +37,9 @@ class Warehouse:
                 f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} "
                 f"LOCATION '{self.root}/{layer}'"
             )
+            found = spark.catalog.getDatabase(f"{prefix}{layer}").locationUri
+            if files.qualified(spark, found) != files.qualified(spark, f"{self.root}/{layer}"):
+                raise ValueError(f"database {prefix}{layer} already lies in {found}")
 
     def database(self, layer: str) -> str:
         if layer not in LAYERS:

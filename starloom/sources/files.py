@@ -11,6 +11,12 @@ def _resolve(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), location
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as the catalog shows it."""
+    system, location = _resolve(spark, path)
+    return system.makeQualified(location).toString()
+
+
 def is_written(spark: SparkSession, path: str) -> bool:
     """Whether a file, or a folder that some job has finished writing, is at this path."""
     system, location = _resolve(spark, path)

@@ -62,6 +62,13 @@ def test_layer_names_are_database_names(spark, tmp_path):
     assert {"raw", "stg", "dwh"} <= names
 
 
+def test_databases_of_another_root_are_refused(spark, tmp_path):
+    Warehouse(spark, str(tmp_path / "a"), prefix="placed_")
+    Warehouse(spark, str(tmp_path / "a") + "/", prefix="placed_")
+    with pytest.raises(ValueError):
+        Warehouse(spark, str(tmp_path / "b"), prefix="placed_")
+
+
 def test_unknown_layer_is_refused(warehouse):
     with pytest.raises(ValueError):
         build.build_layer(warehouse, "mart")
