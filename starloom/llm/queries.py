@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, packing
+from starloom.llm import bpe, jaccard, lines, packing
 from starloom.llm.common import table
 
 SEQUENCE_TOKENS = 2048
@@ -21,6 +21,17 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's number of 3-word shingles and the component of links at a Jaccard similarity of 0.9."""
+    return jaccard.components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the repeated chunks of lines."""
+    found = lines.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_lines_removed")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in sequences of 2048 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS)
@@ -28,7 +39,55 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_ngram_jaccard_join": r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM cut
+), rows_ AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM rows_ a JOIN rows_ b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS v, doc_id AS r FROM documents
+  UNION
+  SELECT reach.v, links.b FROM reach JOIN links ON links.a = reach.r
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.r) AS component_id
+FROM sets s JOIN reach r ON r.v = s.doc_id GROUP BY s.doc_id, s.s""",
+    "op9_line_dedup": r"""
+WITH split_ AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents
+), hashed AS (
+  SELECT doc_id, text, l, list_transform(l, lambda x: md5(x)) AS h FROM split_
+), ended AS (
+  SELECT doc_id, text, l, list_filter(range(1, len(l) + 1), lambda i: i = len(l) OR
+    md5(CASE WHEN i > 1 THEN h[i - 1] ELSE '' END || h[i])[1] IN ('0', '1', '2', '3')) AS e FROM hashed
+), chunk AS (
+  SELECT doc_id, unnest(range(1, len(e) + 1)) AS k, l, e FROM ended
+), body AS (
+  SELECT doc_id, k, e[k] - coalesce(e[k - 1], 0) AS n,
+    array_to_string(l[coalesce(e[k - 1], 0) + 1 : e[k]], chr(10)) AS body
+  FROM chunk
+), ranked AS (
+  SELECT *, n > 1 AND trim(body, E' \t\r\n') <> ''
+    AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, k) > 1 AS gone
+  FROM body
+)
+SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text,
+  CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS n_lines_removed
+FROM ranked GROUP BY doc_id""",
+}
