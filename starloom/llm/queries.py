@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, jaccard, lines, packing
+from starloom.llm import bpe, jaccard, lines, packing, vectors
 from starloom.llm.common import table
 
 SEQUENCE_TOKENS = 2048
@@ -26,6 +26,16 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest integer inner products of every vector whose id is divisible by 50."""
+    return vectors.exact_top(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every vector whose id is divisible by 100."""
+    return vectors.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without the repeated chunks of lines."""
     found = lines.without_repeats(table(spark, sf_dir, "documents"))
@@ -40,6 +50,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_exact_top_k": op4_exact_top_k,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
@@ -68,6 +80,19 @@ WITH RECURSIVE cut AS (
 )
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.r) AS component_id
 FROM sets s JOIN reach r ON r.v = s.doc_id GROUP BY s.doc_id, s.s""",
+    "op4_exact_top_k": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5""",
     "op9_line_dedup": r"""
 WITH split_ AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents
