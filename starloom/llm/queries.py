@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, jaccard, lines, packing, vectors
+from starloom.llm import bpe, jaccard, lines, packing, quality, vectors
 from starloom.llm.common import table
 
 SEQUENCE_TOKENS = 2048
@@ -31,6 +31,11 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.exact_top(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's quality score, learned from two thirds of the labels."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors found for every vector whose id is divisible by 100."""
     return vectors.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
@@ -51,6 +56,7 @@ QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_exact_top_k": op4_exact_top_k,
+    "op6_quality": op6_quality,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
