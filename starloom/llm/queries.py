@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, jaccard, lines, packing, quality, vectors
+from starloom.llm import bpe, jaccard, language, lines, packing, quality, vectors
 from starloom.llm.common import table
 
 SEQUENCE_TOKENS = 2048
@@ -36,6 +36,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's language, learned from three quarters of the documents."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors found for every vector whose id is divisible by 100."""
     return vectors.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
@@ -57,6 +62,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_exact_top_k": op4_exact_top_k,
     "op6_quality": op6_quality,
+    "op7_language": op7_language,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
