@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, jaccard, language, lines, packing, quality, vectors
+from starloom.llm import bpe, jaccard, language, lines, maxent, packing, quality, substrings, vectors
 from starloom.llm.common import table
 
 SEQUENCE_TOKENS = 2048
@@ -21,6 +21,12 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the passages that repeat earlier ones."""
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_bytes_removed")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's number of 3-word shingles and the component of links at a Jaccard similarity of 0.9."""
     return jaccard.components(table(spark, sf_dir, "documents"), words=3, percent=90)
@@ -31,6 +37,11 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.exact_top(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
 
 
+def op5_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's log probability under counts and under the model, learned from nine tenths."""
+    return maxent.scored(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's quality score, learned from two thirds of the labels."""
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -59,8 +70,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_maxent_scores": op5_maxent_scores,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_nearest_neighbours": op8_nearest_neighbours,
