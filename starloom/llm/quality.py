@@ -168,26 +168,41 @@ def fit(labelled: DataFrame, seed: int = 7) -> dict | None:
     return model
 
 
-def score(found: DataFrame, model: dict | None) -> DataFrame:
-    """doc_id, score and predicted of rows of doc_id and x; without a model every score is 0.5."""
-    spark = found.sparkSession
+def levels(x: np.ndarray, model: dict | None) -> np.ndarray:
+    """Calibrated scores of rows of statistics; without a model every score is 0.5."""
     if model is None:
-        return found.select("doc_id", F.lit(0.5).alias("score"), F.lit(1).alias("predicted"))
-    trained = spark.sparkContext.broadcast(model)
+        return np.full(len(x), 0.5)
+    raw = fourier(x, model) @ model["weights"]
+    place = np.clip((raw + 0.5) / 2 * BINS, 0, BINS - 1)
+    # between the edges of steps, so that scores of one step still differ by little
+    return np.clip(np.interp(place, model["edges"], model["levels"]), 0.0, 1.0)
+
+
+def score(found: DataFrame, model: dict | None) -> DataFrame:
+    """doc_id, score and predicted of rows of doc_id and x."""
+    trained = found.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = trained.value
         for batch in batches:
-            raw = fourier(stacked(batch.column(1)), m) @ m["weights"]
-            place = np.clip((raw + 0.5) / 2 * BINS, 0, BINS - 1)
-            # between the middles of steps, so that scores of one step still differ by little
-            level = np.interp(place, m["edges"], m["levels"])
+            level = levels(stacked(batch.column(1)), trained.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.clip(level, 0.0, 1.0)), pa.array((level >= 0.5).astype(np.int32))],
+                [batch.column(0), pa.array(level), pa.array((level >= 0.5).astype(np.int32))],
                 names=["doc_id", "score", "predicted"],
             )
 
-    return found.mapInArrow(run, "doc_id long, score double, predicted int")
+    return found.select("doc_id", "x").mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def training_rows(found: DataFrame, labels: DataFrame, label_col: str, folds: int, held_fold: int) -> DataFrame:
+    """x and y of the rows that have a label and are not of the held-out fold."""
+    known = (
+        labels.select(labels["doc_id"].cast("long").alias("label_id"), labels[label_col].cast("int").alias("y"))
+        .where("y in (0, 1) and label_id is not null")
+        .where(crc_mod(F.col("label_id"), folds) != held_fold)
+        .groupBy("label_id")
+        .agg(F.max("y").alias("y"))
+    )
+    return found.join(known, F.col("doc_id") == F.col("label_id")).select("x", "y")
 
 
 def quality(
@@ -203,17 +218,31 @@ def quality(
     """
     folder = scratch(docs.sparkSession)
     found = stored(described(docs, id_col, text_col), folder, "statistics")
-    known = (
-        labels.select(labels["doc_id"].cast("long").alias("label_id"), labels[label_col].cast("int").alias("y"))
-        .where("y in (0, 1) and label_id is not null")
-        .where(crc_mod(F.col("label_id"), folds) != held_fold)
-        .groupBy("label_id")
-        .agg(F.max("y").alias("y"))
-    )
-    training = stored(found.join(known, F.col("doc_id") == F.col("label_id")).select("x", "y"), folder, "training")
+    training = stored(training_rows(found, labels, label_col, folds, held_fold), folder, "training")
     return score(found, fit(training)).select(
         "doc_id",
         F.coalesce(crc_mod(F.col("doc_id"), folds) == held_fold, F.lit(False)).alias("held_out"),
         "score",
         "predicted",
     )
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    folds: int = 3, held_fold: int = 1,
+) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores 0.5 or more; learned as in quality().
+
+    Each row is judged by its own text, whatever its doc_id; a null text counts as empty.
+    """
+    folder = scratch(docs.sparkSession)
+    found = described(docs, id_col, text_col)
+    training = stored(training_rows(found, labels, label_col, folds, held_fold), folder, "training")
+    trained = docs.sparkSession.sparkContext.broadcast(fit(training))
+
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        x = np.array([statistics(t) for t in texts.to_pylist()]).reshape(-1, STATISTICS)
+        return pa.array(levels(x, trained.value) >= 0.5)
+
+    return docs.where(good(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
