@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,3 +68,36 @@ def shingle_set(text: str, words: int) -> np.ndarray:
     for k in range(width):
         out = mixed(out * U64(0x9E3779B97F4A7C15) + h[k : k + n])
     return np.unique(out)
+
+
+#: Bits of an id filter; it is 4 MB large whatever it holds.
+FILTER_BITS = 1 << 25
+
+
+def id_filter(ids: DataFrame, column: str):
+    """A test for the ids in a column: true for each of them and, by chance, for some others.
+
+    It has a fixed size, so it can be broadcast to thin out rows before a join on the id; the join
+    stays exact, and as the filter fills up, fewer rows are spared the shuffle.
+    """
+    spark = ids.sparkSession
+    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    words = (
+        ids.select(bit.alias("bit"))
+        .groupBy(F.expr("shiftright(bit, 6)").alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits"))
+        .toPandas()
+    )
+    held = np.zeros(FILTER_BITS >> 6, dtype=np.int64)
+    held[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    shared = spark.sparkContext.broadcast(held.view(U64))
+
+    @F.arrow_udf("boolean")
+    def test(bits: pa.Array) -> pa.Array:
+        at = bits.to_numpy(zero_copy_only=False).astype(np.int64)
+        return pa.array((shared.value[at >> 6] >> (at & 63).astype(U64)) & U64(1) == 1)
+
+    def holds(column: Column) -> Column:
+        return test(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
+
+    return holds

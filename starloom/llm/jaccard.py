@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import U64, id_text, mixed, scratch, shingle_set, stored
+from starloom.llm.common import U64, id_filter, id_text, mixed, scratch, shingle_set, stored
 
 #: Bytes of text that one chunk of a group holds, about; a larger group is split.
 CHUNK_BYTES = 4_000_000
@@ -252,7 +252,8 @@ def components(
         .union(crossing.select("group", F.col("group").alias("unit_a"), F.col("other").alias("unit_b")))
         .union(crossing.select(F.col("other").alias("group"), F.col("group").alias("unit_a"), F.col("other").alias("unit_b")))
     )
-    chosen = id_text(docs, id_col, text_col).where("doc_id is not null")
+    in_groups = id_filter(groups, "class")
+    chosen = id_text(docs, id_col, text_col).where("doc_id is not null").where(in_groups(F.col("doc_id")))
     texts = (
         chosen.join(groups, chosen.doc_id == groups["class"]).select("class", "group", "text").dropDuplicates()
     )
