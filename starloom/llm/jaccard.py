@@ -199,12 +199,8 @@ def components(
     folder = scratch(spark)
     known = stored(profiles(docs, words, percent, id_col, text_col), folder, "profiles")
 
-    classes = (
-        known.where("doc_id is not null and digest is not null")
-        .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "n_bytes")).alias("first"))
-        .select("digest", F.col("first.doc_id").alias("class"))
-    )
+    classes = known.where("doc_id is not null and digest is not null").groupBy("digest")
+    classes = stored(classes.agg(F.min("doc_id").alias("class")), folder, "classes")
     members = stored(
         known.where("doc_id is not null").select("doc_id", "digest").join(classes, "digest").select("doc_id", "class"),
         folder,
