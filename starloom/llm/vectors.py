@@ -205,8 +205,8 @@ def exact_top(
 
 #: Children of a tree node, rows a leaf holds about, and rows the tree is fitted on at most.
 BRANCHES, LEAF, FITTED = 8, 128, 20_000
-#: Rows of one leaf that meet its queries in one task, about.
-LEAF_CHUNK = 4_096
+#: Rows that meet queries in one task, about: neighbouring leaves together, or a part of a large leaf.
+BLOCK = 16_384
 
 
 def k_means(rows: np.ndarray, k: int, seed: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -301,8 +301,23 @@ def calibrated(parts: tuple, leaves: int, rows: np.ndarray, k: int, recall: floa
     return min(leaves, int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) + 1)
 
 
+def blocks(held_by: dict[int, int], leaves: int) -> tuple[dict[int, int], list[int]]:
+    """The block of each leaf that holds rows, and the rows of each block; leaves next to each other share one."""
+    block_of: dict[int, int] = {}
+    rows_in: list[int] = []
+    for leaf in range(leaves):
+        n = held_by.get(leaf, 0)
+        if not n:
+            continue
+        if not rows_in or rows_in[-1] + n > BLOCK:
+            rows_in.append(0)
+        rows_in[-1] += n
+        block_of[leaf] = len(rows_in) - 1
+    return block_of, rows_in
+
+
 def nearest(
-    vectors: DataFrame, is_query: str, k: int = 10, recall: float = 0.97, id_col: str = "vec_id", vec_col: str = "embedding"
+    vectors: DataFrame, is_query: str, k: int = 10, recall: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
     """Return query_id, rank, vec_id, score: near the k smallest Euclidean distances of each query.
 
@@ -343,52 +358,71 @@ def nearest(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=["vec_id", "v", "leaf"])
 
     index = stored(rows.mapInArrow(put, "vec_id long, v array<double>, leaf long"), folder, "index")
-    held_by = index.groupBy("leaf").agg(F.count("*").alias("n"))
     # One number a leaf; the number of leaves is bounded by the fitted rows.
-    counts = spark.sparkContext.broadcast({r.leaf: r.n for r in held_by.collect()})
+    held_by = {r.leaf: r.n for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    block_of, rows_in = blocks(held_by, leaves)
+    placing = spark.sparkContext.broadcast((held_by, block_of, [-(-n // BLOCK) for n in rows_in]))
 
     def visit(batches):
         for batch in batches:
-            ids, at = [], []
+            at, block, chunks, wanted = [], [], [], []
+            counts, where, parts_of = placing.value
             for i, row in enumerate(matrix(batch.column(1))):
-                reached = 0
+                reached, chosen = 0, {}
                 for done, leaf in enumerate(best_bins(shared.value, row)):
                     if done >= visits and reached > k:
                         break
-                    n = counts.value.get(leaf, 0)
-                    reached += n
-                    if n:
-                        ids.append(i)
-                        at.append((leaf, n))
-            taken = batch.take(pa.array(ids, pa.int64()))
+                    if leaf in counts:
+                        reached += counts[leaf]
+                        chosen.setdefault(where[leaf], []).append(leaf)
+                for b, own in chosen.items():
+                    at.append(i)
+                    block.append(b)
+                    chunks.append(parts_of[b])
+                    wanted.append(own)
+            taken = batch.take(pa.array(at, pa.int64()))
+            more = [pa.array(block, pa.int64()), pa.array(chunks, pa.int64()), pa.array(wanted, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array([x for x, _ in at], pa.int64()),
-                 pa.array([-(-n // LEAF_CHUNK) for _, n in at], pa.int64())],
-                names=["query_id", "q", "leaf", "chunks"],
+                [*taken.columns, *more], names=["query_id", "q", "block", "chunks", "leaves"]
             )
 
     asked = rows.where(is_query).dropDuplicates(["vec_id"])
-    asking = asked.mapInArrow(visit, "query_id long, q array<double>, leaf long, chunks long").select(
-        "query_id", "q", "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
+    asking = asked.mapInArrow(
+        visit, "query_id long, q array<double>, block long, chunks long, leaves array<long>"
+    ).select(
+        "query_id", "q", "block", "leaves",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
     )
-    known = held_by.select("leaf", F.ceil(F.col("n") / LEAF_CHUNK).alias("chunks"))
-    placed = index.join(F.broadcast(known), "leaf").select(
-        "leaf", F.pmod(F.xxhash64("vec_id", "v"), F.col("chunks")).alias("chunk"), "vec_id", "v"
+
+    def place(batches):
+        _, where, parts_of = placing.value
+        for batch in batches:
+            block = np.array([where[x] for x in batch.column(2).to_pylist()], dtype=np.int64)
+            chunks = np.array(parts_of, dtype=np.int64)[block]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(block), pa.array(chunks)], names=["vec_id", "v", "leaf", "block", "chunks"]
+            )
+
+    placed = index.mapInArrow(place, "vec_id long, v array<double>, leaf long, block long, chunks long").withColumn(
+        "chunk", F.pmod(F.xxhash64("vec_id", "v"), F.col("chunks"))
     )
 
     def meet(asked: pa.Table, found: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(asked) and len(found):
-            ids, rows = found["vec_id"].to_numpy(), matrix(found["v"])
-            for q, row in zip(asked["query_id"].to_numpy(), matrix(asked["q"]), strict=True):
-                away = np.sqrt(((rows - row) ** 2).sum(1))
-                at = np.flatnonzero(ids != q)
-                at = at[np.lexsort((ids[at], away[at]))[:k]]
-                out.append((np.full(len(at), q), ids[at], away[at]))
+            ids, rows, leaf = found["vec_id"].to_numpy(), matrix(found["v"]), found["leaf"].to_numpy()
+            wanted = asked["leaves"].to_pylist()
+            for q, row, own in zip(asked["query_id"].to_numpy(), matrix(asked["q"]), wanted, strict=True):
+                at = np.flatnonzero(np.isin(leaf, own) & (ids != q))
+                away = np.sqrt(((rows[at] - row) ** 2).sum(1))
+                best = np.lexsort((ids[at], away))[:k]
+                out.append((np.full(len(best), q), ids[at[best]], away[best]))
         q, c, s = (np.concatenate(x) for x in zip(*out, strict=True)) if out else ([], [], [])
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(c, pa.int64()), "score": pa.array(s, pa.float64())})
+        return pa.table(
+            {"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(c, pa.int64()), "score": pa.array(s, pa.float64())}
+        )
 
-    best = asking.groupBy("leaf", "chunk").cogroup(placed.groupBy("leaf", "chunk")).applyInArrow(
+    best = asking.groupBy("block", "chunk").cogroup(placed.groupBy("block", "chunk")).applyInArrow(
         meet, "query_id long, vec_id long, score double"
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
