@@ -71,6 +71,7 @@ class Automaton:
         for time, (u, v, w) in enumerate(spec["merges"]):
             self._gadget(time, u, v, w)
         hidden = set(self.special.values())
+        hidden |= {w for _, _, w in spec["merges"] if self.born[w] < 0}
         self.ids = {x: i for i, x in enumerate(self.labels) if x and i not in hidden}
         #: The longest token that begins with these four bytes.
         self.reach: dict[bytes, int] = {}
@@ -89,8 +90,9 @@ class Automaton:
         )
 
     def _gadget(self, time: int, u: int, v: int, w: int) -> None:
-        if self.born[w] >= 0:
-            raise ValueError(f"token {w} has two merges; the automaton needs one for each token")
+        # If earlier merges keep u and v from meeting, or have made w another way, nothing changes.
+        if not self._arc(u, v, time):
+            return
         self.cut[u * self.size + v] = time
         self.entered_as[w], self.left_as[w], self.born[w] = u, v, time
 
@@ -107,11 +109,11 @@ class Automaton:
         if found is None:
             if len(self.known) > 2_000_000:
                 self.known.clear()
-            found = self.known[key] = self._arc(x, y)
+            found = self.known[key] = self._arc(x, y, self.size + 1)
         return found
 
-    def _arc(self, x: int, y: int) -> bool:
-        time = len(self.born) + 1
+    def _arc(self, x: int, y: int, time: int) -> bool:
+        """Whether the arc is there after so many merges."""
         while True:
             if self.cut.get(x * self.size + y, time) < time:
                 return False

@@ -51,6 +51,8 @@ def most_difference(high: int, percent: int) -> int:
 def part_tokens(shingles: np.ndarray, percent: int) -> np.ndarray:
     """The hashes of a set's parts: for its own band, and for the band below if sets there can link."""
     n = len(shingles)
+    if percent == 100:  # only equal sets link, and they are one class
+        return np.zeros(0, dtype=U64)
     edges = bands(n, percent)
     own = int(np.searchsorted(edges, n, side="right")) - 1
     out = []
@@ -61,7 +63,7 @@ def part_tokens(shingles: np.ndarray, percent: int) -> np.ndarray:
         if band < own and n * percent > high * 100:
             break
         difference = most_difference(high, percent)
-        if not difference:  # only equal sets link, and they are one class
+        if not difference:  # again, only equal sets link
             break
         parts = difference + 1
         base = mixed(np.full(1, low, dtype=U64))

@@ -20,6 +20,8 @@ SLICE = 64
 WIDE = 1 << 26
 #: Squared norms from here on are too large for bounds in floating point; all candidates are evaluated.
 LARGEST = 2.0**104
+#: The largest score; the smallest is one further from 0.
+SCORE_LIMIT = (1 << 63) - 1
 
 
 def finite(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -104,13 +106,15 @@ def best_of_block(
                 at = order[done : done + step]
                 at = at[ids[at] != query_ids[i]]
                 scores = -(whole[at] @ asked[i])
+                if wide:
+                    scores = np.array([min(max(int(x), -SCORE_LIMIT), SCORE_LIMIT + 1) for x in scores], dtype=object)
                 if len(best) == k:
                     near = scores <= best[-1][0]
                     at, scores = at[near], scores[near]
                 best = heapq.nsmallest(k, [*best, *zip(scores.tolist(), ids[at].tolist(), strict=True)])
                 done, step = done + step, step * 4
             for score, candidate in best:
-                yield int(query_ids[i]), candidate, min(max(-score, -(1 << 63)), (1 << 63) - 1)
+                yield int(query_ids[i]), candidate, -score
 
 
 def whole_numbers(rows: np.ndarray, wide: bool) -> np.ndarray:
@@ -127,7 +131,7 @@ def exact_top(
 
     `is_query` is a condition on vec_id. A query is compared with every row of another vec_id; ties go
     to the smaller vec_id. Null or empty vectors, null or non-finite components and null vec_ids take no
-    part; a shorter vector counts as filled with zeros; a score beyond 64 bits becomes the nearest of 64; rows that repeat a vec_id are candidates one by
+    part; a shorter vector counts as filled with zeros; a score beyond 64 bits counts as the nearest of 64; rows that repeat a vec_id are candidates one by
     one, and a repeated query gives one answer. Scores are exact; no rows give no rows. Pivots come from a bounded sample; they decide how much is left out, not the result.
     """
     spark = vectors.sparkSession

@@ -1,0 +1,166 @@
+"""Byte-pair encoding, its inverse, and packing."""
+
+import hashlib
+import itertools
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from starloom.llm import bpe, packing
+
+
+@pytest.fixture(scope="module")
+def library(vocab):
+    return Tokenizer.from_file(vocab)
+
+
+@pytest.fixture(scope="module")
+def automaton(vocab):
+    return bpe.Automaton(bpe.load(vocab))
+
+
+def reference(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_random_texts_encode_as_the_library_does(automaton, library):
+    rng = random.Random(1)
+    alphabet = "abcdehiortns éñß \n\t  '<|endoftext|>😀漢0123456789!!=-"
+    for k in range(1500):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))
+        text += "<|endoftext|> " * (k % 7 == 0)
+        ids = reference(library, text)
+        assert automaton.encode(text).tolist() == ids
+        assert automaton.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("text", ["a" * 3001, " " * 2000 + "x", "=" * 999, "the" * 500, "\n" * 77])
+def test_long_words(automaton, library, text):
+    assert automaton.encode(text).tolist() == reference(library, text)
+
+
+def test_small_automaton_accepts_what_merging_gives():
+    """Every sequence over a small alphabet, against merging pair by pair; aaba never appears."""
+    merges = [("a", "b"), ("b", "a"), ("a", "a"), ("ab", "a"), ("aa", "ba"), ("b", "b"), ("aa", "aa"), ("a", "ba")]
+    labels = sorted({x for m in merges for x in (*m, "".join(m))}, key=lambda x: (len(x), x))
+    ids = {x: i for i, x in enumerate(labels)}
+    spec = {
+        "labels": [x.encode() for x in labels],
+        "merges": [(ids[a], ids[b], ids[a + b]) for a, b in merges],
+        "special": {},
+    }
+    automaton = bpe.Automaton(spec)
+    for n in range(1, 11):
+        for word in map("".join, itertools.product("ab", repeat=n)):
+            parts = list(word)
+            for a, b in merges:
+                k, out = 0, []
+                while k < len(parts):
+                    if k + 1 < len(parts) and (parts[k], parts[k + 1]) == (a, b):
+                        out.append(a + b)
+                        k += 2
+                    else:
+                        out.append(parts[k])
+                        k += 1
+                parts = out
+            got = [labels[i] for i in automaton.encode_word(word.encode())]
+            assert got == parts, word
+
+
+def test_operator_on_odd_rows(odd, nothing, vocab, library):
+    found = bpe.digests(odd, vocab).collect()
+    assert len(found) == odd.count()
+    expected = Counter()
+    for r in odd.collect():
+        ids = reference(library, r.text)
+        text = library.decode(ids, skip_special_tokens=False)
+        digest = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), text)]
+        expected[(r.doc_id, len(ids), *digest)] += 1
+    assert Counter(tuple(r) for r in found) == expected
+    assert bpe.digests(nothing, vocab).count() == 0
+
+
+# -- packing ---------------------------------------------------------------------------------------
+
+
+def check_packing(rows, texts, library, capacity):
+    """Pieces are the documents' tokens, cut as promised, and places are gapless."""
+    of_doc = defaultdict(list)
+    for r in rows:
+        of_doc[r.doc_id].append(r)
+    for doc_id, own in of_doc.items():
+        copies = [t for i, t in texts if i == doc_id]
+        if len(copies) > 1:
+            continue
+        ids = np.array([*reference(library, copies[0]), 0], dtype="<u4")
+        own.sort(key=lambda r: r.piece)
+        assert [r.piece for r in own] == list(range(len(own)))
+        assert sum(r.length for r in own) == len(ids)
+        assert all(r.length == capacity for r in own[1:])
+        for r in own:
+            assert zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for placed in bins.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+@pytest.mark.parametrize("capacity", [16, 200, 2048])
+def test_pieces_and_places(odd, vocab, library, capacity):
+    rows = packing.packed(odd, vocab, capacity).collect()
+    used = check_packing(rows, [(r.doc_id, r.text) for r in odd.collect()], library, capacity)
+    total = sum(r.length for r in rows)
+    assert -(-total // capacity) <= used <= -(-total // capacity) + 1
+
+
+def test_no_rows_give_no_rows(nothing, vocab):
+    found = packing.packed(nothing, vocab, 64)
+    assert found.count() == 0
+    assert found.columns[-2:] == ["sequence_id", "offset"]
+
+
+def test_many_equal_lengths_are_ranked_in_groups(spark, vocab, library, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED_TOGETHER", 7)
+    docs = spark.range(300).selectExpr("id AS doc_id", "if(id % 3 = 0, 'same text', concat('t ', id)) AS text")
+    rows = packing.packed(docs, vocab, 32).collect()
+    assert len(rows) == 300
+    check_packing(rows, [(r.doc_id, r.text) for r in docs.collect()], library, 32)
+
+
+def test_fullest_against_all_combinations():
+    rng = random.Random(3)
+    for _ in range(300):
+        available = sorted({rng.randint(1, 20): rng.randint(1, 3) for _ in range(4)}.items(), reverse=True)
+        room = rng.randint(0, 40)
+        items = [n for n, c in available for _ in range(c)]
+        best = max(
+            sum(x) for k in range(len(items) + 1) for x in itertools.combinations(items, k) if sum(x) <= room
+        )
+        uses = packing.fullest(available, room)
+        assert sum(n * u for n, u in uses.items()) == best
+        assert all(u <= dict(available)[n] for n, u in uses.items())
+
+
+def test_plan_packs_every_piece_once():
+    rng = random.Random(4)
+    counts = Counter(min(100, int(rng.expovariate(0.05)) + 1) for _ in range(3000))
+    rows = packing.plan(counts, 100)
+    total = sum(n * c for n, c in counts.items())
+    fill = Counter()
+    for k, (length, first, start, uses, _) in enumerate(rows.tolist()):
+        last = rows[k + 1][1] if k + 1 < len(rows) and rows[k + 1][0] == length else counts[length]
+        for rank in range(first, last):
+            fill[start + (rank - first) // uses] += length
+    assert sum(fill.values()) == total
+    assert max(fill.values()) <= 100
+    assert len(fill) <= -(-total // 100) + 1
