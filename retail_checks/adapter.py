@@ -6,23 +6,18 @@ start from the same rows.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions import month_bounds
 from starloom.schemas import ARTICLES, INGESTION_TS
 
 INGESTED = "2019-03-01 12:00:00"
 
-# The sale dates of the order tables lie in these years, ends as in the date dimension.
-CALENDAR = (date(1995, 1, 1), date(2002, 1, 1))
-
 _ID = "lpad(cast({0} as varchar(20)), 10, '0')"
 
 TRANSACTION_COLUMNS = [
-    "cast(o_orderdate as date) as t_dat",
+    # The order dates, moved into the years of the date dimension. Leap years keep step.
+    "cast(cast(o_orderdate as date) + interval '24' year as date) as t_dat",
     _ID.format("o_custkey") + " as customer_id",
     _ID.format("l_partkey") + " as article_id",
     "l_extendedprice / 100000.0D as price",
@@ -30,6 +25,8 @@ TRANSACTION_COLUMNS = [
 ]
 # Prices rounded to few distinct values, so that an article's median can stay equal for months.
 REPEATED_PRICE = "round(l_extendedprice / 100000.0D, 0) as price"
+# Prices with as many decimals as a double holds, so that the cast to a decimal has to round.
+LONG_PRICE = "l_extendedprice / 70001.0D as price"
 
 CUSTOMER_COLUMNS = [
     _ID.format("c_custkey") + " as customer_id",
@@ -71,20 +68,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def transactions(
-    spark: SparkSession, sf_dir: str, month: str | None = None, repeated_prices: bool = False
-) -> DataFrame:
-    """Landing transactions; a month is filtered on the order date itself, ahead of the join."""
-    orders = _table(spark, sf_dir, "orders")
-    if month is not None:
-        first, following = (
-            F.lit(str(d)).cast("timestamp_ntz") for d in month_bounds(month)
-        )
-        orders = orders.where((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < following))
-    lines = _table(spark, sf_dir, "lineitem")
+def transactions(spark: SparkSession, sf_dir: str, price: str | None = None) -> DataFrame:
+    """Landing transactions, with another price expression if one is given."""
+    lines, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
     columns = list(TRANSACTION_COLUMNS)
-    if repeated_prices:
-        columns[3] = REPEATED_PRICE
+    if price is not None:
+        columns[3] = price
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(*columns)
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import re
 
-from starloom.schemas import AGE_BAND_ROWS, ARTICLES, SALES_CHANNEL_ROWS
+from starloom.schemas import ARTICLES
 
 RUN = "timestamp '2019-03-01 12:00:00'"
 LATER = "timestamp '2019-04-01 12:00:00'"
 INGESTED = "timestamp '2019-03-01 12:00:00'"
 NULL_KEY = "'_dbt_utils_surrogate_key_null_'"
-IN_MONTH = "between date '1997-05-01' and date '1997-05-31'"
+IN_MONTH = "between date '2021-05-01' and date '2021-05-31'"
 
 
 def _id(column: str) -> str:
@@ -23,7 +23,7 @@ def _sk(column: str) -> str:
 
 def _transactions(price: str) -> str:
     return f"""
-        select cast(o_orderdate as date) as t_dat,
+        select cast(cast(o_orderdate as date) + interval '24' year as date) as t_dat,
                {_id('o_custkey')} as customer_id,
                {_id('l_partkey')} as article_id,
                {price} as price,
@@ -81,10 +81,8 @@ def _monthly(transactions: str) -> str:
 
 def _latest(monthly: str) -> str:
     return f"""
-        select article_id, price_month, median_price from (
-            select *, max(price_month) over (partition by article_id) as last_month
-            from {monthly}) as dated
-        where price_month = last_month"""
+        select article_id, price_month, median_price from {monthly}
+        qualify row_number() over (partition by article_id order by price_month desc) = 1"""
 
 
 def _stg(transactions: str) -> str:
@@ -105,13 +103,10 @@ def _fact(stg: str) -> str:
         from {stg} group by all"""
 
 
-def _values(rows: list[tuple]) -> str:
-    return ", ".join(str(row) for row in rows)
-
-
 # Named queries, in the order they build on one another.
 _CTES = {
     "tx": _transactions("l_extendedprice / cast(100000.0 as double)"),
+    "tx_long": _transactions("l_extendedprice / cast(70001.0 as double)"),
     "tx_rounded": _transactions("round(l_extendedprice / cast(100000.0 as double), 0)"),
     "articles": f"""
         select {_article_columns(_PART)}, {INGESTED} as ingestion_ts from part
@@ -129,6 +124,7 @@ _CTES = {
                md5(c_name) as postal_code, {INGESTED} as ingestion_ts
         from customer""",
     "stg": _stg("tx"),
+    "stg_long": _stg("tx_long"),
     "stg_rounded": _stg("tx_rounded"),
     "stg_articles": """
         select article_id, cast(product_code as integer) as product_code,
@@ -144,12 +140,14 @@ _CTES = {
                     else fashion_news_frequency end as fashion_news_frequency,
                cast(age as smallint) as age, postal_code
         from customers""",
-    "bands": f"""
+    # The two lookups.
+    "bands": """
         select band_name, cast(min_age as smallint) as min_age, cast(max_age as smallint) as max_age
-        from (values {_values(AGE_BAND_ROWS)}) as t(band_name, min_age, max_age)""",
-    "channels": f"""
+        from (values ('16-24', 16, 24), ('25-34', 25, 34), ('35-44', 35, 44), ('45-54', 45, 54),
+                     ('55-64', 55, 64), ('65+', 65, 120)) as t(band_name, min_age, max_age)""",
+    "channels": """
         select cast(sales_channel_id as tinyint) as sales_channel_id, channel_name
-        from (values {_values(SALES_CHANNEL_ROWS)}) as t(sales_channel_id, channel_name)""",
+        from (values (1, 'store'), (2, 'online')) as t(sales_channel_id, channel_name)""",
     "monthly": _monthly("tx"),
     "monthly_rounded": _monthly("tx_rounded"),
     "latest": _latest("monthly"),
@@ -186,19 +184,23 @@ _CTES = {
         left join (select * from snap where dbt_valid_to is null) s using (article_id)""",
     "fact": _fact("stg"),
     "calendar": """
-        select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31',
+        select cast(unnest(generate_series(date '2018-09-01', date '2099-12-31',
                                            interval 1 day)) as date) as date_day""",
 }
 
 
-def _sql(body: str) -> str:
-    """The body with the named queries it needs, directly or through one another."""
+def _sql(body: str, **others: str) -> str:
+    """The body with the named queries it needs, directly or through one another.
+
+    `others` replace named queries.
+    """
+    known = {**_CTES, **others}
     needed, text = [], body
-    for name in reversed(_CTES):
+    for name in reversed(known):
         if re.search(rf"\b{name}\b", text):
             needed.insert(0, name)
-            text += _CTES[name]
-    return "with " + ",\n".join(f"{n} as ({_CTES[n]})" for n in needed) + "\n" + body
+            text += known[name]
+    return "with " + ",\n".join(f"{n} as ({known[n]})" for n in needed) + "\n" + body
 
 
 _ATTRIBUTES = """cast(extract(year from {0}) as integer) as year,
@@ -232,17 +234,13 @@ _REFERS = (
     "select count(*) from {0} c where c.{1} is not null"
     " and not exists (select 1 from {2} p where p.{3} = c.{1})"
 )
-_STANDARD_CALENDAR = (
-    "(select cast(unnest(generate_series(date '2018-09-01', date '2099-12-31', interval 1 day))"
-    " as date) as date_day)"
-)
 _RELATION = {
     "raw_articles": "articles",
     "raw_customers": "customers",
     "stg_transactions": "stg",
     "stg_articles": "stg_articles",
     "stg_customers": "stg_customers",
-    "dim_date": _STANDARD_CALENDAR,
+    "dim_date": "calendar",
     "dim_channel": "dim_channel",
     "dim_customer": "dim_customer",
     "dim_article_price_history": f"({_history('snap')})",
@@ -338,6 +336,32 @@ def _refers_check(child: str, column: str, parent: str, field: str) -> str:
     )
 
 
+def _second_run(first: str, second: str) -> str:
+    """Versions after two runs: the first one's rows, closed where the price moved, and the new ones."""
+    return f"""
+        select {_SNAPSHOT_COLUMNS} from (
+            select f.* replace (case when n.article_id is not null
+                                      and n.median_price is distinct from f.median_price
+                                 then {LATER} end as dbt_valid_to)
+            from {first} f left join {second} n using (article_id)
+            union all
+            select n.* from ({_open(second, LATER)}) n left join {first} f using (article_id)
+            where f.article_id is null or n.median_price is distinct from f.median_price)"""
+
+
+def _quarter() -> str:
+    """What the checks say after each month of the quarter, with the sales up to then."""
+    parts = []
+    for month, following in (("01", "02"), ("02", "03"), ("03", "04")):
+        sales = (
+            _CTES["tx"]
+            + f" where cast(o_orderdate as date) + interval '24' year >= date '2021-01-01'"
+            + f" and cast(o_orderdate as date) + interval '24' year < date '2021-{following}-01'"
+        )
+        parts.append(f"select '2021-{month}' as month, * from ({_sql(_report(), tx=sales)})")
+    return " union all ".join(parts)
+
+
 _BODIES = {
     "csv_typed_scan": """select customer_id, fn as "FN", active as "Active", club_member_status,
         fashion_news_frequency, age, postal_code from customers""",
@@ -358,7 +382,7 @@ _BODIES = {
         union all select 'customers', 'full', count(*), {RUN}, 'ok' from customers
         union all select 'transactions', strftime(t_dat, '%Y-%m'), count(*), {RUN}, 'ok'
                   from tx group by 2
-        union all select 'transactions', '1997-05', count(*), {LATER}, 'ok'
+        union all select 'transactions', '2021-05', count(*), {LATER}, 'ok'
                   from tx where t_dat {IN_MONTH}""",
     "month_row_count":
         "select strftime(t_dat, '%Y-%m') as month, count(*) as n_rows from tx group by 1",
@@ -369,15 +393,19 @@ _BODIES = {
     "seed_channels": """select channels.*, n_sales from channels left join
         (select sales_channel_id, count(*) as n_sales from stg group by 1)
         using (sales_channel_id)""",
+    "seeds_from_csv": """select band_name as age_band, count(*) as n_customers,
+        (select count(*) from channels) as n_channels
+        from stg_customers left join bands on age between min_age and max_age group by 1""",
     "fct_sales_rebuild_month": f"""
-        select * from ({_fact('stg_rounded')}) where sale_month <> date '1997-05-01'
-        union all select * from fact where sale_month = date '1997-05-01'""",
+        select * from ({_fact('stg_rounded')}) where sale_month <> date '2021-05-01'
+        union all select * from fact where sale_month = date '2021-05-01'""",
     "raw_articles": "select * from articles",
     "raw_transactions": f"select {_RAW} from tx",
     "raw_customers": "select * from customers",
     "stg_articles": "select * from stg_articles",
     "stg_transactions": "select * from stg",
     "stg_customers": "select * from stg_customers",
+    "stg_transactions_long_price": "select * from stg_long",
     "month_filter": f"select {_RAW} from tx where t_dat {IN_MONTH}",
     "surrogate_key_single": f"""select customer_id, {_sk('customer_id')} as customer_sk,
         {_sk('fashion_news_frequency')} as nullable_sk from stg_customers""",
@@ -393,15 +421,8 @@ _BODIES = {
         "select sales_channel_id, median(price) as median_price from tx group by 1",
     "latest_median_price": "select * from latest",
     "snapshot_first_run": "select * from snap",
-    "snapshot_one_change": f"""
-        select {_SNAPSHOT_COLUMNS} from (
-            select f.* replace (case when n.article_id is not null
-                                      and n.median_price is distinct from f.median_price
-                                 then {LATER} end as dbt_valid_to)
-            from first_run f left join second_run n using (article_id)
-            union all
-            select n.* from ({_open('second_run', LATER)}) n left join first_run f using (article_id)
-            where f.article_id is null or n.median_price is distinct from f.median_price)""",
+    "snapshot_one_change": _second_run("first_run", "second_run"),
+    "snapshot_vanished_key": _second_run("whole_run", "vanished_run"),
     "snapshot_replay": "select * from replayed",
     "current_price":
         "select article_id, median_price as current_price from replayed"
@@ -416,9 +437,9 @@ _BODIES = {
     "dim_article": "select * from dim_article",
     "dim_article_price_history": "select * from history",
     "fct_sales": "select * from fact",
-    "fct_sales_month": "select * from fact where sale_month = date '1997-05-01'",
+    "fct_sales_month": "select * from fact where sale_month = date '2021-05-01'",
     "sales_between":
-        "select * from fact where sale_date >= date '1997-03-15' and sale_date < date '1997-09-10'",
+        "select * from fact where sale_date >= date '2021-03-15' and sale_date < date '2021-09-10'",
     "article_price_versions": """select article_id, product_name, product_group_name, median_price,
         price_month, valid_from, valid_to, is_current
         from stg_articles join history using (article_id)""",
@@ -441,7 +462,9 @@ _BODIES = {
     "dq_relationships_customer":
         _refers_check("fact", "customer_sk", "dim_customer", "customer_sk"),
     "dq_relationships_unsold": _refers_check("stg_articles", "article_id", "fact", "article_id"),
-    "dq_relationships_date": _refers_check("fact", "sale_date", _STANDARD_CALENDAR, "date_day"),
+    "dq_relationships_date": _refers_check(
+        "fact", "sale_date", "(select * from calendar where date_day < date '2024-01-01')",
+        "date_day"),
     "dq_report": _report(),
     "source_freshness": f"""
         select source_name, max_loaded_at,
@@ -453,18 +476,31 @@ _BODIES = {
                         where o_orderdate > timestamp '2100-01-01')""",
     "build_all": _STAR,
     "run_month": _history("month_snap"),
+    "run_month_twice": _history("(" + _second_run("may", "may_june") + ")"),
     "replay_history": f"""select {_sk('a.article_id')} as article_sk, a.article_id, product_name,
         r.median_price as current_price from stg_articles a
         left join (select * from replayed where dbt_valid_to is null) r using (article_id)""",
 }
 
 _CTES["first_run"] = _open(
-    "(" + _latest("(select * from monthly_rounded where price_month < date '1998-01-01')") + ")",
+    "(" + _latest("(select * from monthly_rounded where price_month < date '2022-01-01')") + ")",
     RUN,
 )
 _CTES["second_run"] = _latest("monthly_rounded")
+_CTES["whole_run"] = _open("second_run", RUN)
+_CTES["vanished_run"] = _latest(
+    "(select * from monthly_rounded where price_month < date '2022-01-01'"
+    " and cast(article_id as int) % 7 <> 0)"
+)
+_CTES["may"] = _open(
+    "(" + _latest("(select * from monthly_rounded where price_month = date '2021-05-01')") + ")", RUN
+)
+_CTES["may_june"] = _latest(
+    "(select * from monthly_rounded where price_month in (date '2021-05-01', date '2021-06-01'))"
+)
 _CTES["month_snap"] = _open(
     "(" + _latest("(" + _monthly(f"(select * from tx where t_dat {IN_MONTH})") + ")") + ")", RUN
 )
 
 ORACLES = {name: _sql(body) for name, body in _BODIES.items()}
+ORACLES["replay_months"] = _quarter()

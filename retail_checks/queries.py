@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,25 +15,45 @@ from starloom.operators import marts, median, quality, snapshot, staging
 from starloom.plans import build
 from starloom.schemas import CUSTOMERS, DATASETS
 from starloom.sinks.landing import LOAD_MONTH, Landing, list_months
-from starloom.sinks.warehouse import Warehouse
+from starloom.sinks.warehouse import LAYERS, Warehouse
 from starloom.sources import csv_files, seeds
 
-MONTH = "1997-05"
+MONTH = "2021-05"
+NEXT_MONTH = "2021-06"
+QUARTER = ["2021-01", "2021-02", "2021-03"]
 RUN = datetime(2019, 3, 1, 12, 0, 0)
 LATER = datetime(2019, 4, 1, 12, 0, 0)
 # The snapshot's first run sees the sales before this day, its second run all of them.
-CUT = "1998-01-01"
+CUT = "2022-01-01"
 
 
 # -- inputs --------------------------------------------------------------------------------------
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder on the storage the session names for checkpoints; a local one if it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/retail-{uuid.uuid4().hex[:12]}"
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    """A new folder on storage that driver and executors share.
+
+    That is the folder the session names for checkpoints, or else its warehouse folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    return f"{shared.rstrip('/')}/retail-{uuid.uuid4().hex[:12]}"
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows, written to a new folder and read back."""
+    folder = scratch(rows.sparkSession)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def taken_from(warehouse: Warehouse, rows: DataFrame) -> DataFrame:
+    """The rows as they are now, after which the databases of the temporary warehouse go."""
+    kept = stored(rows)
+    for layer in LAYERS:
+        warehouse.spark.sql(f"DROP DATABASE IF EXISTS {warehouse.database(layer)} CASCADE")
+    return kept
 
 
 _written: dict[tuple, object] = {}
@@ -48,38 +67,54 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
     return _written[key]
 
 
-def parquet_dir(spark: SparkSession, sf_dir: str, repeated_prices: bool = False) -> str:
+def inputs(spark: SparkSession, sf_dir: str, price: str | None = None) -> dict[str, DataFrame]:
+    return {
+        "transactions": adapter.transactions(spark, sf_dir, price),
+        "articles": adapter.articles(spark, sf_dir),
+        "customers": adapter.customers(spark, sf_dir),
+    }
+
+
+def parquet_dir(spark: SparkSession, sf_dir: str, price: str | None = None) -> str:
     """The three landing files, written once per session."""
 
     def write() -> str:
         folder = scratch(spark)
-        sales = adapter.transactions(spark, sf_dir, repeated_prices=repeated_prices)
-        for name, rows in {
-            "transactions": sales,
-            "articles": adapter.articles(spark, sf_dir),
-            "customers": adapter.customers(spark, sf_dir),
-        }.items():
+        for name, rows in inputs(spark, sf_dir, price).items():
             rows.write.parquet(f"{folder}/{DATASETS[name].file_name}.parquet")
         return folder
 
-    return _once(spark, sf_dir, f"parquet-{repeated_prices}", write)
+    return _once(spark, sf_dir, f"parquet-{price}", write)
 
 
-def landing(spark: SparkSession, sf_dir: str, repeated_prices: bool = False) -> Landing:
+def csv_dir(spark: SparkSession, sf_dir: str) -> str:
+    """A new data folder with the three files as CSV below `raw/`."""
+    folder = scratch(spark)
+    for name, rows in inputs(spark, sf_dir).items():
+        (
+            rows.write.option("header", True)
+            .option("escape", '"')
+            .csv(f"{folder}/raw/{DATASETS[name].file_name}.csv")
+        )
+    return folder
+
+
+def new_warehouse(spark: SparkSession) -> Warehouse:
+    return Warehouse(spark, scratch(spark), prefix=f"q{uuid.uuid4().hex[:12]}_")
+
+
+def landing(spark: SparkSession, sf_dir: str, price: str | None = None) -> Landing:
     """A loader into a new, empty warehouse."""
-    source = parquet_dir(spark, sf_dir, repeated_prices)
-    warehouse = Warehouse(spark, scratch(spark), prefix=f"q{uuid.uuid4().hex[:12]}_")
-    return Landing(warehouse, source)
+    return Landing(new_warehouse(spark), parquet_dir(spark, sf_dir, price))
 
 
 def built(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """A warehouse with everything loaded and built; queries only read it."""
+    """A warehouse with everything converted, loaded and built; queries only read it."""
 
     def make() -> Warehouse:
-        loader = landing(spark, sf_dir)
-        loader.load_history(RUN)
-        build.build(loader.warehouse, RUN)
-        return loader.warehouse
+        w = new_warehouse(spark)
+        build.build_all(w, csv_dir(spark, sf_dir), RUN)
+        return w
 
     return _once(spark, sf_dir, "built", make)
 
@@ -120,17 +155,13 @@ def csv_typed_scan(spark, sf_dir):
 
 
 def csv_to_parquet(spark, sf_dir):
-    folder = scratch(spark)
-    for name, rows in {
-        "transactions": adapter.transactions(spark, sf_dir),
-        "articles": adapter.articles(spark, sf_dir),
-        "customers": adapter.customers(spark, sf_dir),
-    }.items():
-        (
-            rows.write.option("header", True)
-            .option("escape", '"')
-            .csv(f"{folder}/raw/{DATASETS[name].file_name}.csv")
-        )
+    """Converts over what a dead run left: part files without a mark of success."""
+    folder = csv_dir(spark, sf_dir)
+    for d in DATASETS.values():
+        target = f"{folder}/parquet/{d.file_name}.parquet"
+        spark.range(3).write.option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+        ).parquet(target)
     csv_files.convert_all(spark, folder)
     articles = spark.read.parquet(f"{folder}/parquet/articles.parquet")
     sold = spark.read.parquet(f"{folder}/parquet/transactions_train.parquet")
@@ -143,11 +174,11 @@ def csv_to_parquet(spark, sf_dir):
 def load_dimension(spark, sf_dir):
     loader = landing(spark, sf_dir)
     loader.load_dimension("customers", RUN)
-    return loader.warehouse.table("raw", "customers")
+    return taken_from(loader.warehouse, loader.warehouse.table("raw", "customers"))
 
 
 def _loaded(loader: Landing) -> DataFrame:
-    return loader.warehouse.table("raw", "transactions")
+    return taken_from(loader.warehouse, loader.warehouse.table("raw", "transactions"))
 
 
 def load_month(spark, sf_dir):
@@ -158,7 +189,7 @@ def load_month(spark, sf_dir):
 
 def load_month_rerun(spark, sf_dir):
     """All months with rounded prices, then one of them again with the exact ones."""
-    loader = landing(spark, sf_dir, repeated_prices=True)
+    loader = landing(spark, sf_dir, adapter.REPEATED_PRICE)
     loader.load_months(RUN)
     Landing(loader.warehouse, parquet_dir(spark, sf_dir)).load_month(MONTH, LATER)
     return _loaded(loader)
@@ -174,7 +205,7 @@ def load_log(spark, sf_dir):
     loader = landing(spark, sf_dir)
     loader.load_history(RUN)
     loader.load_month(MONTH, LATER)
-    return loader.warehouse.table("raw", "load_log")
+    return taken_from(loader.warehouse, loader.warehouse.table("raw", "load_log"))
 
 
 def month_row_count(spark, sf_dir):
@@ -196,6 +227,23 @@ def seed_age_bands(spark, sf_dir):
     return bands.join(counts, bands.band_name == counts.age_band, "left").drop("age_band")
 
 
+def seeds_from_csv(spark, sf_dir):
+    """The build with bands and channels from CSV files; customers and sales by them."""
+    folder = csv_dir(spark, sf_dir)
+    for name, rows in {
+        "seed_age_bands": seeds.age_bands(spark),
+        "seed_sales_channels": seeds.sales_channels(spark),
+    }.items():
+        rows.coalesce(1).write.option("header", True).csv(f"{folder}/seeds/{name}.csv")
+    w = new_warehouse(spark)
+    build.build_seeds(w, RUN, f"{folder}/seeds")
+    customers = marts.dim_customer(stg_customers(spark, sf_dir), w.table("dwh", "seed_age_bands"))
+    counts = customers.groupBy("age_band").agg(F.count(F.lit(1)).alias("n_customers"))
+    return taken_from(w, counts.crossJoin(
+        w.table("dwh", "seed_sales_channels").agg(F.count(F.lit(1)).alias("n_channels"))
+    ))
+
+
 def seed_channels(spark, sf_dir):
     """Every channel with its number of sales."""
     counts = (
@@ -208,13 +256,13 @@ def seed_channels(spark, sf_dir):
 
 def fct_sales_rebuild_month(spark, sf_dir):
     """A fact from rounded prices in which one month was rebuilt from the exact ones."""
-    loader = landing(spark, sf_dir, repeated_prices=True)
+    loader = landing(spark, sf_dir, adapter.REPEATED_PRICE)
     w = loader.warehouse
     loader.load_months(RUN)
     build.build_fact(w, RUN)
     Landing(w, parquet_dir(spark, sf_dir)).load_months(LATER)
     build.build_fact(w, LATER, month=MONTH)
-    return w.table("dwh", build.FACT)
+    return taken_from(w, w.table("dwh", build.FACT))
 
 
 # -- keys and calendar ---------------------------------------------------------------------------
@@ -237,10 +285,6 @@ def surrogate_key_multi(spark, sf_dir):
     )
 
 
-def _calendar(spark) -> DataFrame:
-    return marts.dim_date(spark, *adapter.CALENDAR)
-
-
 def _sales_per_day(spark, sf_dir) -> DataFrame:
     return (
         stg_transactions(spark, sf_dir)
@@ -251,7 +295,7 @@ def _sales_per_day(spark, sf_dir) -> DataFrame:
 
 def date_spine(spark, sf_dir):
     """Days of the calendar without a sale."""
-    days = _calendar(spark).select("date_day")
+    days = marts.dim_date(spark).select("date_day")
     return days.join(_sales_per_day(spark, sf_dir), "date_day", "left_anti")
 
 
@@ -264,7 +308,7 @@ def date_attributes_query(spark, sf_dir):
 def dim_date(spark, sf_dir):
     """The calendar with the number of sales per day, days without sales included."""
     return (
-        _calendar(spark)
+        marts.dim_date(spark)
         .join(_sales_per_day(spark, sf_dir), "date_day", "left")
         .withColumn("n_sales", F.coalesce("n_sales", F.lit(0)))
     )
@@ -273,11 +317,8 @@ def dim_date(spark, sf_dir):
 # -- prices and their history --------------------------------------------------------------------
 
 
-def monthly(spark, sf_dir, **kwargs):
-    """Monthly medians. No group can hold more rows than there are order lines, and those are
-    counted from file footers."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
-    return median.monthly_median_price(raw_transactions(spark, sf_dir, **kwargs), lines)
+def monthly(spark, sf_dir, price=None):
+    return median.monthly_median_price(raw_transactions(spark, sf_dir, price=price), scratch(spark))
 
 
 def monthly_median_price(spark, sf_dir):
@@ -288,7 +329,7 @@ def median_by_rank(spark, sf_dir):
     """Median price per channel, with each group spread over many tasks."""
     return median.exact_median(
         raw_transactions(spark, sf_dir), ["sales_channel_id"], "price", "median_price",
-        max_group_rows=1000,
+        scratch(spark), max_group_values=1000,
     )
 
 
@@ -305,14 +346,25 @@ def snapshot_first_run(spark, sf_dir):
 def snapshot_one_change(spark, sf_dir):
     """Two runs over rounded prices: the second sees the sales since the first."""
     checked = ("article_id", ["median_price"])
-    prices = monthly(spark, sf_dir, repeated_prices=True)
+    prices = stored(monthly(spark, sf_dir, adapter.REPEATED_PRICE))
     before = prices.where(F.col("price_month") < F.lit(CUT).cast("date"))
     first = snapshot.snapshot_check(None, median.latest_price(before), *checked, RUN)
     return snapshot.snapshot_check(first, median.latest_price(prices), *checked, LATER)
 
 
+def snapshot_vanished_key(spark, sf_dir):
+    """A second run whose source lacks every seventh article; their rows stay open."""
+    checked = ("article_id", ["median_price"])
+    prices = stored(monthly(spark, sf_dir, adapter.REPEATED_PRICE))
+    first = snapshot.snapshot_check(None, median.latest_price(prices), *checked, RUN)
+    left = prices.where("cast(article_id as int) % 7 <> 0").where(
+        F.col("price_month") < F.lit(CUT).cast("date")
+    )
+    return snapshot.snapshot_check(first, median.latest_price(left), *checked, LATER)
+
+
 def snapshot_replay(spark, sf_dir):
-    return snapshot.replay(monthly(spark, sf_dir, repeated_prices=True))
+    return snapshot.replay(monthly(spark, sf_dir, adapter.REPEATED_PRICE))
 
 
 def price_history(spark, sf_dir):
@@ -331,7 +383,7 @@ def fct_sales(spark, sf_dir):
 
 
 def fct_sales_month(spark, sf_dir):
-    return marts.fct_sales(stg_transactions(spark, sf_dir, month=MONTH), MONTH)
+    return marts.fct_sales(stg_transactions(spark, sf_dir), MONTH)
 
 
 def dim_channel(spark, sf_dir):
@@ -361,7 +413,7 @@ def article_price_versions(spark, sf_dir):
 def star_sales(spark, sf_dir):
     return marts.star_sales_by_month_band_channel(
         fct_sales(spark, sf_dir),
-        _calendar(spark),
+        marts.dim_date(spark),
         dim_customer(spark, sf_dir),
         marts.dim_channel(seeds.sales_channels(spark)),
     )
@@ -369,7 +421,7 @@ def star_sales(spark, sf_dir):
 
 def sales_between(spark, sf_dir):
     """Sales of half a year from the built fact, reading only its months."""
-    start, end = datetime(1997, 3, 15).date(), datetime(1997, 9, 10).date()
+    start, end = date(2021, 3, 15), date(2021, 9, 10)
     return marts.sales_between(built(spark, sf_dir).table("dwh", build.FACT), start, end)
 
 
@@ -407,7 +459,7 @@ def dq_accepted_values(spark, sf_dir):
 
 
 def dq_between_strict(spark, sf_dir):
-    rounded = stg_transactions(spark, sf_dir, repeated_prices=True)
+    rounded = stg_transactions(spark, sf_dir, price=adapter.REPEATED_PRICE)
     return quality.between(rounded, "price", minimum=0, strictly=True)
 
 
@@ -434,10 +486,9 @@ def dq_relationships_unsold(spark, sf_dir):
 
 
 def dq_relationships_date(spark, sf_dir):
-    """The sales lie before the first day of the standard calendar, so every day fails."""
-    return quality.relationships(
-        fct_sales(spark, sf_dir), "sale_date", marts.dim_date(spark), "date_day"
-    )
+    """A calendar that ends in 2023 lacks the days of later sales."""
+    calendar = marts.dim_date(spark, end=date(2024, 1, 1))
+    return quality.relationships(fct_sales(spark, sf_dir), "sale_date", calendar, "date_day")
 
 
 def dq_report(spark, sf_dir):
@@ -460,11 +511,11 @@ def source_freshness(spark, sf_dir):
 
 
 def build_all(spark, sf_dir):
-    """Load and build everything, then ask the star a question."""
+    """From CSV files to the star by the whole job, then a question to the star."""
     w = built(spark, sf_dir)
     return marts.star_sales_by_month_band_channel(
         w.table("dwh", "fct_sales"),
-        _calendar(spark),
+        w.table("dwh", "dim_date"),
         w.table("dwh", "dim_customer"),
         w.table("dwh", "dim_channel"),
     )
@@ -474,20 +525,46 @@ def run_month(spark, sf_dir):
     """The monthly job in a new warehouse; the price history it leaves."""
     loader = landing(spark, sf_dir)
     build.run_month(loader, MONTH, RUN)
-    return loader.warehouse.table("dwh", "dim_article_price_history")
+    return taken_from(
+        loader.warehouse, loader.warehouse.table("dwh", "dim_article_price_history")
+    )
+
+
+def run_month_twice(spark, sf_dir):
+    """Two monthly jobs in a row; open and closed price versions after the second."""
+    loader = landing(spark, sf_dir, adapter.REPEATED_PRICE)
+    build.run_month(loader, MONTH, RUN)
+    build.run_month(loader, NEXT_MONTH, LATER)
+    return taken_from(
+        loader.warehouse, loader.warehouse.table("dwh", "dim_article_price_history")
+    )
+
+
+def replay_months(spark, sf_dir):
+    """The monthly job for each month of a quarter; what the checks said after each."""
+    loader = landing(spark, sf_dir)
+    return taken_from(loader.warehouse, build.replay_months(loader, QUARTER))
 
 
 def replay_history(spark, sf_dir):
     """All months loaded and replayed; every article with its open price."""
-    loader = landing(spark, sf_dir, repeated_prices=True)
+    loader = landing(spark, sf_dir, adapter.REPEATED_PRICE)
     build.replay_history(loader, RUN)
-    return loader.warehouse.table("dwh", "dim_article").select(
-        "article_sk", "article_id", "product_name", "current_price"
+    return taken_from(
+        loader.warehouse,
+        loader.warehouse.table("dwh", "dim_article").select(
+            "article_sk", "article_id", "product_name", "current_price"
+        ),
     )
 
 
 def month_filter(spark, sf_dir):
-    return raw_transactions(spark, sf_dir, month=MONTH).where(in_month("t_dat", MONTH))
+    return raw_transactions(spark, sf_dir).where(in_month("t_dat", MONTH))
+
+
+def stg_transactions_long_price(spark, sf_dir):
+    """Prices of more decimals than the cleaned layer keeps."""
+    return stg_transactions(spark, sf_dir, price=adapter.LONG_PRICE)
 
 
 QUERIES = {
@@ -502,6 +579,7 @@ QUERIES = {
     "list_months": all_months,
     "seed_age_bands": seed_age_bands,
     "seed_channels": seed_channels,
+    "seeds_from_csv": seeds_from_csv,
     "fct_sales_rebuild_month": fct_sales_rebuild_month,
     "raw_articles": raw_articles,
     "raw_transactions": raw_transactions,
@@ -509,6 +587,7 @@ QUERIES = {
     "stg_articles": stg_articles,
     "stg_transactions": stg_transactions,
     "stg_customers": stg_customers,
+    "stg_transactions_long_price": stg_transactions_long_price,
     "month_filter": month_filter,
     "surrogate_key_single": surrogate_key_single,
     "surrogate_key_multi": surrogate_key_multi,
@@ -519,6 +598,7 @@ QUERIES = {
     "latest_median_price": latest_median_price,
     "snapshot_first_run": snapshot_first_run,
     "snapshot_one_change": snapshot_one_change,
+    "snapshot_vanished_key": snapshot_vanished_key,
     "snapshot_replay": snapshot_replay,
     "current_price": current_price,
     "dim_date": dim_date,
@@ -547,5 +627,7 @@ QUERIES = {
     "source_freshness": source_freshness,
     "build_all": build_all,
     "run_month": run_month,
+    "run_month_twice": run_month_twice,
+    "replay_months": replay_months,
     "replay_history": replay_history,
 }

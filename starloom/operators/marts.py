@@ -21,6 +21,24 @@ from starloom.schemas import VALID_FROM, VALID_TO
 CALENDAR_START = date(2018, 9, 1)
 CALENDAR_END = date(2100, 1, 1)
 
+# The attributes of the article dimension, in order.
+ARTICLE_ATTRIBUTES = [
+    "article_id",
+    "product_code",
+    "product_name",
+    "product_type_name",
+    "product_group_name",
+    "graphical_appearance_name",
+    "colour_group_name",
+    "perceived_colour_value_name",
+    "perceived_colour_master_name",
+    "department_name",
+    "index_name",
+    "index_group_name",
+    "section_name",
+    "garment_group_name",
+]
+
 
 def dim_date(
     spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END
@@ -39,9 +57,9 @@ def dim_customer(customers: DataFrame, age_bands: DataFrame) -> DataFrame:
 
     Ages are whole numbers, so each band is spelled out as one row per age and the range join
     becomes an equi-join. That lookup is bounded by the 65,536 smallint values per band, hence
-    the broadcast.
+    the broadcast. A band whose ends are swapped holds no age.
     """
-    band_of_age = age_bands.select(
+    band_of_age = age_bands.where("min_age <= max_age").select(
         F.explode(F.sequence("min_age", "max_age")).alias("age"),
         F.col("band_name").alias("age_band"),
     )
@@ -65,13 +83,9 @@ def current_price(snapshot: DataFrame) -> DataFrame:
 
 
 def dim_article(articles: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Articles, less their long description, with the price of their open version.
-
-    Articles never sold have no price.
-    """
-    attributes = [c for c in articles.columns if c != "detail_description"]
+    """Articles with the price of their open version; articles never sold have none."""
     return articles.join(current_price(snapshot), "article_id", "left").select(
-        surrogate_key("article_id").alias("article_sk"), *attributes, "current_price"
+        surrogate_key("article_id").alias("article_sk"), *ARTICLE_ATTRIBUTES, "current_price"
     )
 
 

@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import month_start
 
-# A group of up to this many rows is ranked by one task, which sorts and spills it. Larger groups
-# are cut into runs of values that many tasks share.
-MAX_GROUP_ROWS = 10_000_000
-# At most this many large groups are listed on the driver and broadcast. If there are more, rows
-# and groups are joined on the group and one of this many salts.
-MAX_LISTED_GROUPS = 10_000
-SALTS = 64
+# A group of up to this many distinct values is ranked by one task, which sorts and spills them.
+# Larger groups are cut into runs of values that many tasks share.
+MAX_GROUP_VALUES = 10_000_000
 
 
 def exact_median(
@@ -23,48 +17,43 @@ def exact_median(
     keys: list[str],
     value: str,
     alias: str,
-    at_most: int | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    max_listed_groups: int = MAX_LISTED_GROUPS,
+    folder: str,
+    max_group_values: int = MAX_GROUP_VALUES,
 ) -> DataFrame:
     """Median of `value` per `keys`; nulls do not count, and a group of nulls has a null median.
 
-    `at_most` is a known bound on the rows of any group, such as the row count of the table. If it
-    does not settle that all groups are small, the groups are counted first, and measured large
-    ones are selected by rank over many tasks.
+    The rows are read once, to count each distinct value of a group. The counts are written to
+    `folder`, a new folder on shared storage that must outlive the result; sizes and ranks come
+    from there. Each group is ranked by the method its own size asks for, in one plan.
     """
-    if at_most is not None and at_most <= max_group_rows:
-        return _median_by_group(rows, keys, value, alias)
-    large = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"), F.count(value).alias("__values"))
-        .where(F.col("__rows") > max_group_rows)
-    )
-    listed = large.limit(max_listed_groups + 1).collect()
-    if not listed:
-        return _median_by_group(rows, keys, value, alias)
-    few = len(listed) <= max_listed_groups
-    if few:
-        large = rows.sparkSession.createDataFrame(listed, large.schema)
-    groups = large.select(*keys)
-    usual = _match(rows, groups, keys, value, "left_anti", few)
-    heavy = _match(rows, groups, keys, value, "left_semi", few)
-    without_values = large.where("__values = 0").select(
-        *keys, F.lit(None).cast("double").alias(alias)
-    )
-    return (
-        _median_by_group(usual, keys, value, alias)
-        .unionByName(median_by_rank(heavy, keys, value, alias, few))
-        .unionByName(without_values)
+    weights = _written(_weights(rows, keys, value), f"{folder}/weights")
+    large = _written(
+        weights.groupBy(*keys)
+        .agg(F.count(value).alias("__values"))
+        .where(F.col("__values") > max_group_values)
+        .select(*keys),
+        f"{folder}/large",
     )
 
+    def matching(how: str) -> DataFrame:
+        same = [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
+        return weights.alias("r").join(large.alias("g"), same, how)
+
+    usual = _median_by_group(matching("left_anti"), keys, value, alias)
+    return usual.unionByName(_median_by_rank(matching("left_semi"), keys, value, alias))
+
+
+def _written(rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.option("compression", "zstd").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
 
 def _weights(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Each distinct value of a group with its count. Repeats collapse before the shuffle."""
     return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__weight"))
 
 
-def _median_by_group(rows: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+def _median_by_group(weights: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
     """Rank a group's distinct values by their running counts and keep the middle one or two.
 
     Sorting a few counted values stays in generated code and is faster than the built-in median,
@@ -74,8 +63,7 @@ def _median_by_group(rows: DataFrame, keys: list[str], value: str, alias: str) -
     up_to = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     weight = F.when(F.col(value).isNull(), 0).otherwise(F.col("__weight"))
     middle = (
-        _weights(rows, keys, value)
-        .withColumn("__weight", weight)
+        weights.withColumn("__weight", weight)
         .withColumn("__to", F.sum("__weight").over(up_to))
         .withColumn("__n", F.sum("__weight").over(group))
         .where(
@@ -86,42 +74,18 @@ def _median_by_group(rows: DataFrame, keys: list[str], value: str, alias: str) -
     return middle.groupBy(*keys).agg((F.min(value) * 0.5 + F.max(value) * 0.5).alias(alias))
 
 
-def _match(
-    rows: DataFrame,
-    groups: DataFrame,
-    keys: list[str],
-    value: str,
-    how: str,
-    few: bool,
-    also: Callable[[], Column] | None = None,
-) -> DataFrame:
-    """Join rows to a list of groups. A short list is broadcast. A long one is copied once per
-    salt, and the rows of a group are spread over the salts by their value."""
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
-    if also is not None:
-        same.append(also())
-    if few:
-        return rows.alias("r").join(F.broadcast(groups.alias("g")), same, how)
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    groups = groups.withColumn("__salt", F.explode(salts))
-    rows = rows.withColumn("__salt", F.pmod(F.hash(value), F.lit(SALTS)))
-    same.append(F.col("r.__salt") == F.col("g.__salt"))
-    joined = rows.alias("r").join(groups.alias("g"), same, how)
-    return joined.drop(F.col("r.__salt"))
-
-
-def median_by_rank(
-    rows: DataFrame, keys: list[str], value: str, alias: str, few: bool = True
-) -> DataFrame:
+def _median_by_rank(weights: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
     """The same median with every group spread over many tasks; groups of nulls are left out.
 
-    1. Count each distinct value per group; repeated values collapse before the shuffle.
-    2. Range-partition on (group, value) and sum the counts per group and partition. This cuts
-       each group into runs of consecutive values with known ends and weights.
-    3. Running totals over those few runs tell which one or two hold the middle ranks.
-    4. Only the values inside those runs are ranked one by one.
+    1. Range-partition the counted values on (group, value) and sum the counts per group and
+       partition. This cuts each group into runs of consecutive values with known ends and weights.
+    2. Running totals over those few runs tell which one or two hold the middle ranks.
+    3. Only the values inside those runs are ranked one by one.
+
+    Each group has over MAX_GROUP_VALUES values and at most two runs to rank, so the list of runs
+    that is broadcast has at most two rows for so many counted values.
     """
-    counted = _weights(rows.where(F.col(value).isNotNull()), keys, value)
+    counted = weights.where(F.col(value).isNotNull())
 
     runs = (
         counted.repartitionByRange(*keys, value)
@@ -145,12 +109,12 @@ def median_by_rank(
         .select(*keys, "__low", "__high", "__start", "__rank_low", "__rank_high")
     )
 
+    in_run = [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
+    in_run.append(F.col(f"r.{value}").between(F.col("g.__low"), F.col("g.__high")))
     run = Window.partitionBy(*keys, "__low").orderBy(value)
     ranked = (
-        _match(
-            counted, targets, keys, value, "inner", few,
-            also=lambda: F.col(f"r.{value}").between(F.col("g.__low"), F.col("g.__high")),
-        )
+        counted.alias("r")
+        .join(F.broadcast(targets.alias("g")), in_run)
         .select("r.*", "g.__low", "g.__start", "g.__rank_low", "g.__rank_high")
         .withColumn("__to", F.col("__start") + F.sum("__weight").over(
             run.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -166,14 +130,12 @@ def median_by_rank(
     )
 
 
-def monthly_median_price(raw_transactions: DataFrame, at_most: int | None = None) -> DataFrame:
-    """Median landing price per article and calendar month."""
+def monthly_median_price(raw_transactions: DataFrame, folder: str) -> DataFrame:
+    """Median landing price per article and calendar month; `folder` as in exact_median."""
     by_month = raw_transactions.select(
         "article_id", month_start("t_dat").alias("price_month"), "price"
     )
-    return exact_median(
-        by_month, ["article_id", "price_month"], "price", "median_price", at_most
-    )
+    return exact_median(by_month, ["article_id", "price_month"], "price", "median_price", folder)
 
 
 def latest_price(monthly: DataFrame) -> DataFrame:

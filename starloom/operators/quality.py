@@ -17,8 +17,6 @@ from starloom.schemas import INGESTION_TS
 
 # Fixed value: age at which a landing table counts as stale.
 FRESHNESS = timedelta(hours=48)
-# At most this many repeated hashes are brought to the driver and put into a filter.
-MAX_LISTED_HASHES = 10_000
 
 
 def _outside(
@@ -49,15 +47,9 @@ def unique(rows: DataFrame, column: str) -> DataFrame:
 def unique_combination(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Column combinations that occur more than once; nulls group together.
 
-    Rows are first counted by a 64-bit hash of the columns, which shuffles a few bytes per row
-    instead of all columns. Only rows whose hash repeats can fail, so only those are grouped by
-    their columns. If too many hashes repeat to be listed, all rows are.
+    Repeats combine before the shuffle, and rows move once. Narrowing the rows down by a hash first
+    would move them twice, unless the repeated hashes were brought to the driver.
     """
-    hashed = F.xxhash64(*columns)
-    repeated = rows.groupBy(hashed.alias("h")).count().where("count > 1").select("h")
-    listed = [r["h"] for r in repeated.limit(MAX_LISTED_HASHES + 1).collect()]
-    if len(listed) <= MAX_LISTED_HASHES:
-        rows = rows.where(hashed.isin(listed)) if listed else rows.limit(0)
     return (
         rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
     )
@@ -213,23 +205,64 @@ def _row_failures(rows: DataFrame, checks: list[Check]) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
-def _group_failures(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
-    rows = tables[check.table]
+def _group_failures(check: Check, rows: DataFrame) -> DataFrame:
     if check.where:
         rows = rows.where(check.where)
     if check.kind == "unique":
-        failing, count = unique(rows, check.column), F.count(F.lit(1))
-    elif check.kind == "unique_combination":
-        failing, count = unique_combination(rows, list(check.columns)), F.count(F.lit(1))
+        failing = unique(rows, check.column)
     else:
-        parent, field = check.parent
-        failing = relationships(rows, check.column, tables[parent], field)
-        count = F.coalesce(F.sum("n_records"), F.lit(0))
-    return failing.agg(count.alias("failures")).select(
+        failing = unique_combination(rows, list(check.columns))
+    return failing.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(check.name).alias("check_name"), F.lit(check.table).alias("table_name"), "failures"
     )
 
 
+def _reference_failures(
+    rows: DataFrame, checks: list[Check], tables: dict[str, DataFrame]
+) -> DataFrame:
+    """All foreign keys of one table from one scan: a row without parents counts once per key.
+
+    Keys are counted by column and value before the shuffle, so a key that a third of the rows
+    hold is one row from each task. As in relationships(), the join is an outer one.
+    """
+    pairs = [
+        F.struct(F.lit(i).alias("reference"), F.col(c.column).cast("string").alias("key"))
+        for i, c in enumerate(checks)
+    ]
+    keys = (
+        rows.select(F.inline(F.array(*pairs)))
+        .where(F.col("key").isNotNull())
+        .groupBy("reference", "key")
+        .agg(F.count(F.lit(1)).alias("n_records"))
+    )
+    parents = None
+    for i, c in enumerate(checks):
+        table, field = c.parent
+        own = tables[table].select(F.lit(i).alias("reference"), F.col(field).cast("string").alias("key"))
+        parents = own if parents is None else parents.unionByName(own)
+    parents = parents.distinct().withColumn("found", F.lit(True))
+    missing = F.when(F.col("found").isNull(), F.col("n_records")).otherwise(0)
+    failures = (
+        keys.join(parents, ["reference", "key"], "left")
+        .groupBy("reference")
+        .agg(F.sum(missing).alias("failures"))
+    )
+    names = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("reference"),
+                F.lit(c.name).alias("check_name"),
+                F.lit(c.table).alias("table_name"),
+            )
+            for i, c in enumerate(checks)
+        ]
+    )
+    listed = rows.sparkSession.range(0, 1, 1, 1).select(F.inline(names))
+    return listed.join(failures, "reference", "left").select(
+        "check_name", "table_name", F.coalesce("failures", F.lit(0)).alias("failures")
+    )
+
+
 def report(tables: dict[str, DataFrame], suite: list[Check] = SUITE) -> DataFrame:
     """One row per declared check whose tables are given: name, table, failures, status."""
     known = [
@@ -240,7 +273,14 @@ def report(tables: dict[str, DataFrame], suite: list[Check] = SUITE) -> DataFram
         on_rows = [c for c in known if c.table == table and c.kind in _ROW_KINDS]
         if on_rows:
             parts.append(_row_failures(tables[table], on_rows))
-    parts += [_group_failures(c, tables) for c in known if c.kind not in _ROW_KINDS]
+        references = [c for c in known if c.table == table and c.kind == "relationships"]
+        if references:
+            parts.append(_reference_failures(tables[table], references, tables))
+    parts += [
+        _group_failures(c, tables[c.table])
+        for c in known
+        if c.kind in ("unique", "unique_combination")
+    ]
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)

@@ -23,6 +23,7 @@ RAW_CUSTOMERS = [
     INGESTION_TS,
 ]
 
+# The columns of the cleaned layer and where each comes from.
 STG_TRANSACTIONS = [
     "cast(t_dat as date) as sale_date",
     "customer_id",
@@ -52,11 +53,11 @@ STG_ARTICLES = [
 # bround: a fractional age rounds half to even before it narrows, where a bare cast would truncate.
 STG_CUSTOMERS = [
     "customer_id",
-    "coalesce(fn, 0) <> 0 as has_fashion_news",
-    "coalesce(active, 0) <> 0 as is_active",
+    "cast(coalesce(fn, 0) as boolean) as has_fashion_news",
+    "cast(coalesce(active, 0) as boolean) as is_active",
     "club_member_status",
-    "if(upper(fashion_news_frequency) = 'NONE', 'NONE', fashion_news_frequency)"
-    " as fashion_news_frequency",
+    "case when upper(fashion_news_frequency) = 'NONE' then 'NONE'"
+    " else fashion_news_frequency end as fashion_news_frequency",
     "cast(bround(age) as smallint) as age",
     "postal_code",
 ]

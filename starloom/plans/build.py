@@ -14,7 +14,7 @@ from starloom.operators import marts, median, quality, snapshot, staging
 from starloom.schemas import DATASETS, SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO
 from starloom.sinks.landing import LOAD_MONTH, Landing, loaded_months
 from starloom.sinks.warehouse import LAYERS, VERSION, Warehouse, write_partitioned
-from starloom.sources import csv_files, seeds
+from starloom.sources import csv_files, files, seeds
 
 SNAPSHOT = "snap_article_price"
 _SNAPSHOT_DATA = "snap_article_price_versions"
@@ -38,6 +38,9 @@ _MONTHLY_SCHEMA = T.StructType(
     [T.StructField("article_id", T.StringType()), T.StructField("median_price", T.DoubleType())]
 )
 
+# Names of the two lookups.
+SEEDS = ("seed_age_bands", "seed_sales_channels")
+
 FACT = "fct_sales"
 _FACT_DATA = "fct_sales_months"
 _FACT_COLUMNS = [
@@ -79,11 +82,11 @@ def _refresh_months(
     build: Callable[[DataFrame], DataFrame],
     run_ts: datetime,
     months: list[str] | None = None,
-) -> dict[str, str]:
+) -> tuple[dict[str, str], list[str]]:
     """Rebuild the months of a derived table that were loaded again since its last build.
 
     `months` rebuilds exactly those instead. Months that no load touched would come out the same,
-    so they are neither read nor written. Returns the loaded months.
+    so they are neither read nor written. Returns the loaded months, and those rebuilt.
     """
     w.create_partitioned(
         layer, table, schema, T.StructType([T.StructField(partition, T.DateType())])
@@ -98,11 +101,13 @@ def _refresh_months(
         write_partitioned(build(rows), partition, folder)
         w.swap_partitions(layer, table, folder)
         w.set_properties(layer, table, {_BUILT + m: loaded[m] for m in months if m in loaded})
-    return loaded
+    return loaded, months
 
 
-def build_fact(w: Warehouse, run_ts: datetime | None = None, month: str | None = None) -> None:
-    """Bring the sales fact up to date, or rebuild one month of it.
+def build_fact(
+    w: Warehouse, run_ts: datetime | None = None, month: str | None = None
+) -> list[str]:
+    """Bring the sales fact up to date, or rebuild one month of it; returns the months rebuilt.
 
     Months in the new rows replace those of the table. Months the new rows lack stay, even if
     their transactions are gone. The rebalance sits between the sum and the hash keys: it moves
@@ -116,25 +121,26 @@ def build_fact(w: Warehouse, run_ts: datetime | None = None, month: str | None =
         grain = marts.sales_grain(transactions, month)
         return marts.with_sales_keys(grain.hint("rebalance", F.col("sale_month")))
 
-    _refresh_months(
+    _, rebuilt = _refresh_months(
         w, "dwh", _FACT_DATA, _FACT_SCHEMA, "sale_month", build, run_ts or utc_now(),
         None if month is None else [month],
     )
     w.create_view("dwh", FACT, _FACT_COLUMNS, w.name("dwh", _FACT_DATA))
+    return rebuilt
 
 
 def _refresh_monthly_prices(w: Warehouse, run_ts: datetime) -> DataFrame:
     """Median price per article and month, recomputed only for months that were loaded again."""
+    counted = f"{w.root}/stg/builds/{_MONTHLY}_counted/{w.new_run(run_ts)}"
 
     def build(landing: DataFrame) -> DataFrame:
-        # Row counts come from file footers. No article can sell more than its month did.
-        largest = landing.groupBy(LOAD_MONTH).count().agg(F.max("count")).first()[0]
-        monthly = median.monthly_median_price(staging.raw_transactions(landing), largest)
+        monthly = median.monthly_median_price(staging.raw_transactions(landing), counted)
         return monthly.hint("rebalance", F.col("price_month"))
 
-    loaded = _refresh_months(
+    loaded, _ = _refresh_months(
         w, "stg", _MONTHLY, _MONTHLY_SCHEMA, "price_month", build, run_ts
     )
+    files.delete(w.spark, counted)
     kept = {f"price_month={month}-01" for month in loaded}
     gone = [s for s in w.partitions("stg", _MONTHLY) if s not in kept]
     w.drop_partitions("stg", _MONTHLY, gone)
@@ -226,15 +232,24 @@ def build_snapshot_history(w: Warehouse) -> None:
 # -- layers and whole runs -----------------------------------------------------------------------
 
 
-def build_seeds(w: Warehouse, run_ts: datetime | None = None) -> None:
+def build_seeds(
+    w: Warehouse, run_ts: datetime | None = None, seeds_dir: str | None = None
+) -> None:
+    """The two lookups, from `seed_age_bands.csv` and `seed_sales_channels.csv` if a folder is given."""
     run_ts = run_ts or utc_now()
-    w.replace_table("dwh", "seed_age_bands", seeds.age_bands(w.spark), run_ts)
-    w.replace_table("dwh", "seed_sales_channels", seeds.sales_channels(w.spark), run_ts)
+    path = {n: f"{seeds_dir}/{n}.csv" if seeds_dir else None for n in SEEDS}
+    bands, channels = SEEDS
+    w.replace_table("dwh", bands, seeds.age_bands(w.spark, path[bands]), run_ts)
+    w.replace_table("dwh", channels, seeds.sales_channels(w.spark, path[channels]), run_ts)
+
 
+def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> list[str]:
+    """Build the models of one layer: the raw or staging views, or the star tables.
 
-def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> None:
-    """Build the models of one layer: the raw or staging views, or the star tables."""
+    Returns the months of the fact that were rebuilt.
+    """
     run_ts = run_ts or utc_now()
+    rebuilt = []
     if layer == "raw":
         for view, (source, columns) in staging.RAW_VIEWS.items():
             w.create_view("raw", view, columns, w.name("raw", source))
@@ -256,37 +271,81 @@ def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> Non
         w.create_view(
             "dwh", "dim_article_price_history", marts.PRICE_HISTORY, w.name("stg", SNAPSHOT)
         )
-        build_fact(w, run_ts)
+        rebuilt = build_fact(w, run_ts)
     else:
         raise ValueError(f"not a layer: {layer!r} (expected one of {LAYERS})")
+    return rebuilt
 
 
-def warehouse_tables(w: Warehouse) -> dict[str, DataFrame]:
-    """The tables and views the declared checks look at."""
+def warehouse_tables(w: Warehouse, months: list[str] | None = None) -> dict[str, DataFrame]:
+    """The tables and views the declared checks look at; sales of the given months only, if any.
+
+    Every check on sales is about single rows or a grain that holds the date, so what was not
+    rebuilt cannot change its answer.
+    """
     names = {"raw": staging.RAW_VIEWS, "stg": staging.STG_VIEWS}
     tables = {v: w.table(layer, v) for layer, views in names.items() for v in views}
     dwh = ("dim_date", "dim_channel", "dim_customer", "dim_article",
            "dim_article_price_history", FACT)
-    return {**tables, **{t: w.table("dwh", t) for t in dwh}}
+    tables = {**tables, **{t: w.table("dwh", t) for t in dwh}}
+    if months is not None:
+        landed = w.table("raw", "transactions").where(F.col(LOAD_MONTH).isin(months))
+        tables["stg_transactions"] = staging.stg_transactions(staging.raw_transactions(landed))
+        first_days = [month_bounds(m)[0] for m in months]
+        tables[FACT] = tables[FACT].where(F.col("sale_month").isin(first_days))
+    return tables
+
+
+class ChecksFailed(Exception):
+    """Declared checks that failed, as rows of the report."""
+
+    def __init__(self, failed: list) -> None:
+        super().__init__(", ".join(f"{r.check_name}: {r.failures}" for r in failed))
+        self.failed = failed
+
+
+def _checked(report: DataFrame, stop_on_failure: bool) -> DataFrame:
+    """The report; with stop_on_failure it is evaluated, and a failed check ends the job."""
+    if stop_on_failure:
+        failed = report.where("status = 'fail'").collect()
+        if failed:
+            raise ChecksFailed(failed)
+    return report
 
 
-def build(w: Warehouse, run_ts: datetime | None = None) -> DataFrame:
-    """Seeds, views, snapshot and star, in dependency order; returns the check report."""
+def build(
+    w: Warehouse,
+    run_ts: datetime | None = None,
+    seeds_dir: str | None = None,
+    only_rebuilt: bool = False,
+    stop_on_failure: bool = False,
+) -> DataFrame:
+    """Seeds, views, snapshot and star, in dependency order; returns the check report.
+
+    With only_rebuilt, checks on sales look at the months this run rebuilt.
+    """
     run_ts = run_ts or utc_now()
-    build_seeds(w, run_ts)
+    build_seeds(w, run_ts, seeds_dir)
     build_layer(w, "raw", run_ts)
     build_layer(w, "stg", run_ts)
     build_snapshot(w, run_ts)
-    build_layer(w, "dwh", run_ts)
-    return quality.report(warehouse_tables(w))
+    rebuilt = build_layer(w, "dwh", run_ts)
+    report = quality.report(warehouse_tables(w, rebuilt if only_rebuilt else None))
+    return _checked(report, stop_on_failure)
 
 
-def build_all(w: Warehouse, data_dir: str, run_ts: datetime | None = None) -> DataFrame:
+def build_all(
+    w: Warehouse,
+    data_dir: str,
+    run_ts: datetime | None = None,
+    seeds_dir: str | None = None,
+    stop_on_failure: bool = False,
+) -> DataFrame:
     """From the CSV files: convert, load everything, build; returns the check report."""
     run_ts = run_ts or utc_now()
     csv_files.convert_all(w.spark, data_dir)
     Landing(w, f"{data_dir}/parquet").load_history(run_ts)
-    return build(w, run_ts)
+    return build(w, run_ts, seeds_dir, stop_on_failure=stop_on_failure)
 
 
 def source_freshness(w: Warehouse, run_ts: datetime | None = None) -> DataFrame:
@@ -295,20 +354,47 @@ def source_freshness(w: Warehouse, run_ts: datetime | None = None) -> DataFrame:
 
 
 def run_month(
-    landing: Landing, month: str, run_ts: datetime | None = None
+    landing: Landing,
+    month: str,
+    run_ts: datetime | None = None,
+    seeds_dir: str | None = None,
+    stop_on_failure: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """The monthly job: replace both dimensions, load one month, build, then check freshness."""
+    """The monthly job: replace both dimensions, load one month, build, then check freshness.
+
+    Checks on sales look at the months built in this run; quality.report(warehouse_tables(w))
+    looks at all of them.
+    """
     run_ts = run_ts or utc_now()
     landing.load_dimension("articles", run_ts)
     landing.load_dimension("customers", run_ts)
     landing.load_month(month, run_ts)
-    return build(landing.warehouse, run_ts), source_freshness(landing.warehouse, run_ts)
+    report = build(landing.warehouse, run_ts, seeds_dir, True, stop_on_failure)
+    return report, source_freshness(landing.warehouse, run_ts)
 
 
-def replay_months(landing: Landing, months: list[str] | None = None) -> None:
-    """Run the monthly job for each month in order, stamped with the month's first day."""
+def replay_months(
+    landing: Landing, months: list[str] | None = None, stop_on_failure: bool = False
+) -> DataFrame:
+    """Run the monthly job for each month in order, stamped with the month's first day.
+
+    Returns what the checks said after each month. Each report is evaluated before the next month
+    changes the tables; it has one row per declared check.
+    """
+    spark = landing.warehouse.spark
+    said, schema = [], None
     for month in sorted(months if months is not None else landing.months()):
-        run_month(landing, month, datetime.combine(month_bounds(month)[0], datetime.min.time()))
+        run_ts = datetime.combine(month_bounds(month)[0], datetime.min.time())
+        report, _ = run_month(landing, month, run_ts)
+        schema = T.StructType([T.StructField("month", T.StringType()), *report.schema.fields])
+        rows = report.collect()
+        said += [(month, *r) for r in rows]
+        failed = [r for r in rows if r.status == "fail"]
+        if stop_on_failure and failed:
+            raise ChecksFailed(failed)
+    if schema is None:
+        raise ValueError("there is no month to replay")
+    return spark.createDataFrame(said, schema)
 
 
 def replay_history(landing: Landing, run_ts: datetime | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ statement. A job that dies halfway therefore leaves the published data as it was
 from __future__ import annotations
 
 import uuid
+import warnings
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from starloom.sources import files
 # The three layers are databases of the same name.
 LAYERS = ("raw", "stg", "dwh")
 VERSION = "starloom.version"
+_RETIRED = "starloom.retired."
 # Half the size of the default codec on hash keys and ids, at the same write time.
 CODEC = "zstd"
 
@@ -135,7 +137,8 @@ class Warehouse:
         """Publish every partition folder found in `folder`, replacing those of the same name.
 
         Each replacement is one catalog change: readers see the old files or the new ones. The
-        replaced files are deleted afterwards. Partitions not in `folder` are left alone.
+        replaced files stay for readers that have already started, until the same partition is
+        replaced again. Partitions not in `folder` are left alone.
         `within` names the outer partition when the folders are the inner one of two.
         """
         name = self.name(layer, table)
@@ -153,25 +156,57 @@ class Warehouse:
         )
         if added:
             self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+        retired = {}
         for spec, path in staged.items():
             if spec in published:
-                replaced = self.partition_location(layer, table, spec)
+                retired[spec] = self.partition_location(layer, table, spec)
                 self.spark.sql(
                     f"ALTER TABLE {name} PARTITION ({_sql_spec(spec)}) SET LOCATION '{path}'"
                 )
-                files.delete(self.spark, replaced)
+        self._retire(layer, table, retired)
         return list(staged)
 
+    def _retire(self, layer: str, table: str, retired: dict[str, str]) -> None:
+        """Note where the replaced files of partitions lie, and delete those noted before.
+
+        The new files are published by now. What cannot be deleted is left behind with a warning;
+        it is no reason for a load to fail.
+        """
+        try:
+            noted = self.properties(layer, table)
+            self.set_properties(layer, table, {_RETIRED + s: path for s, path in retired.items()})
+            for spec, path in retired.items():
+                earlier = noted.get(_RETIRED + spec)
+                if earlier and earlier != path:
+                    files.delete(self.spark, earlier)
+        except Exception as error:
+            warnings.warn(f"replaced files of {table} were left behind: {error}", stacklevel=2)
+
     def set_properties(self, layer: str, table: str, properties: dict[str, str]) -> None:
         listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
         if listed:
             self.spark.sql(f"ALTER TABLE {self.name(layer, table)} SET TBLPROPERTIES ({listed})")
 
     def drop_partitions(self, layer: str, table: str, specs: list[str]) -> None:
+        """Take partitions out of a table; their files stay like those of replaced ones.
+
+        A dropped partition's folder is deleted, so each is first pointed at an empty one.
+        """
+        name = self.name(layer, table)
         published = set(self.partitions(layer, table))
-        clauses = ", ".join(f"PARTITION ({_sql_spec(s)})" for s in specs if s in published)
-        if clauses:
-            self.spark.sql(f"ALTER TABLE {self.name(layer, table)} DROP IF EXISTS {clauses}")
+        dropped = [s for s in specs if s in published]
+        if not dropped:
+            return
+        empty = f"{self.root}/{layer}/dropped/{uuid.uuid4().hex}"
+        retired = {}
+        for spec in dropped:
+            retired[spec] = self.partition_location(layer, table, spec)
+            self.spark.sql(
+                f"ALTER TABLE {name} PARTITION ({_sql_spec(spec)}) SET LOCATION '{empty}/{spec}'"
+            )
+        clauses = ", ".join(f"PARTITION ({_sql_spec(s)})" for s in dropped)
+        self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clauses}")
+        self._retire(layer, table, retired)
 
 
 def write_partitioned(rows: DataFrame, partition: str, folder: str) -> None:

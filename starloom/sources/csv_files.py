@@ -13,13 +13,15 @@ def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
     """CSV with a header row. Quotes are escaped by doubling; a bad value fails the read, and so
-    does a header that does not list the columns of the schema in order.
+    does a header that lacks a column of the schema.
+
+    Columns come in the order of the header. Those that the schema does not name are kept as text.
 
     A multi-line read keeps each file in one task, so ask for it only where a quoted field can
     hold a line break.
     """
     return (
-        spark.read.schema(schema)
+        spark.read.schema(_with_extra_columns(_header(spark, path, multi_line), schema, path))
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
@@ -29,6 +31,27 @@ def read_csv(
     )
 
 
+def _header(spark: SparkSession, path: str, multi_line: bool) -> list[str]:
+    """Column names of the first file; without type inference Spark reads no more than its first rows."""
+    return (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .csv(path)
+        .columns
+    )
+
+
+def _with_extra_columns(header: list[str], schema: T.StructType, path: str) -> T.StructType:
+    lacking = [name for name in schema.names if name not in header]
+    if lacking:
+        raise ValueError(f"CSV header does not conform to the schema: {path} lacks {lacking}")
+    declared = {f.name: f for f in schema}
+    return T.StructType(
+        [declared.get(name, T.StructField(name, T.StringType())) for name in header]
+    )
+
+
 def convert(
     spark: SparkSession,
     src: str,
@@ -46,7 +69,7 @@ def convert(
         return 0
     rows = read_csv(spark, src, schema, multi_line)
     rows.write.mode("overwrite").option("compression", "zstd").parquet(dst)
-    return spark.read.schema(schema).parquet(dst).count()
+    return spark.read.parquet(dst).count()
 
 
 def convert_all(spark: SparkSession, data_dir: str, force: bool = False) -> dict[str, int]:

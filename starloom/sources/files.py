@@ -18,14 +18,16 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def is_written(spark: SparkSession, path: str) -> bool:
-    """Whether a file, or a folder that some job has finished writing, is at this path."""
+    """Whether a single file, or a folder whose writer left its mark of success, is at this path.
+
+    Some committers move files straight into place, so a folder without the mark may hold a part.
+    """
     system, location = _resolve(spark, path)
     if not system.exists(location):
         return False
     if system.getFileStatus(location).isFile():
         return True
-    names = {s.getPath().getName() for s in system.listStatus(location)}
-    return "_SUCCESS" in names or bool(names) and "_temporary" not in names
+    return any(s.getPath().getName() == "_SUCCESS" for s in system.listStatus(location))
 
 
 def delete(spark: SparkSession, path: str) -> None:

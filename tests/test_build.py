@@ -46,12 +46,12 @@ def test_every_check_passes_on_clean_data(built):
 def test_star_contents(built):
     w = built[0].warehouse
     assert rows(w.table("dwh", "fct_sales"), "customer_id", "article_id", "quantity") == [
-        ("c1", "a1", 1), ("c1", "a2", 1), ("c2", "a1", 1),
+        ("k1", "m1", 1), ("k1", "m2", 1), ("k2", "m1", 1),
     ]
     bands = {r.customer_id: r.age_band for r in w.table("dwh", "dim_customer").collect()}
-    assert bands == {"c1": None, "c2": "16-24", "c3": None}
+    assert bands == {"k1": None, "k2": "16-24", "k3": None}
     prices = {r.article_id: r.current_price for r in w.table("dwh", "dim_article").collect()}
-    assert prices == {"a1": 0.05, "a2": 0.1}
+    assert prices == {"m1": 0.25, "m2": 0.4}
     assert w.table("dwh", "dim_date").count() == 29707
     assert w.table("dwh", "fct_sales").columns == build._FACT_COLUMNS
 
@@ -85,22 +85,22 @@ def test_rebuilding_one_month_leaves_the_others(spark, built, parquet_dir):
     w = landing.warehouse
     put_transactions(
         spark, parquet_dir,
-        "(DATE'2019-01-09', 'c1', 'a1', 0.5D, 1), (DATE'2019-02-09', 'c3', 'a2', 0.5D, 1)",
+        "(DATE'2019-01-09', 'k1', 'm1', 0.5D, 1), (DATE'2019-02-09', 'k3', 'm2', 0.5D, 1)",
     )
     landing.load_months(LATER)
     build.build_fact(w, LATER, month="2019-01")
     fact = w.table("dwh", "fct_sales")
-    assert rows(fact, "customer_id", "article_id") == [("c1", "a1"), ("c2", "a1")]
+    assert rows(fact, "customer_id", "article_id") == [("k1", "m1"), ("k2", "m1")]
     build.build_fact(w, LATER)
     assert rows(fact := w.table("dwh", "fct_sales"), "customer_id", "article_id") == [
-        ("c1", "a1"), ("c3", "a2"),
+        ("k1", "m1"), ("k3", "m2"),
     ]
     assert fact.where("sale_month = DATE'2019-02-01'").count() == 1
 
 
 def test_month_without_rows_stays_in_the_fact(spark, built, parquet_dir):
     landing, _ = built
-    put_transactions(spark, parquet_dir, "(DATE'2019-02-09', 'c3', 'a2', 0.5D, 1)")
+    put_transactions(spark, parquet_dir, "(DATE'2019-02-09', 'k3', 'm2', 0.5D, 1)")
     assert landing.load_month("2019-01", LATER) == 0
     build.build_fact(landing.warehouse, LATER)
     assert landing.warehouse.table("dwh", "fct_sales").count() == 3
@@ -131,27 +131,27 @@ def test_date_range_prunes_fact_months(built):
     from starloom.operators import marts
 
     fact = built[0].warehouse.table("dwh", "fct_sales")
-    january = marts.sales_between(fact, date(2019, 1, 6), date(2019, 2, 1))
-    assert rows(january, "article_id") == [("a2",)]
+    january = marts.sales_between(fact, date(2019, 1, 20), date(2019, 2, 11))
+    assert rows(january, "article_id") == [("m2",)]
     plan = january._jdf.queryExecution().executedPlan().toString()
     assert "(sale_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert marts.sales_between(fact, date(2019, 1, 6), date(2019, 2, 2)).count() == 2
+    assert marts.sales_between(fact, date(2019, 1, 20), date(2019, 2, 12)).count() == 2
 
 
 def test_second_run_tracks_the_change(spark, built, parquet_dir):
     landing, _ = built
     w = landing.warehouse
-    put_transactions(spark, parquet_dir, "(DATE'2019-02-09', 'c2', 'a1', 0.7D, 2)")
+    put_transactions(spark, parquet_dir, "(DATE'2019-02-09', 'k2', 'm1', 0.7D, 2)")
     reports = build.run_month(landing, "2019-02", LATER)
     assert {r.status for r in reports[1].collect()} == {"pass"}
     assert rows(w.table("stg", "snap_article_price"), "article_id", "median_price", VALID_FROM,
                 VALID_TO) == sorted(
-        [("a1", 0.05, RUN, LATER), ("a2", 0.1, RUN, None), ("a1", 0.7, LATER, None)],
+        [("m1", 0.25, RUN, LATER), ("m2", 0.4, RUN, None), ("m1", 0.7, LATER, None)],
         key=lambda r: r[:2],
     )
     history = w.table("dwh", "dim_article_price_history")
     assert rows(history.where("is_current"), "article_id", "median_price") == [
-        ("a1", 0.7), ("a2", 0.1),
+        ("m1", 0.7), ("m2", 0.4),
     ]
 
 
@@ -163,19 +163,19 @@ def test_snapshot_runs_cannot_go_back(built):
 def test_repeated_snapshot_run_replaces_itself(spark, built, parquet_dir):
     landing, _ = built
     w = landing.warehouse
-    for price in ("0.7D", "0.05D", "0.9D"):
-        put_transactions(spark, parquet_dir, f"(DATE'2019-02-09', 'c2', 'a1', {price}, 2)")
+    for price in ("0.7D", "0.25D", "0.9D"):
+        put_transactions(spark, parquet_dir, f"(DATE'2019-02-09', 'k2', 'm1', {price}, 2)")
         landing.load_month("2019-02", LATER)
         build.build_snapshot(w, LATER)
     prices = ("article_id", "median_price", VALID_FROM, VALID_TO)
-    expected = [("a1", 0.05, RUN, LATER), ("a1", 0.9, LATER, None), ("a2", 0.1, RUN, None)]
+    expected = [("m1", 0.25, RUN, LATER), ("m1", 0.9, LATER, None), ("m2", 0.4, RUN, None)]
     assert rows(w.table("stg", "snap_article_price"), *prices) == expected
     after = datetime(2019, 3, 5)
-    put_transactions(spark, parquet_dir, "(DATE'2019-02-09', 'c2', 'a1', 0.3D, 2)")
+    put_transactions(spark, parquet_dir, "(DATE'2019-02-09', 'k2', 'm1', 0.3D, 2)")
     landing.load_month("2019-02", after)
     build.build_snapshot(w, after)
     assert rows(w.table("stg", "snap_article_price"), *prices[:2]) == [
-        ("a1", 0.05), ("a1", 0.3), ("a1", 0.9), ("a2", 0.1),
+        ("m1", 0.25), ("m1", 0.3), ("m1", 0.9), ("m2", 0.4),
     ]
 
 
@@ -207,10 +207,10 @@ def test_what_a_dead_snapshot_run_wrote_is_ignored(built, monkeypatch):
 def test_replay_in_one_pass_equals_the_monthly_job(spark, parquet_dir, tmp_path):
     put_transactions(
         spark, parquet_dir,
-        "(DATE'2019-01-05','c1','a1',0.1D,1), (DATE'2019-02-05','c1','a1',0.1D,1),"
-        "(DATE'2019-03-05','c1','a1',0.3D,1), (DATE'2019-03-06','c2','a1',0.5D,2),"
-        "(DATE'2019-02-05','c1','a2',0.2D,1), (DATE'2019-04-05','c1','a2',0.9D,1),"
-        "(DATE'2019-04-06','c1','a2',0.9D,1)",
+        "(DATE'2019-01-05','k1','m1',0.4D,1), (DATE'2019-02-05','k1','m1',0.4D,1),"
+        "(DATE'2019-03-05','k1','m1',0.3D,1), (DATE'2019-03-06','k2','m1',0.5D,2),"
+        "(DATE'2019-02-05','k1','m2',0.2D,1), (DATE'2019-04-05','k1','m2',0.9D,1),"
+        "(DATE'2019-04-06','k1','m2',0.9D,1)",
     )
     one = Landing(Warehouse(spark, str(tmp_path / "o"), prefix="replay1_"), parquet_dir)
     many = Landing(Warehouse(spark, str(tmp_path / "m"), prefix="replay2_"), parquet_dir)
@@ -231,26 +231,70 @@ def test_replay_in_one_pass_equals_the_monthly_job(spark, parquet_dir, tmp_path)
 
 
 def test_build_from_csv(spark, warehouse, tmp_path):
-    raw = tmp_path / "data" / "raw"
+    raw, seeds = tmp_path / "data" / "raw", tmp_path / "seeds"
     raw.mkdir(parents=True)
+    seeds.mkdir()
     (raw / "transactions_train.csv").write_text(
         "t_dat,customer_id,article_id,price,sales_channel_id\n"
-        "2019-01-05,00c1,0108775015,0.05,1\n2019-01-05,00c1,0108775015,0.05,1\n"
+        "2020-06-30,0x7,0042,1.5,2\n2020-06-30,0x7,0042,1.5,2\n"
     )
     from starloom.schemas import ARTICLES, CUSTOMERS
 
     blank = "," * (len(ARTICLES) - 3)
     (raw / "articles.csv").write_text(
-        ",".join(ARTICLES.names) + f'\n0108775015,108775,"Strap ""top""\nlong"{blank}\n'
+        ",".join(ARTICLES.names) + f',season\n0042,42,"Oak ""chair""\nfolding"{blank},summer\n'
     )
     (raw / "customers.csv").write_text(
-        ",".join(CUSTOMERS.names) + "\n00c1,,1.0,ACTIVE,NONE,65,p\n"
+        ",".join(CUSTOMERS.names) + "\n0x7,1.0,,LEFT,Monthly,30,q\n"
     )
-    report = build.build_all(warehouse, str(tmp_path / "data"), RUN)
+    (seeds / "seed_age_bands.csv").write_text("band_name,min_age,max_age\nall,0,120\nnone,40,20\n")
+    (seeds / "seed_sales_channels.csv").write_text("sales_channel_id,channel_name\n1,a\n2,b\n")
+    report = build.build_all(warehouse, str(tmp_path / "data"), RUN, str(seeds))
     assert {r.status for r in report.collect()} == {"pass"}
     sale = warehouse.table("dwh", "fct_sales").collect()
     assert [(r.article_id, r.quantity, str(r.sales_amount)) for r in sale] == [
-        ("0108775015", 2, "0.10000000")
+        ("0042", 2, "3.00000000")
+    ]
+    assert warehouse.table("dwh", "dim_article").first().product_name == 'Oak "chair"\nfolding'
+    assert warehouse.table("raw", "articles").first().season == "summer"
+    assert warehouse.table("dwh", "dim_customer").first().age_band == "all"
+    assert warehouse.table("dwh", "dim_channel").where("channel_name = 'b'").count() == 1
+
+
+def test_replay_returns_the_reports_and_can_stop(spark, warehouse, parquet_dir):
+    put_transactions(
+        spark, parquet_dir,
+        "(DATE'2019-01-14', 'k1', 'm1', 0.5D, 1), (DATE'2019-02-14', 'k1', 'gone', 0.5D, 1),"
+        "(DATE'2019-03-14', 'k1', 'm1', 0.5D, 1)",
+    )
+    landing = Landing(warehouse, parquet_dir)
+    said = build.replay_months(landing).collect()
+    assert len(said) == 3 * 38
+    failed = {(r.month, r.check_name) for r in said if r.status == "fail"}
+    assert failed == {
+        ("2019-02", "relationships_stg_transactions_article_id"),
+        ("2019-02", "relationships_fct_sales_article_sk"),
+    }
+    whole = build.quality.report(build.warehouse_tables(warehouse)).where("status = 'fail'")
+    assert whole.count() == 2
+
+
+def test_failed_check_stops_a_job_on_request(spark, warehouse, parquet_dir):
+    put_transactions(spark, parquet_dir, "(DATE'2019-01-14', 'k1', 'gone', 0.5D, 1)")
+    landing = Landing(warehouse, parquet_dir)
+    with pytest.raises(build.ChecksFailed, match="relationships_fct_sales_article_sk: 1"):
+        build.run_month(landing, "2019-01", RUN, stop_on_failure=True)
+    with pytest.raises(build.ChecksFailed):
+        build.replay_months(landing, ["2019-01"], stop_on_failure=True)
+
+
+def test_vanished_article_keeps_its_open_version(spark, built, parquet_dir):
+    landing, _ = built
+    put_transactions(spark, parquet_dir, "(DATE'2019-01-09', 'k1', 'm1', 0.25D, 1)")
+    landing.load_months(LATER)
+    landing.load_month("2019-02", LATER)
+    build.build_snapshot(landing.warehouse, LATER)
+    kept = landing.warehouse.table("stg", "snap_article_price")
+    assert rows(kept, "article_id", "median_price", VALID_TO) == [
+        ("m1", 0.25, None), ("m2", 0.4, None),
     ]
-    assert warehouse.table("dwh", "dim_article").first().product_name == 'Strap "top"\nlong'
-    assert warehouse.table("dwh", "dim_customer").first().age_band == "65+"

@@ -50,20 +50,20 @@ def test_month_gone_from_source_is_emptied(spark, warehouse, parquet_dir):
     landing = Landing(warehouse, parquet_dir)
     landing.load_months()
     spark.sql(
-        "SELECT DATE'2019-02-03' AS t_dat, 'c9' AS customer_id, 'a1' AS article_id,"
+        "SELECT DATE'2019-02-03' AS t_dat, 'k9' AS customer_id, 'm1' AS article_id,"
         " 0.5D AS price, 1 AS sales_channel_id"
     ).write.mode("overwrite").parquet(f"{parquet_dir}/transactions_train.parquet")
     assert landing.load_month("2019-01") == 0
     assert landing.load_month("2019-02") == 1
     left = warehouse.table("raw", "transactions").collect()
-    assert [(r.customer_id, r.load_month) for r in left] == [("c9", "2019-02")]
+    assert [(r.customer_id, r.load_month) for r in left] == [("k9", "2019-02")]
 
 
 def test_failed_load_keeps_the_old_month(spark, warehouse, parquet_dir):
     landing = Landing(warehouse, parquet_dir)
     landing.load_month("2019-01")
     spark.sql(
-        "SELECT DATE'2019-01-03' AS t_dat, 'c9' AS customer_id, 'a1' AS article_id,"
+        "SELECT DATE'2019-01-03' AS t_dat, 'k9' AS customer_id, 'm1' AS article_id,"
         " 'not a price' AS price, 1 AS sales_channel_id"
     ).write.mode("overwrite").parquet(f"{parquet_dir}/transactions_train.parquet")
     with pytest.raises(Exception, match="not a price"):
@@ -84,8 +84,8 @@ def test_failed_dimension_is_logged(warehouse, tmp_path):
 
 def test_rows_without_a_date_never_load(spark, warehouse, parquet_dir):
     spark.sql(
-        "SELECT * FROM VALUES (CAST(NULL AS DATE), 'c1', 'a1', 0.5D, 1),"
-        " (DATE'2019-01-03', 'c1', 'a1', 0.5D, 1)"
+        "SELECT * FROM VALUES (CAST(NULL AS DATE), 'k1', 'm1', 0.5D, 1),"
+        " (DATE'2019-01-03', 'k1', 'm1', 0.5D, 1)"
         " AS t(t_dat, customer_id, article_id, price, sales_channel_id)"
     ).write.mode("overwrite").parquet(f"{parquet_dir}/transactions_train.parquet")
     landing = Landing(warehouse, parquet_dir)
@@ -117,3 +117,50 @@ def test_month_filter_reads_one_partition(warehouse, parquet_dir):
     assert len(rows.inputFiles()) >= 1
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(load_month" in plan
+
+
+def test_reader_planned_before_a_reload_goes_on(spark, warehouse, parquet_dir):
+    landing = Landing(warehouse, parquet_dir)
+    landing.load_months(RUN)
+    reader = warehouse.table("raw", "transactions").where("load_month = '2019-01'")
+    files = reader.inputFiles()
+    old = spark.read.parquet(*files)
+    landing.load_month("2019-01")
+    assert old.count() == 2
+    spark.sql(
+        "SELECT DATE'2019-02-03' AS t_dat, 'k9' AS customer_id, 'm1' AS article_id,"
+        " 0.5D AS price, 1 AS sales_channel_id"
+    ).write.mode("overwrite").parquet(f"{parquet_dir}/transactions_train.parquet")
+    again = spark.read.parquet(*warehouse.table("raw", "transactions").inputFiles())
+    assert landing.load_month("2019-01") == 0
+    assert again.count() == 3
+    assert reader.sparkSession.table(warehouse.name("raw", "transactions")).count() == 1
+
+
+def test_replaced_files_go_when_their_month_is_loaded_once_more(warehouse, parquet_dir):
+    import os
+
+    landing = Landing(warehouse, parquet_dir)
+    landing.load_month("2019-01", RUN)
+    first = warehouse.partition_location("raw", "transactions", "load_month=2019-01")
+    landing.load_month("2019-01")
+    second = warehouse.partition_location("raw", "transactions", "load_month=2019-01")
+    assert os.path.isdir(first.removeprefix("file:"))
+    landing.load_month("2019-01")
+    assert not os.path.isdir(first.removeprefix("file:"))
+    assert os.path.isdir(second.removeprefix("file:"))
+
+
+def test_failed_clean_up_is_no_failed_load(warehouse, parquet_dir, monkeypatch):
+    from starloom.sources import files
+
+    def refuse(*args):
+        raise OSError("no permission")
+
+    landing = Landing(warehouse, parquet_dir)
+    landing.load_month("2019-01")
+    landing.load_month("2019-01")
+    monkeypatch.setattr(files, "delete", refuse)
+    with pytest.warns(UserWarning, match="left behind"):
+        assert landing.load_month("2019-01") == 2
+    assert log_rows(landing) == [("transactions", "2019-01", 2, "ok")] * 3

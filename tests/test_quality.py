@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from starloom.operators import quality
+from starloom.sinks.landing import Landing
 
 
 @pytest.fixture(scope="module")
@@ -34,9 +35,17 @@ def test_unique_combination_groups_nulls(rows):
     assert out(quality.unique_combination(rows.where("k IS NOT NULL"), ["k", "v"])) == []
 
 
-def test_unique_combination_with_many_repeats(rows, monkeypatch):
-    monkeypatch.setattr(quality, "MAX_LISTED_HASHES", 0)
-    assert out(quality.unique_combination(rows, ["k", "v"])) == [(None, 1, 2)]
+def test_unique_combination_sees_rows_added_after_the_call(spark, warehouse, parquet_dir):
+    """The frame is only a plan: building it runs nothing, and reading it reads what is there then."""
+    landing = Landing(warehouse, parquet_dir)
+    landing.load_month("2019-01")
+    sales = warehouse.table("raw", "transactions")
+    spark.sparkContext.setJobGroup("building", "unique_combination")
+    repeats = quality.unique_combination(sales, ["sales_channel_id"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext._jsc.clearJobGroup()
+    landing.load_month("2019-02")
+    assert out(repeats) == [(2, 2)]
 
 
 def test_unique_combination_tells_equal_hashes_apart(spark):
