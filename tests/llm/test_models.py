@@ -89,10 +89,13 @@ def test_probabilities_sum_to_one(spark):
     assert 0 < sum(ends_less.values()) <= 1
     # exactly: the softmax over classes sums to one for any feature rows
     rng = np.random.default_rng(1)
-    weights = rng.standard_normal((3 * maxent.BUCKETS, maxent.CLASSES)).astype(np.float32)
+    weights = rng.standard_normal((maxent.CLASSES, 3 * maxent.BUCKETS)).astype(np.float32)
     f = rng.integers(0, 3 * maxent.BUCKETS, (3, 50))
     prior = np.log(np.full(maxent.CLASSES, 1 / maxent.CLASSES, dtype=np.float32))
-    assert np.exp(maxent.log_probabilities(f, weights, prior)).sum(1) == pytest.approx(1, abs=1e-5)
+    p = maxent.probabilities(f, weights, prior)
+    assert p.sum(0) == pytest.approx(1, abs=1e-5)
+    k = rng.integers(0, maxent.CLASSES, 50)
+    assert np.exp(maxent.log_probabilities(f, k, weights, prior)) == pytest.approx(p[k, np.arange(50)], rel=1e-4)
 
 
 def test_tokens_without_a_step_per_word():
