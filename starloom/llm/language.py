@@ -105,7 +105,7 @@ def phrases(step: np.ndarray, lanes: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 def learn(training: DataFrame, letters: np.ndarray, sample_chars: int = SAMPLE_CHARS) -> dict:
-    """Symbols and automata by language, from rows of lang and text.
+    """Symbols and automata by language, from rows of lang and text. Languages are taken to be few.
 
     Each language's rows are thinned by hash to about four times the sample before they come to the
     driver, and a row brings sample_chars characters at most; the text used is theirs in order of the hash.
@@ -113,13 +113,13 @@ def learn(training: DataFrame, letters: np.ndarray, sample_chars: int = SAMPLE_C
     order = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
     sized = training.select("lang", F.substring("text", 1, sample_chars).alias("text"), order.alias("order"))
     totals = sized.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("n"))
+    # A row for each language, each of which gets an automaton on the driver anyway.
     thinned = totals.select(
         "lang",
         F.least(F.lit(1.0), F.greatest(F.lit(4.0 * sample_chars) / F.col("chars"), F.lit(30.0) / F.col("n"))).alias("share"),
     )
-    rows = (
-        sized.join(thinned, "lang").where(F.col("order") < F.col("share") * (1 << 30)).orderBy("lang", "order", "text").collect()
-    )
+    taken = sized.join(F.broadcast(thinned), "lang").where(F.col("order") < F.col("share") * (1 << 30))
+    rows = sorted(taken.collect(), key=lambda r: (r.lang, r.order, r.text))
     texts: dict[str, list[np.ndarray]] = {}
     room: dict[str, int] = {}
     for r in rows:
