@@ -105,12 +105,12 @@ def phrases(step: np.ndarray, lanes: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 def learn(training: DataFrame, letters: np.ndarray, sample_chars: int = SAMPLE_CHARS) -> dict:
-    """Symbols and automata by language, from rows of lang and text. Languages are taken to be few.
+    """Symbols and automata by language, from rows of doc_id, lang and text. Languages are taken to be few.
 
     Each language's rows are thinned by hash to about four times the sample before they come to the
     driver, and a row brings sample_chars characters at most; the text used is theirs in order of the hash.
     """
-    order = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
+    order = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     sized = training.select("lang", F.substring("text", 1, sample_chars).alias("text"), order.alias("order"))
     totals = sized.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("n"))
     # A row for each language, each of which gets an automaton on the driver anyway.
