@@ -1,10 +1,10 @@
 """N-gram Jaccard join by a token-group matrix, and the components its links form.
 
 1. Texts with the same shingle set form one class; the class takes part once.
-2. A set is split into parts by hashing its shingles. Two sets similar enough differ in fewer
-   shingles than there are parts, so at least one part is the same in both; the hashes of the parts
-   are the tokens of the matrix. Only sets that share a token with another set go on. A common
-   passage does not make a token common: a part is the same in two sets only if all of it is.
+2. Shingles are ordered by how common they are, told by counters of a fixed number, and then by hash.
+   Two sets similar enough share one of their first n - ceil(n * percent / 100) + 1 shingles in any
+   order that is the same for all; these are the tokens of the matrix. A passage that many documents
+   share comes last in the order, so it makes no candidates. Only sets that share a token go on.
 3. Similar sets are put in one group: those whose tokens lead to the same smallest class. The matrix
    holds the union of each group's tokens. A group is opened with itself, and with another group
    only if their unions have a token in common.
@@ -16,97 +16,94 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import U64, id_filter, id_text, mixed, scratch, shingle_set, stored
+from starloom.llm.common import U64, id_filter, id_text, scratch, shingle_set, stored
 
 #: Bytes of text that one chunk of a group holds, about; a larger group is split.
 CHUNK_BYTES = 4_000_000
 #: Sets that one chunk of a group holds, about.
 CHUNK_SETS = 1_000
+#: Counters that tell common shingles from rare ones, and the blocks they are added up in.
+COUNTERS, COUNTER_BLOCKS = 1 << 21, 64
 #: Columns of the 0/1 matrices that are held at a time.
 COLUMNS = 4096
 
 
-def bands(largest: int, percent: int) -> list[int]:
-    """The lowest size of each band, up to one that holds the largest size.
+def commonness(docs: DataFrame, words: int, id_col: str, text_col: str) -> np.ndarray:
+    """Per counter, the binary logarithm of how many sets hold a shingle that falls on it.
 
-    Parts are counted for a whole band, and most sets near its low end also count for the band below;
-    this width keeps the sum of both small.
+    All shingles of all texts are counted. Shingles share counters, so a rare one may seem common;
+    that changes the order of shingles, for all sets alike, and no result. Each task sends its
+    counters once, and these are added up in two steps, in groups of bounded size.
     """
-    out = [1]
-    while out[-1] <= largest:
-        out.append(out[-1] * (400 - 3 * percent) // 100 + 1)
-    return out
+    width = COUNTERS // COUNTER_BLOCKS
 
+    def run(batches):
+        total = np.zeros(COUNTERS, dtype=np.int32)
+        for batch in batches:
+            for text in batch.column(1).to_pylist():
+                total[(shingle_set(text, words) & U64(COUNTERS - 1)).astype(np.int64)] += 1
+        blocks = [zlib.compress(x.tobytes(), 1) for x in total.reshape(COUNTER_BLOCKS, width)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(COUNTER_BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], names=["block", "counts"]
+        )
 
-def most_difference(high: int, percent: int) -> int:
-    """How many shingles two linked sets can differ in, if the smaller has at most `high`."""
-    return (100 - percent) * (high + high * 100 // percent) // (100 + percent)
+    def add(found: pa.Table) -> pa.Table:
+        total = np.zeros(width, dtype=np.int64)
+        for x in found["counts"].to_pylist():
+            total += np.frombuffer(zlib.decompress(x), dtype=np.int32)
+        counts = zlib.compress(np.minimum(total, (1 << 31) - 1).astype(np.int32).tobytes(), 1)
+        return pa.table({"block": found["block"][:1], "counts": pa.array([counts], pa.binary())})
 
+    schema = "block int, counts binary"
+    parts = id_text(docs, id_col, text_col).mapInArrow(run, schema)
+    once = parts.groupBy("block", (F.spark_partition_id() % 64).alias("some")).applyInArrow(add, schema)
+    rows = once.groupBy("block").applyInArrow(add, schema).orderBy("block").collect()
+    if not rows:
+        return np.zeros(COUNTERS, dtype=np.uint8)
+    counts = np.concatenate([np.frombuffer(zlib.decompress(r.counts), dtype=np.int32) for r in rows])
+    return np.frexp(counts)[1].astype(np.uint8)
 
-def part_tokens(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """The hashes of a set's parts: for its own band, and for the band below if sets there can link."""
+
+def first_tokens(shingles: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles, rarest first, of which a set that links with this one has at least one among its own."""
     n = len(shingles)
-    if percent == 100:  # only equal sets link, and they are one class
-        return np.zeros(0, dtype=U64)
-    edges = bands(n, percent)
-    own = int(np.searchsorted(edges, n, side="right")) - 1
-    out = []
-    for band in (own, own - 1):
-        if band < 0:
-            break
-        low, high = edges[band], edges[band + 1] - 1
-        if band < own and n * percent > high * 100:
-            break
-        difference = most_difference(high, percent)
-        if not difference:  # again, only equal sets link
-            break
-        parts = difference + 1
-        base = mixed(np.full(1, low, dtype=U64))
-        part = mixed(shingles ^ base) % U64(parts)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        sums = np.zeros(parts, dtype=U64)
-        sums[part[starts].astype(np.int64)] = np.add.reduceat(mixed(shingles[order] + base), starts)
-        out.append(mixed(sums + mixed(base + np.arange(parts, dtype=U64))))
-    return np.concatenate(out) if out else np.zeros(0, dtype=U64)
+    if not n:
+        return shingles
+    level = common[(shingles & U64(COUNTERS - 1)).astype(np.int64)]
+    return shingles[np.argsort(level, kind="stable")[: n - -(-n * percent // 100) + 1]]
 
 
 def profiles(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, n_bytes, the digest of the set (null: empty) and its part tokens."""
-
-    def run(batches):
-        import xxhash
+    """doc_id, n_shingles, n_bytes, the digest of the set (null: empty) and its tokens."""
+    common = docs.sparkSession.sparkContext.broadcast(commonness(docs, words, id_col, text_col))
 
-        for batch in batches:
-            sizes, digests, tokens, lengths = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text, words)
-                sizes.append(len(s))
-                lengths.append(len(text))
-                digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                tokens.append(part_tokens(s, percent).view(np.int64))
-            ends = np.cumsum([0, *map(len, tokens)]).astype(np.int32)
-            values = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(lengths, pa.int64()),
-                    pa.array(digests, pa.binary()),
-                    pa.ListArray.from_arrays(ends, values),
-                ],
-                names=["doc_id", "n_shingles", "n_bytes", "digest", "tokens"],
-            )
+    def make(batch):
+        texts = batch.column(1).to_pylist()
+        sets = [shingle_set(x, words) for x in texts]
+        tokens = [first_tokens(s, common.value, percent) for s in sets]
+        ends = np.cumsum([0, *map(len, tokens)]).astype(np.int32)
+        values = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, dtype=np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array(list(map(len, sets)), pa.int64()),
+                pa.array(list(map(len, texts)), pa.int64()),
+                pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                pa.ListArray.from_arrays(ends, values),
+            ],
+            names=["doc_id", "n_shingles", "n_bytes", "digest", "tokens"],
+        )
 
-    return id_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_shingles long, n_bytes long, digest binary, tokens array<long>"
-    )
+    schema = "doc_id long, n_shingles long, n_bytes long, digest binary, tokens array<long>"
+    return id_text(docs, id_col, text_col).mapInArrow(lambda batches: map(make, batches), schema)
 
 
 def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
