@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from datetime import datetime
@@ -61,6 +62,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="compare-"))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -82,8 +82,8 @@ INGESTION_TS = "ingestion_ts"
 
 @dataclass(frozen=True)
 class Dataset:
-    """One landing file. `multi_line` is set only where free text can hold a line break,
-    because Spark reads a multi-line CSV file in a single task and splits the others."""
+    """One landing file. `multi_line` is set only where free text can hold a line break, because
+    lines then have to be put together to records."""
 
     file_name: str
     schema: T.StructType

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from starloom.schemas import DATASETS
 from starloom.sources import files
+from starloom.sources.csv_records import read_records
 
 
 def read_csv(
@@ -17,22 +18,27 @@ def read_csv(
 
     Columns come in the order of the header. Those that the schema does not name are kept as text.
 
-    A multi-line read keeps each file in one task, so ask for it only where a quoted field can
-    hold a line break.
+    A multi-line read puts lines together again, which takes a shuffle, so ask for it only where a
+    quoted field can hold a line break.
     """
+    schema = _with_extra_columns(_header(spark, path, multi_line), schema, path)
+    if multi_line:
+        return read_records(spark, path, schema)
     return (
-        spark.read.schema(_with_extra_columns(_header(spark, path, multi_line), schema, path))
+        spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .csv(path)
     )
 
 
 def _header(spark: SparkSession, path: str, multi_line: bool) -> list[str]:
-    """Column names of the first file; without type inference Spark reads no more than its first rows."""
+    """Column names of the first file; without type inference Spark reads no more than its first rows.
+
+    A name may hold a line break only in a multi-line read.
+    """
     return (
         spark.read.option("header", True)
         .option("escape", '"')
