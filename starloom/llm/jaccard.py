@@ -2,13 +2,12 @@
 
 1. Texts with the same shingle set form one class; the class takes part once.
 2. Shingles are ordered by how common they are, told by counters of a fixed number, and then by hash.
-   Two sets similar enough share one of their first n - ceil(n * percent / 100) + 1 shingles in any
-   order that is the same for all; these are the tokens of the matrix. A passage that many documents
-   share comes last in the order, so it makes no candidates. Only sets that share a token go on.
-3. Similar sets are put in one group: those whose tokens lead to the same smallest class. The matrix
-   holds the union of each group's tokens. A group is opened with itself, and with another group
-   only if their unions have a token in common.
-4. In an opened pair, the union of shingles that occur twice bounds each set's overlap with all the
+   The tokens of a set are its first ones in this order: so many that two sets similar enough must
+   share several. A passage that many documents share comes late in the order and makes no tokens.
+3. Similar sets are put in one group: those whose tokens mostly lead to the same smallest class. The
+   matrix holds the union of each group's tokens. What a set shares with a group's union bounds what
+   it can share with any member; only the groups where that is enough are opened for it.
+4. In an opened group, the union of shingles that occur twice bounds each set's overlap with all the
    others; sets whose bound is too low are put aside, the rest are compared exactly, as products of
    0/1 matrices. Out come links that connect what is similar, not all pairs.
 5. Components are the classes reached by links.
@@ -32,6 +31,8 @@ CHUNK_BYTES = 4_000_000
 CHUNK_SETS = 1_000
 #: Counters that tell common shingles from rare ones, and the blocks they are added up in.
 COUNTERS, COUNTER_BLOCKS = 1 << 21, 64
+#: Tokens beyond those of which one must be shared, per hundred shingles.
+EXTRA = 5
 #: Columns of the 0/1 matrices that are held at a time.
 COLUMNS = 4096
 
@@ -72,13 +73,22 @@ def commonness(docs: DataFrame, words: int, id_col: str, text_col: str) -> np.nd
     return np.frexp(counts)[1].astype(np.uint8)
 
 
+def shared_at_least(n: int) -> int:
+    """How many tokens two sets share at least if they link and neither has fewer than n shingles."""
+    return 1 + n * EXTRA // 100
+
+
 def first_tokens(shingles: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles, rarest first, of which a set that links with this one has at least one among its own."""
+    """The shingles, rarest first, of which a set that links with this one has several among its own.
+
+    Linked sets have at least m = ceil(percent * n / 100) shingles in common. Of any n - m + k first ones of
+    either, in one order, at least k are in both.
+    """
     n = len(shingles)
     if not n:
         return shingles
     level = common[(shingles & U64(COUNTERS - 1)).astype(np.int64)]
-    return shingles[np.argsort(level, kind="stable")[: n - -(-n * percent // 100) + 1]]
+    return shingles[np.argsort(level, kind="stable")[: n - -(-n * percent // 100) + shared_at_least(n)]]
 
 
 def profiles(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -216,43 +226,67 @@ def components(
     )
     shared = stored(tokens.join(several.select("token", "lowest"), "token"), folder, "shared")
 
-    lead = (
-        shared.groupBy("class")
-        .agg(F.min("lowest").alias("lead"))
-        .join(known.groupBy(F.col("doc_id").alias("class")).agg(F.max("n_bytes").alias("n_bytes")), "class")
-    )
+    votes = shared.groupBy("class", "lowest").agg(F.count("*").alias("votes"))
+    lead = votes.groupBy("class").agg(F.max(F.struct("votes", -F.col("lowest"), "lowest")).alias("most"))
+    sized = known.where("digest is not null").groupBy(F.col("doc_id").alias("class"))
+    sized = sized.agg(F.max("n_bytes").alias("n_bytes"), F.min("n_shingles").alias("n"))
+    lead = lead.select("class", F.col("most.lowest").alias("lead")).join(sized, "class")
     sizes = lead.groupBy("lead").agg(F.count("*").alias("sets"), F.sum("n_bytes").alias("bytes"))
+    chunks = F.greatest(F.ceil(F.col("sets") / CHUNK_SETS), F.ceil(F.col("bytes") / CHUNK_BYTES))
+    # a linked set may have as few as percent of this one's shingles
+    fewest = F.expr(f"(n * {percent} + 99) div 100")
     groups = stored(
         lead.join(sizes, "lead").select(
             "class",
-            F.xxhash64(
-                "lead",
-                F.pmod(
-                    F.xxhash64("class"),
-                    F.greatest(F.ceil(F.col("sets") / CHUNK_SETS), F.ceil(F.col("bytes") / CHUNK_BYTES)),
-                ),
-            ).alias("group"),
+            F.xxhash64("lead", F.pmod(F.xxhash64("class"), chunks)).alias("group"),
+            F.col("sets").alias("size"),
+            (1 + F.floor(fewest * EXTRA / 100)).alias("needed"),
         ),
         folder,
         "groups",
     )
-    matrix = shared.select("token", "class").join(groups, "class").select("token", "group").distinct()
-    matrix = stored(matrix, folder, "matrix")
-    other = matrix.select("token", F.col("group").alias("other"))
-    crossing = matrix.join(other, "token").where("group < other").select("group", "other").distinct()
-    crossing = stored(crossing, folder, "crossing")
-    own = groups.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
-    opened = (
-        own.select("group", F.col("group").alias("unit_a"), F.col("group").alias("unit_b"))
-        .union(crossing.select("group", F.col("group").alias("unit_a"), F.col("other").alias("unit_b")))
-        .union(crossing.select(F.col("other").alias("group"), F.col("group").alias("unit_a"), F.col("other").alias("unit_b")))
+    held = stored(shared.select("token", "class").join(groups, "class"), folder, "held")
+    matrix = held.select("token", F.col("group").alias("other"), F.col("size").alias("other_size")).distinct()
+    # of two groups, the smaller one's sets ask the larger one
+    asks = (F.col("size") < F.col("other_size")) | (
+        (F.col("size") == F.col("other_size")) & (F.col("group") < F.col("other"))
+    )
+    opens = (
+        held.join(matrix, "token")
+        .where(asks)
+        .groupBy("class", "other")
+        .agg(F.count("*").alias("common"), F.max("needed").alias("needed"))
+        .where("common >= needed")
+        .select("class", F.col("other").alias("group"))
+    )
+    opens = stored(opens, folder, "opens")
+    # its own group is opened for a set like any other: by the tokens that others of the group hold
+    several = held.groupBy("token", "group").agg(F.count("*").alias("sets")).where("sets > 1")
+    inside = (
+        held.join(several, ["token", "group"])
+        .groupBy("class")
+        .agg(F.count("*").alias("common"), F.max("needed").alias("needed"))
+        .where("common >= needed")
+        .select("class", F.lit(True).alias("inside"))
+    )
+    # a group's sets meet each chunk of the sets that ask it
+    asked = opens.groupBy("group").agg(F.ceil(F.count("*") / CHUNK_SETS).alias("chunks"))
+    members_of = (
+        groups.join(inside, "class", "left")
+        .join(asked, "group", "left")
+        .where("inside or chunks > 0")
+        .select("class", "group", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks") - 1, F.lit(0)))).alias("part"))
     )
-    in_groups = id_filter(groups, "class")
-    chosen = id_text(docs, id_col, text_col).where("doc_id is not null").where(in_groups(F.col("doc_id")))
-    texts = (
-        chosen.join(groups, chosen.doc_id == groups["class"]).select("class", "group", "text").dropDuplicates()
+    asking = opens.join(asked, "group").select(
+        "class", "group", F.pmod(F.xxhash64("class"), F.col("chunks")).alias("part")
     )
-    units = texts.join(opened, "group").select("unit_a", "unit_b", "class", "text")
+    placed = members_of.union(asking).select("class", "group", F.col("part").cast("long").alias("part"))
+    placed = stored(placed, folder, "placed")
+    in_units = id_filter(placed, "class")
+    chosen = id_text(docs, id_col, text_col).where("doc_id is not null").where(in_units(F.col("doc_id")))
+    chosen = chosen.join(placed.select("class").distinct(), F.col("doc_id") == F.col("class"), "left_semi")
+    units = chosen.dropDuplicates().join(placed, F.col("doc_id") == F.col("class"))
+    units = units.select("group", "part", "class", "text")
 
     def open_unit(found: pa.Table) -> pa.Table:
         ids = found.column("class").to_numpy()
@@ -261,7 +295,7 @@ def components(
         moved = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": ids[moved], "b": ids[root[moved]]})
 
-    links = units.groupBy("unit_a", "unit_b").applyInArrow(open_unit, "a long, b long")
+    links = units.groupBy("group", "part").applyInArrow(open_unit, "a long, b long")
     # rows that share a doc_id are one vertex
     same = members.select(F.col("doc_id").alias("a"), F.col("class").alias("b"))
     label = smallest_reachable(links.union(same), folder)
