@@ -376,6 +376,11 @@ _BODIES = {
         select * replace ({LATER} as ingestion_ts), {_MONTH_COLUMN} from tx
         where t_dat {IN_MONTH}""",
     "load_history": f"select {_RAW}, {_MONTH_COLUMN} from tx",
+    "failed_load_keeps_month": f"select {_RAW}, {_MONTH_COLUMN} from tx",
+    "dimension_allow_list": """select 'articles' as name, count(*) as n_rows from articles
+        union all select 'customers', count(*) from customers
+        union all select 'transactions', null""",
+    "one_layer": "select * from stg_customers",
     "load_log": f"""
         select 'articles' as table_name, 'full' as "partition", count(*) as "rows",
                {RUN} as loaded_at, 'ok' as status from articles

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,6 +202,43 @@ def load_history(spark, sf_dir):
     return _loaded(loader)
 
 
+def failed_load_keeps_month(spark, sf_dir):
+    """A load that fails on its prices leaves every month as it was."""
+    loader = landing(spark, sf_dir)
+    loader.load_months(RUN)
+    folder = scratch(spark)
+    sales = adapter.transactions(spark, sf_dir, "concat('price ', l_extendedprice) as price")
+    sales.write.parquet(f"{folder}/{DATASETS['transactions'].file_name}.parquet")
+    try:
+        Landing(loader.warehouse, folder).load_month(MONTH, LATER)
+    except PySparkException:
+        return _loaded(loader)
+    raise AssertionError("prices that are no numbers were loaded")
+
+
+def dimension_allow_list(spark, sf_dir):
+    """Every input file offered as a dimension, with its rows or null where it is refused."""
+    loader = landing(spark, sf_dir)
+    rows = []
+    for name in DATASETS:
+        try:
+            rows.append((name, loader.load_dimension(name, RUN)))
+        except ValueError:
+            rows.append((name, None))
+    for layer in LAYERS:
+        spark.sql(f"DROP DATABASE IF EXISTS {loader.warehouse.database(layer)} CASCADE")
+    return spark.createDataFrame(rows, "name string, n_rows long")
+
+
+def one_layer(spark, sf_dir):
+    """The raw and then the staging layer alone; customers as the staging view shows them."""
+    loader = landing(spark, sf_dir)
+    loader.load_history(RUN)
+    build.build_layer(loader.warehouse, "raw", RUN)
+    build.build_layer(loader.warehouse, "stg", RUN)
+    return taken_from(loader.warehouse, loader.warehouse.table("stg", "stg_customers"))
+
+
 def load_log(spark, sf_dir):
     loader = landing(spark, sf_dir)
     loader.load_history(RUN)
@@ -574,6 +612,9 @@ QUERIES = {
     "load_month": load_month,
     "load_month_rerun": load_month_rerun,
     "load_history": load_history,
+    "failed_load_keeps_month": failed_load_keeps_month,
+    "dimension_allow_list": dimension_allow_list,
+    "one_layer": one_layer,
     "load_log": load_log,
     "month_row_count": month_row_count,
     "list_months": all_months,
