@@ -4,8 +4,8 @@
 2. Shingles are ordered by how common they are, told by counters of a fixed number, and then by hash.
    The tokens of a set are its first ones in this order: so many that two sets similar enough must
    share several. A passage that many documents share comes late in the order and makes no tokens.
-3. Similar sets are put in one group: those whose tokens mostly lead to the same smallest class. The
-   matrix holds the union of each group's tokens. What a set shares with a group's union bounds what
+3. Similar sets are put in one group: those whose tokens mostly lead to the same smallest class, or to
+   one that leads there. The matrix holds the union of each group's tokens. What a set shares with a group's union bounds what
    it can share with any member; only the groups where that is enough are opened for it.
 4. In an opened group, the union of shingles that occur twice bounds each set's overlap with all the
    others; sets whose bound is too low are put aside, the rest are compared exactly, as products of
@@ -38,7 +38,7 @@ COLUMNS = 4096
 
 
 def commonness(docs: DataFrame, words: int, id_col: str, text_col: str) -> np.ndarray:
-    """Per counter, the binary logarithm of how many sets hold a shingle that falls on it.
+    """Per counter, how many sets hold a shingle that falls on it, in steps of two per cent.
 
     All shingles of all texts are counted. Shingles share counters, so a rare one may seem common;
     that changes the order of shingles, for all sets alike, and no result. Each task sends its
@@ -68,9 +68,9 @@ def commonness(docs: DataFrame, words: int, id_col: str, text_col: str) -> np.nd
     once = parts.groupBy("block", (F.spark_partition_id() % 64).alias("some")).applyInArrow(add, schema)
     rows = once.groupBy("block").applyInArrow(add, schema).orderBy("block").collect()
     if not rows:
-        return np.zeros(COUNTERS, dtype=np.uint8)
+        return np.zeros(COUNTERS, dtype=np.uint16)
     counts = np.concatenate([np.frombuffer(zlib.decompress(r.counts), dtype=np.int32) for r in rows])
-    return np.frexp(counts)[1].astype(np.uint8)
+    return (np.log2(counts + 1.0) * 32).astype(np.uint16)
 
 
 def shared_at_least(n: int) -> int:
@@ -230,17 +230,25 @@ def components(
     lead = votes.groupBy("class").agg(F.max(F.struct("votes", -F.col("lowest"), "lowest")).alias("most"))
     sized = known.where("digest is not null").groupBy(F.col("doc_id").alias("class"))
     sized = sized.agg(F.max("n_bytes").alias("n_bytes"), F.min("n_shingles").alias("n"))
-    lead = lead.select("class", F.col("most.lowest").alias("lead")).join(sized, "class")
-    sizes = lead.groupBy("lead").agg(F.count("*").alias("sets"), F.sum("n_bytes").alias("bytes"))
-    chunks = F.greatest(F.ceil(F.col("sets") / CHUNK_SETS), F.ceil(F.col("bytes") / CHUNK_BYTES))
     # a linked set may have as few as percent of this one's shingles
     fewest = F.expr(f"(n * {percent} + 99) div 100")
+    lead = lead.select("class", F.col("most.lowest").alias("lead"), F.col("most.votes").alias("votes"))
+    lead = lead.join(sized, "class").withColumn("needed", 1 + F.floor(fewest * EXTRA / 100))
+    lead = stored(lead, folder, "leads")
+    # sets that share enough with their lead make families, and families are followed to their smallest class
+    strong = lead.where("votes >= needed").select(F.col("class").alias("a"), F.col("lead").alias("b"))
+    family = smallest_reachable(strong, f"{folder}/families")
+    lead = lead.join(family, F.col("lead") == F.col("vertex"), "left").select(
+        "class", "needed", "n_bytes", F.coalesce("label", "lead").alias("lead")
+    )
+    sizes = lead.groupBy("lead").agg(F.count("*").alias("sets"), F.sum("n_bytes").alias("bytes"))
+    chunks = F.greatest(F.ceil(F.col("sets") / CHUNK_SETS), F.ceil(F.col("bytes") / CHUNK_BYTES))
     groups = stored(
         lead.join(sizes, "lead").select(
             "class",
             F.xxhash64("lead", F.pmod(F.xxhash64("class"), chunks)).alias("group"),
             F.col("sets").alias("size"),
-            (1 + F.floor(fewest * EXTRA / 100)).alias("needed"),
+            "needed",
         ),
         folder,
         "groups",
