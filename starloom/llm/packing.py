@@ -9,6 +9,7 @@ length, which ranks go where, so every piece finds its place by its rank among e
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -17,11 +18,19 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.bpe import SPLIT, chunks, load
+from starloom.llm.bpe import SPLIT, Automaton, chunks, load
 from starloom.llm.common import id_text, scratch, stored
 
 #: Pieces of one length are ranked in groups of about so many.
 RANKED_TOGETHER = 2_000
+#: Fixed value: tiktoken fails on runs of white space of about ten times as many characters.
+LONG_RUN = 100_000
+SPACES = re.compile(r"\s+")
+
+
+def has_long_run(text: str) -> bool:
+    """Whether the text has a run of white space that tiktoken's splitting may have no stack for."""
+    return len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in SPACES.finditer(text))
 
 
 def pieces(
@@ -30,7 +39,8 @@ def pieces(
     """Return doc_id, piece, start, length, ids_crc32: every row's tokens, and end_id, in pieces of at most capacity.
 
     A text of more tokens is cut so that only its first piece is shorter than capacity. A null or
-    empty text has the end token only; without end_id it has no piece.
+    empty text has the end token only; without end_id it has no piece. Texts with very long runs of
+    white space are encoded by the automaton, all others by tiktoken; the tokens are the same.
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
@@ -45,12 +55,22 @@ def pieces(
             special_tokens=special,
         )
         end = np.array([] if end_id is None else [end_id], dtype=np.uint32)
+
+        def encode(text):
+            if not has_long_run(text):
+                return encoding.encode_to_numpy(text, allowed_special="all")
+            if "automaton" not in spec.value:
+                spec.value["automaton"] = Automaton(spec.value)
+            found = spec.value["automaton"].encode(text)
+            spec.value["automaton"].cache.clear()  # its words may be of any length
+            return found
+
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in chunks(texts):
                 rows = []
                 for doc_id, text in zip(ids[a:b], texts[a:b], strict=True):
-                    tokens = np.concatenate([encoding.encode_to_numpy(text, allowed_special="all"), end])
+                    tokens = np.concatenate([encode(text), end])
                     tokens = tokens.astype("<u4")
                     first = len(tokens) % capacity or min(capacity, len(tokens))
                     edges = [0, *range(first, len(tokens) + 1, capacity)]

@@ -137,6 +137,13 @@ def test_many_equal_lengths_are_ranked_in_groups(spark, vocab, library, monkeypa
     check_packing(rows, [(r.doc_id, r.text) for r in docs.collect()], library, 32)
 
 
+def test_very_long_runs_of_white_space(spark, vocab, library):
+    texts = [" " * 1_000_500 + "x", "a\n" + "\n" * 1_000_500, "b" + "\t \n" * 400_000 + "<|endoftext|> c", "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    rows = packing.packed(docs, vocab, 2048).collect()
+    check_packing(rows, list(enumerate(texts)), library, 2048)
+
+
 def test_fullest_against_all_combinations():
     rng = random.Random(3)
     for _ in range(300):
