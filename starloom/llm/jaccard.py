@@ -20,14 +20,14 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import U64, id_filter, id_text, scratch, shingle_set, stored
 
-#: Bytes of text that one chunk of a group holds, about; a larger group is split.
+#: Bytes of text that one chunk of a group holds, about; a larger group is split. So are the sets that ask it.
 CHUNK_BYTES = 4_000_000
-#: Sets that one chunk of a group holds, about.
+#: Sets that one chunk of a group, or of those that ask it, holds, about.
 CHUNK_SETS = 1_000
 #: Counters that tell common shingles from rare ones, and the blocks they are added up in.
 COUNTERS, COUNTER_BLOCKS = 1 << 21, 64
@@ -160,6 +160,11 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return root
 
 
+def chunks_for(sets: Column, n_bytes: Column) -> Column:
+    """How many chunks so many sets of so many bytes in all are split into."""
+    return F.greatest(F.ceil(sets / CHUNK_SETS), F.ceil(n_bytes / CHUNK_BYTES))
+
+
 def smallest_reachable(links: DataFrame, folder: str) -> DataFrame:
     """Of links (a, b): every vertex as `vertex` with the smallest vertex it is connected to as `label`.
 
@@ -242,13 +247,14 @@ def components(
         "class", "needed", "n_bytes", F.coalesce("label", "lead").alias("lead")
     )
     sizes = lead.groupBy("lead").agg(F.count("*").alias("sets"), F.sum("n_bytes").alias("bytes"))
-    chunks = F.greatest(F.ceil(F.col("sets") / CHUNK_SETS), F.ceil(F.col("bytes") / CHUNK_BYTES))
+    chunks = chunks_for(F.col("sets"), F.col("bytes"))
     groups = stored(
         lead.join(sizes, "lead").select(
             "class",
             F.xxhash64("lead", F.pmod(F.xxhash64("class"), chunks)).alias("group"),
             F.col("sets").alias("size"),
             "needed",
+            "n_bytes",
         ),
         folder,
         "groups",
@@ -263,9 +269,9 @@ def components(
         held.join(matrix, "token")
         .where(asks)
         .groupBy("class", "other")
-        .agg(F.count("*").alias("common"), F.max("needed").alias("needed"))
+        .agg(F.count("*").alias("common"), F.max("needed").alias("needed"), F.max("n_bytes").alias("n_bytes"))
         .where("common >= needed")
-        .select("class", F.col("other").alias("group"))
+        .select("class", F.col("other").alias("group"), "n_bytes")
     )
     opens = stored(opens, folder, "opens")
     # its own group is opened for a set like any other: by the tokens that others of the group hold
@@ -278,7 +284,7 @@ def components(
         .select("class", F.lit(True).alias("inside"))
     )
     # a group's sets meet each chunk of the sets that ask it
-    asked = opens.groupBy("group").agg(F.ceil(F.count("*") / CHUNK_SETS).alias("chunks"))
+    asked = opens.groupBy("group").agg(chunks_for(F.count("*"), F.sum("n_bytes")).alias("chunks"))
     members_of = (
         groups.join(inside, "class", "left")
         .join(asked, "group", "left")

@@ -80,6 +80,23 @@ def test_groups_split_into_chunks_lose_no_link(spark, monkeypatch):
     assert found == brute_components(rows, 3, 90)
 
 
+def test_long_texts_that_ask_a_group_are_split_by_bytes(spark, monkeypatch, tmp_path):
+    linked = jaccard.linked
+
+    def recorded(sets, percent):
+        with open(tmp_path / "sets", "a") as f:
+            f.write(f"{len(sets)}\n")
+        return linked(sets, percent)
+
+    monkeypatch.setattr(jaccard, "CHUNK_BYTES", 16_000)
+    monkeypatch.setattr(jaccard, "linked", recorded)
+    rows = family(random.Random(4), 0, 80, 900, 4)  # some 4,000 characters each
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    found = {r.doc_id: r.component_id for r in jaccard.components(docs, 3, 90).collect()}
+    assert found == brute_components(rows, 3, 90)
+    assert max(map(int, (tmp_path / "sets").read_text().split())) <= 32
+
+
 def test_sizes_around_the_bands(spark):
     """Texts that are beginnings of one another, so that only sizes decide."""
     rng = random.Random(5)
