@@ -217,33 +217,47 @@ def _group_failures(check: Check, rows: DataFrame) -> DataFrame:
     )
 
 
-def _reference_failures(
-    rows: DataFrame, checks: list[Check], tables: dict[str, DataFrame]
-) -> DataFrame:
-    """All foreign keys of one table from one scan: a row without parents counts once per key.
+def references(table: str, suite: list[Check] = SUITE) -> list[Check]:
+    """The checks on foreign keys of one table."""
+    return [c for c in suite if c.table == table and c.kind == "relationships"]
+
+
+def reference_keys(rows: DataFrame, checks: list[Check], *by: str) -> DataFrame:
+    """All foreign keys of one table from one scan, as reference (place in checks), key and n_records.
 
-    Keys are counted by column and value before the shuffle, so a key that a third of the rows
-    hold is one row from each task. As in relationships(), the join is an outer one.
+    Keys are counted by column and value, and the columns in `by`, before the shuffle, so a key that
+    a third of the rows hold is one row from each task.
     """
     pairs = [
         F.struct(F.lit(i).alias("reference"), F.col(c.column).cast("string").alias("key"))
         for i, c in enumerate(checks)
     ]
-    keys = (
-        rows.select(F.inline(F.array(*pairs)))
+    return (
+        rows.select(*by, F.inline(F.array(*pairs)))
         .where(F.col("key").isNotNull())
-        .groupBy("reference", "key")
+        .groupBy(*by, "reference", "key")
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
+
+
+def with_parents(keys: DataFrame, checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
+    """Add found to keys: true, or null without a parent. As in relationships(), the join is an outer one."""
     parents = None
     for i, c in enumerate(checks):
         table, field = c.parent
         own = tables[table].select(F.lit(i).alias("reference"), F.col(field).cast("string").alias("key"))
         parents = own if parents is None else parents.unionByName(own)
     parents = parents.distinct().withColumn("found", F.lit(True))
+    return keys.join(parents, ["reference", "key"], "left")
+
+
+def _reference_failures(
+    keys: DataFrame, checks: list[Check], tables: dict[str, DataFrame]
+) -> DataFrame:
+    """Of one table's keys, as reference_keys() gives them: a row without parents counts once per key."""
     missing = F.when(F.col("found").isNull(), F.col("n_records")).otherwise(0)
     failures = (
-        keys.join(parents, ["reference", "key"], "left")
+        with_parents(keys, checks, tables)
         .groupBy("reference")
         .agg(F.sum(missing).alias("failures"))
     )
@@ -257,14 +271,21 @@ def _reference_failures(
             for i, c in enumerate(checks)
         ]
     )
-    listed = rows.sparkSession.range(0, 1, 1, 1).select(F.inline(names))
+    listed = keys.sparkSession.range(0, 1, 1, 1).select(F.inline(names))
     return listed.join(failures, "reference", "left").select(
         "check_name", "table_name", F.coalesce("failures", F.lit(0)).alias("failures")
     )
 
 
-def report(tables: dict[str, DataFrame], suite: list[Check] = SUITE) -> DataFrame:
-    """One row per declared check whose tables are given: name, table, failures, status."""
+def report(
+    tables: dict[str, DataFrame],
+    suite: list[Check] = SUITE,
+    keys: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """One row per declared check whose tables are given: name, table, failures, status.
+
+    `keys` has, by table, what reference_keys() gives for references() of it, to check instead of its rows.
+    """
     known = [
         c for c in suite if c.table in tables and (c.parent is None or c.parent[0] in tables)
     ]
@@ -273,9 +294,12 @@ def report(tables: dict[str, DataFrame], suite: list[Check] = SUITE) -> DataFram
         on_rows = [c for c in known if c.table == table and c.kind in _ROW_KINDS]
         if on_rows:
             parts.append(_row_failures(tables[table], on_rows))
-        references = [c for c in known if c.table == table and c.kind == "relationships"]
-        if references:
-            parts.append(_reference_failures(tables[table], references, tables))
+        referring = references(table, known)
+        if referring:
+            given = (keys or {}).get(table)
+            if given is None:
+                given = reference_keys(tables[table], referring)
+            parts.append(_reference_failures(given, referring, tables))
     parts += [
         _group_failures(c, tables[c.table])
         for c in known

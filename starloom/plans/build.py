@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions import month_bounds, utc_now
+from starloom.functions import month_bounds, month_start, utc_now
 from starloom.operators import marts, median, quality, snapshot, staging
 from starloom.schemas import DATASETS, SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO
 from starloom.sinks.landing import LOAD_MONTH, Landing, loaded_months
@@ -66,6 +66,18 @@ _FACT_SCHEMA = T.StructType(
         T.StructField("sales_amount", T.DecimalType(38, 8)),
     ]
 )
+
+_KEYS = "sales_keys"
+_KEYS_SCHEMA = T.StructType(
+    [
+        T.StructField("check_name", T.StringType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("n_records", T.LongType()),
+        T.StructField("found", T.BooleanType()),
+    ]
+)
+# The tables of sales.
+_SALES = ("stg_transactions", FACT)
 _BUILT = "starloom.built."
 _BASE = "starloom.base"
 
@@ -129,6 +141,63 @@ def build_fact(
     return rebuilt
 
 
+def _refresh_sales_keys(w: Warehouse, run_ts: datetime) -> list[str]:
+    """Note the foreign keys of months loaded again, and whether each had its parent when noted.
+
+    One row per month, foreign key and value. Returns the months noted.
+    """
+    tables = warehouse_tables(w)
+
+    def build(landing: DataFrame) -> DataFrame:
+        transactions = staging.stg_transactions(staging.raw_transactions(landing))
+        first_days = [r[0] for r in landing.select(LOAD_MONTH).distinct().collect()]
+        first_days = [month_bounds(m)[0] for m in first_days]
+        sales = {
+            "stg_transactions": transactions.withColumn("sale_month", month_start("sale_date")),
+            FACT: tables[FACT].where(F.col("sale_month").isin(first_days)),
+        }
+        noted = None
+        for table, rows in sales.items():
+            checks = quality.references(table)
+            names = F.array(*[F.lit(c.name) for c in checks])
+            keys = quality.reference_keys(rows, checks, "sale_month")
+            own = quality.with_parents(keys, checks, tables).select(
+                F.get(names, F.col("reference")).alias("check_name"),
+                "key",
+                "n_records",
+                F.col("found").isNotNull().alias("found"),
+                "sale_month",
+            )
+            noted = own if noted is None else noted.unionByName(own)
+        return noted.hint("rebalance", F.col("sale_month"))
+
+    _, noted = _refresh_months(w, "dwh", _KEYS, _KEYS_SCHEMA, "sale_month", build, run_ts)
+    return noted
+
+
+def _keys_to_check(w: Warehouse, months: list[str]) -> dict[str, DataFrame]:
+    """By table of sales, the foreign keys that a run may have left without a parent.
+
+    All keys of the given months; of the others those that had their parent when they were noted,
+    as the dimensions may have been replaced since.
+    """
+    first_days = [month_bounds(m)[0] for m in months]
+    rows = w.table("dwh", _KEYS).where(F.col("found") | F.col("sale_month").isin(first_days))
+    landed = [month_bounds(m)[0] for m in loaded_months(w)]
+    found = {}
+    for table in _SALES:
+        names = [c.name for c in quality.references(table)]
+        own = rows.where(F.col("check_name").isin(names))
+        if table != FACT:  # the fact keeps months that are gone from the landing table
+            own = own.where(F.col("sale_month").isin(landed))
+        place = F.array_position(F.array(*map(F.lit, names)), F.col("check_name")) - 1
+        found[table] = (
+            own.groupBy(place.cast("int").alias("reference"), "key")
+            .agg(F.sum("n_records").alias("n_records"))
+        )
+    return found
+
+
 def _refresh_monthly_prices(w: Warehouse, run_ts: datetime) -> DataFrame:
     """Median price per article and month, recomputed only for months that were loaded again."""
     counted = f"{w.root}/stg/builds/{_MONTHLY}_counted/{w.new_run(run_ts)}"
@@ -280,8 +349,9 @@ def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> lis
 def warehouse_tables(w: Warehouse, months: list[str] | None = None) -> dict[str, DataFrame]:
     """The tables and views the declared checks look at; sales of the given months only, if any.
 
-    Every check on sales is about single rows or a grain that holds the date, so what was not
-    rebuilt cannot change its answer.
+    Apart from foreign keys, every check on sales is about single rows or a grain that holds the
+    date, so what was not rebuilt cannot change its answer. Foreign keys of all months depend on
+    dimensions that are replaced as a whole; build() checks them from the keys noted by month.
     """
     names = {"raw": staging.RAW_VIEWS, "stg": staging.STG_VIEWS}
     tables = {v: w.table(layer, v) for layer, views in names.items() for v in views}
@@ -322,7 +392,8 @@ def build(
 ) -> DataFrame:
     """Seeds, views, snapshot and star, in dependency order; returns the check report.
 
-    With only_rebuilt, checks on sales look at the months this run rebuilt.
+    With only_rebuilt, checks on sales look at the months this run rebuilt, and at the foreign keys
+    of the other months that had their parent when their month was built.
     """
     run_ts = run_ts or utc_now()
     build_seeds(w, run_ts, seeds_dir)
@@ -330,7 +401,12 @@ def build(
     build_layer(w, "stg", run_ts)
     build_snapshot(w, run_ts)
     rebuilt = build_layer(w, "dwh", run_ts)
-    report = quality.report(warehouse_tables(w, rebuilt if only_rebuilt else None))
+    noted = _refresh_sales_keys(w, run_ts)
+    if only_rebuilt:
+        keys = _keys_to_check(w, sorted({*rebuilt, *noted}))
+        report = quality.report(warehouse_tables(w, rebuilt), keys=keys)
+    else:
+        report = quality.report(warehouse_tables(w))
     return _checked(report, stop_on_failure)
 
 
@@ -362,8 +438,8 @@ def run_month(
 ) -> tuple[DataFrame, DataFrame]:
     """The monthly job: replace both dimensions, load one month, build, then check freshness.
 
-    Checks on sales look at the months built in this run; quality.report(warehouse_tables(w))
-    looks at all of them.
+    Checks on sales look at the months built in this run, and at all others for foreign keys that
+    have lost their parent since; quality.report(warehouse_tables(w)) looks at all rows.
     """
     run_ts = run_ts or utc_now()
     landing.load_dimension("articles", run_ts)

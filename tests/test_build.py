@@ -288,6 +288,25 @@ def test_failed_check_stops_a_job_on_request(spark, warehouse, parquet_dir):
         build.run_month(landing, "2019-01", RUN, stop_on_failure=True)
 
 
+def test_a_key_lost_by_a_dimension_fails_sales_of_earlier_months(spark, warehouse, parquet_dir):
+    landing = Landing(warehouse, parquet_dir)
+    report, _ = build.run_month(landing, "2019-01", RUN)
+    assert report.where("status = 'fail'").count() == 0
+    customers = spark.read.parquet(f"{parquet_dir}/customers.parquet").where("customer_id <> 'k1'")
+    kept = spark.createDataFrame(customers.collect(), customers.schema)
+    kept.write.mode("overwrite").parquet(f"{parquet_dir}/customers.parquet")
+    expected = {
+        ("relationships_stg_transactions_customer_id", 2),
+        ("relationships_fct_sales_customer_sk", 2),
+    }
+    for _ in range(2):  # a second run, to which the file is no news, says so too
+        report, _ = build.run_month(landing, "2019-02", LATER)
+        failed = report.where("status = 'fail'").collect()
+        assert {(r.check_name, r.failures) for r in failed} == expected
+    with pytest.raises(build.ChecksFailed):
+        build.run_month(landing, "2019-02", LATER, stop_on_failure=True)
+
+
 def test_vanished_article_keeps_its_open_version(spark, built, parquet_dir):
     landing, _ = built
     put_transactions(spark, parquet_dir, "(DATE'2019-01-09', 'k1', 'm1', 0.25D, 1)")
