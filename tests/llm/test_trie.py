@@ -1,0 +1,113 @@
+"""Conversation prefix trie."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from starloom.llm import trie
+
+SCHEMA = "conv_id LONG, turn LONG, role STRING, text STRING, digest STRING, words INT, `own` DOUBLE"
+COLUMNS = [
+    "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256",
+]
+
+
+def brute(rows):
+    """All nodes by spelling out every prefix of every rebuilt conversation."""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            order = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            own[conv].append(((turn is not None, turn or 0), order, role, text))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    members = defaultdict(list)
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        family = c - (c % 20 if c >= 0 else -(-c % 20))
+        whole = own.get(family, [])[:h] + turns[h:]
+        for d in range(len(whole) + 1):
+            members[tuple(whole[:d])].append((c, d == len(whole)))
+    children = defaultdict(set)
+    for path in members:
+        if path:
+            children[path[:-1]].add(path)
+
+    def below(path):
+        text = path[-1][1].encode() if path else b""
+        leaves, saved = 0, (len(members[path]) - 1) * len(text.split())
+        for child in children[path]:
+            more = below(child)
+            leaves, saved = leaves + more[0], saved + more[1]
+        return leaves or 1, saved
+
+    out = []
+    for path, found in members.items():
+        ends = ",".join(str(c) for c, last in sorted(found) if last)
+        parent = min(members[path[:-1]])[0] if path else None
+        out.append((min(found)[0], len(path), parent, len(found), len(children[path]), *below(path),
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def nodes(spark, rows):
+    wide = [(*r, "x", 3, 1.5) for r in rows]
+    found = trie.prefix_trie(spark.createDataFrame(wide, SCHEMA))
+    assert found.columns == COLUMNS
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+@pytest.fixture
+def many_parts(spark, monkeypatch):
+    """Many partitions, merged two at a time, and batches of three rows."""
+    monkeypatch.setattr(trie, "FAN", 2)
+    monkeypatch.setattr(trie, "IDS", 2)
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "3",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_nodes_equal_brute_force(spark, many_parts, seed):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(150):
+        for t in range(rng.choice([1, 2, 3, 6, 9])):
+            rows.append((c, t, rng.choice(["user", "bot"]), rng.choice(["a b", "c", "d e f"])[: rng.randint(0, 5)]))
+    rng.shuffle(rows)
+    assert nodes(spark, rows) == brute(rows)
+
+
+def test_rows_of_every_shape(spark):
+    rows = [
+        (0, 0, "user", "hi there"), (0, None, None, "first of all"), (0, 1, "bot", None),
+        (1, 0, "user", "hi there"), (1, 0, "user", "hi there"), (2, 5, "", ""),
+        (21, 0, "user", "short"), (22, 0, "user", "short"), (23, 0, "user", "short"), (24, 0, "user", "short"),
+        (-3, 0, "user", "hi there"), (-20, 1, "user", "hi there"), (None, 0, "user", "lost"), (None, None, None, None),
+        (40, 0, "user", "word " * 50_000), (41, 1, "ab", "c"), (41, 1, "a", "bc"), (60, 2, "user", " \n\t "),
+    ]
+    assert nodes(spark, rows) == brute(rows)
+
+
+def test_a_third_in_one_group_of_copies_and_nested_ends(spark, many_parts):
+    rows = [(20 * c, t, "user", f"t{t}") for c in range(300) for t in range(4)]
+    rows += [(20 * c, t, "user", f"t{t}") for c in range(300, 340) for t in range(c - 298)]
+    rows += [(20 * c, t, "user", f"t{t}" if t else f"o{c}") for c in range(400, 500) for t in range(3)]
+    assert nodes(spark, rows) == brute(rows)
+
+
+def test_single_and_empty(spark):
+    assert nodes(spark, [(7, 0, "user", "a b c")]) == brute([(7, 0, "user", "a b c")])
+    assert nodes(spark, [(20, 0, "user", "a b c")]) == brute([(20, 0, "user", "a b c")])
+    assert nodes(spark, []) == []
+    assert nodes(spark, [(None, 0, "user", "a")]) == []
