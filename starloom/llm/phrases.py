@@ -3,11 +3,12 @@
 1. The words of all pieces are written once as a relation of occurrences, sorted by piece and position:
    a row is a block of whole pieces of one language, its words in order as places in a list of the
    block's words.
-2. Phrases of k words are occurrences of k - 1 words merge-joined with the words at the next position of
-   the same piece. They are counted by group; groups that are frequent are kept as a table, and the
-   occurrences of frequent phrases, written again, are extended by the next word.
-3. The semi-join with the frequent groups is done twice: in each block by a filter of fixed size, which
-   lets through every frequent phrase and by chance some others, and exactly after the counting.
+2. Phrases of k words are the occurrences of k - 1 words merge-joined with those at the next position of
+   the same piece. They are counted in each block and then by group, the groups being 64-bit hashes.
+3. Semi-join: occurrences whose group is frequent are written as the next relation, without the words that
+   no frequent phrase holds, and extended by the next word. The frequent groups are told by a filter of
+   fixed size, which lets through all of them and by chance some others. What was let through is counted
+   once more, by its words, so counts are exact.
 4. Scores are decimals of 38 digits, and the frequent groups give the counts of both parts of every cut.
 """
 
@@ -19,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,14 +28,27 @@ from starloom.llm.common import U64, mixed, scratch, stored
 
 #: What ends a piece, and the language of rows without one.
 ENDS, UNKNOWN = re.compile("[.,;:!?\n-\r]"), "und"
-#: Bytes of text of a block, about.
-BLOCK_BYTES = 8_000_000
-#: Bits of the filter of frequent phrases, 8 MB whatever it holds.
-FILTER_BITS = 1 << 26
+#: Bytes of text of a block, about, and blocks that a task fills at a time.
+BLOCK_BYTES, BLOCKS = 4_000_000, 4
+#: Counts of groups that a task holds before it hands them on.
+HELD = 2_000_000
+#: Bits of a group's hash, and of its part that the filter of frequent groups has a bit for: 8 MB whatever it holds.
+HASH_BITS, FILTER_BITS = 40, 26
+#: Occurrences for which groups are dealt to one more range of hashes.
+RANGE = 4_000_000
 #: Parts that a language's candidates are ranked in before they are ranked together.
-SALTS = 64
+SALTS = 16
 
-_RELATION = "lang string, vocabulary array<string>, codes binary, starts binary"
+_RELATION = "lang string, vocabulary binary, codes binary, starts binary, n long"
+_ROW = pa.schema(
+    [
+        ("lang", pa.string()),
+        ("vocabulary", pa.binary()),
+        ("codes", pa.binary()),
+        ("starts", pa.binary()),
+        ("n", pa.int64()),
+    ]
+)
 
 
 def cut_texts(text: str):
@@ -48,39 +63,69 @@ def cut_texts(text: str):
     yield text[first:]
 
 
-def block(lang: str, texts: list[str]) -> tuple:
-    """A row of the relation: the words of the texts in order, -1 between pieces, and where words start."""
+def row(lang: str, words: pa.Array, codes: np.ndarray, starts: np.ndarray | None) -> pa.RecordBatch:
+    """A row of a relation: words in order, as places in a list, -1 between pieces or for words left out.
+
+    starts tells by a bit for each place where an occurrence starts; null stands for every word.
+    """
+    small = zstandard.ZstdCompressor(level=1).compress
+    n = int((codes >= 0).sum())
+    vocabulary = "\n".join(words.to_pylist()).encode()
+    bits = None if starts is None else small(np.packbits(starts).tobytes())
+    columns = [lang, small(vocabulary), small(codes.tobytes()), bits, n]
+    return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(columns, _ROW)], schema=_ROW)
+
+
+def block(lang: str, texts: list[str]) -> pa.RecordBatch:
+    """The row of the words of some texts. Every word is an occurrence."""
     joined = pc.ascii_lower(pa.array(["\n", *texts], pa.large_string()))
     spaced = pc.replace_substring_regex(joined, "[.,;:!?\n-\r]", " . ")
     spaced = pc.binary_join_element_wise(spaced, *[pa.scalar(x, pa.large_string()) for x in (".", " ")])
     words = pc.split_pattern(pc.replace_substring(spaced, "\t", " "), " ").flatten().dictionary_encode()
-    held = words.dictionary.to_pylist()
+    held = words.dictionary
     codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-    codes = codes[codes != held.index("")] if "" in held else codes
-    codes = np.where(codes == held.index("."), np.int32(-1), codes)
-    return lang, held, codes.tobytes(), np.flatnonzero(codes >= 0).astype(np.int32).tobytes()
+    codes = codes[codes != pc.index(held, "").as_py()]
+    return row(lang, *kept_words(held, np.where(codes == pc.index(held, ".").as_py(), np.int32(-1), codes)), None)
+
+
+def kept_words(words: pa.Array, codes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words that occur in codes, and codes as places among them."""
+    there = np.zeros(len(words), dtype=bool)
+    there[codes[codes >= 0]] = True
+    place = np.cumsum(there, dtype=np.int32) - 1
+    return words.filter(pa.array(there)), np.where(codes >= 0, place[codes], np.int32(-1))
+
+
+def without_rest(words: pa.Array, codes: np.ndarray, starts: np.ndarray, size: int):
+    """Words, codes and starts (as bits) without the words that no phrase of so many words at the starts holds."""
+    held = np.zeros(len(codes), dtype=bool)
+    for k in range(size):
+        held[starts + k] = True
+    codes = np.where(held, codes, np.int32(-1))
+    bits = np.zeros(len(codes), dtype=bool)
+    bits[starts] = True
+    stay = held | np.concatenate([[False], held[:-1]])  # one -1 after every run
+    return *kept_words(words, codes[stay]), bits[stay]
 
 
 def occurrences(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The relation of single words."""
 
     def run(batches):
-        held, size = {}, 0
+        held, size, total = {}, {}, 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for part in cut_texts(text.as_py()):
                     held.setdefault(lang, []).append(part)
-                    size += len(part)
-                    if size >= BLOCK_BYTES:
-                        yield from rows(held)
-                        held, size = {}, 0
-        yield from rows(held)
-
-    def rows(held):
-        for lang, texts in held.items():
-            yield pa.RecordBatch.from_pydict(
-                dict(zip(("lang", "vocabulary", "codes", "starts"), ([x] for x in block(lang, texts))))
-            )
+                    size[lang] = size.get(lang, 0) + len(part)
+                    total += len(part)
+                    if size[lang] >= BLOCK_BYTES:
+                        yield block(lang, held.pop(lang))
+                        total -= size.pop(lang)
+                    elif total >= BLOCKS * BLOCK_BYTES:
+                        yield from (block(x, texts) for x, texts in held.items())
+                        held, size, total = {}, {}, 0
+        yield from (block(x, texts) for x, texts in held.items())
 
     chosen = docs.select(
         F.coalesce(docs[lang_col].cast("string"), F.lit(UNKNOWN)).alias("lang"),
@@ -89,135 +134,175 @@ def occurrences(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return chosen.mapInArrow(run, _RELATION)
 
 
-def word_codes(lang: str, words: list[str]) -> np.ndarray:
-    """64-bit hashes of words in a language."""
-    seed = xxhash.xxh32_intdigest(lang)
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), U64, len(words))
+def blocks_of(batch: pa.RecordBatch):
+    """The rows of a relation: language, words, codes and the sorted places where occurrences start."""
+    large = zstandard.ZstdDecompressor().decompress
+    for lang, vocabulary, codes, starts, _ in zip(*batch.columns):
+        words = pa.array(large(vocabulary.as_buffer()).decode().split("\n"), pa.string())
+        codes = np.frombuffer(large(codes.as_buffer()), np.int32)
+        if starts.is_valid:
+            bits = np.frombuffer(large(starts.as_buffer()), np.uint8)
+            starts = np.flatnonzero(np.unpackbits(bits, count=len(codes)))
+        else:
+            starts = np.flatnonzero(codes >= 0)
+        yield lang.as_py(), words, codes, starts
 
 
-def phrase_codes(words: list[np.ndarray]) -> np.ndarray:
-    """64-bit hashes of phrases, from those of their first, second, ... words."""
-    code = words[0]
-    for more in words[1:]:
-        code = mixed(code * U64(0x9E3779B97F4A7C15) + more)
-    return code & U64(FILTER_BITS - 1)
+def extended(starts: np.ndarray, length: int) -> np.ndarray:
+    """Merge-join of sorted starts with those one position on: where phrases of one more word start.
+
+    A phrase and the one that starts a word later lie in one piece, as each holds whole words of it.
+    """
+    there = np.zeros(length + 1, dtype=bool)
+    there[starts] = True
+    return starts[there[starts + 1]]
 
 
-def phrase_filter(frequent: DataFrame, size: int):
-    """The fixed-size filter of frequent phrases of so many words, to be read by tasks."""
+def grouped(n_words: int, codes: np.ndarray, starts: np.ndarray, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct phrases at the starts, as a list of first, second, ... words, and how often each occurs."""
+    group, spelled = codes[starts].astype(np.int64), [np.arange(n_words)]
+    for k in range(1, size):
+        group = group * n_words + codes[starts + k]
+        if k < size - 1:
+            values, group = np.unique(group, return_inverse=True)
+            spelled = [x[values // n_words] for x in spelled] + [values % n_words]
+    values, n = np.unique(group, return_counts=True)
+    if size == 1:
+        return [values], n
+    return [x[values // n_words] for x in spelled] + [values % n_words], n
 
-    def bits(batches):
-        for batch in batches:
-            found = [
-                phrase_codes(list(word_codes(lang, phrase.split(" ")).reshape(size, 1)))
-                for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            ]
-            at = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at)], names=["bit"])
-
-    words = (
-        frequent.select("lang", "phrase")
-        .mapInArrow(bits, "bit long")
-        .groupBy(F.expr("shiftright(bit, 6)").alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits"))
-        .toPandas()
-    )
-    held = np.zeros(FILTER_BITS >> 6, dtype=np.int64)
-    held[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
-    return frequent.sparkSession.sparkContext.broadcast(held.view(U64))
 
+def word_hashes(lang: str, words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words in a language."""
+    seed = xxhash.xxh32_intdigest(lang)
+    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words.to_pylist()), U64, len(words))
 
-def holds(shared, codes: np.ndarray) -> np.ndarray:
-    return (shared.value[(codes >> U64(6)).astype(np.int64)] >> (codes & U64(63))) & U64(1) == 1
 
+def groups(spelled: list[np.ndarray]) -> np.ndarray:
+    """The groups of phrases: hashes of the hashes of their first, second, ... words."""
+    code = mixed(spelled[0])
+    for more in spelled[1:]:
+        code = mixed(code * U64(0x9E3779B97F4A7C15) + more)
+    return (code >> U64(64 - HASH_BITS)).astype(np.int64)
 
-def frequent_starts(lang: str, held: list[str], codes: np.ndarray, starts: np.ndarray, size: int, shared) -> np.ndarray:
-    """Semi-join: those of the sorted starts at which a phrase of so many words is frequent."""
-    words = word_codes(lang, held)
-    return starts[holds(shared, phrase_codes([words[codes[starts + k]] for k in range(size)]))]
 
+def summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by group, in order."""
+    code, n = (np.concatenate(x) for x in zip(*counts))
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate([[len(code) > 0], code[1:] != code[:-1]]))
+    return code[first], np.add.reduceat(n, first) if len(first) else n
 
-def extended(codes: np.ndarray, starts: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
-    """Merge-join of the sorted starts of phrases of so many words with the word at the next position.
 
-    The phrase that is left without its first word must be among the starts as well, as it is no rarer.
-    """
-    there = np.zeros(len(codes) + size + 1, dtype=bool)
-    there[words] = True
-    follows = there[starts + size]
-    there[:] = False
-    there[starts] = True
-    return starts[follows & there[starts + 1]]
+def packed(numbers: np.ndarray) -> bytes:
+    """Small numbers, compressed byte by byte of their eight."""
+    return zstandard.ZstdCompressor(level=1).compress(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
-def counted(held: list[str], codes: np.ndarray, starts: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
-    """The distinct phrases at the starts and how often each occurs."""
-    group = codes[starts].astype(np.int64)
-    for k in range(1, size):
-        if k > 1:
-            group = np.unique(group, return_inverse=True)[1]
-        group = group * len(held) + codes[starts + k]
-    _, first, n = np.unique(group, return_index=True, return_counts=True)
-    at, words = starts[first], pa.array(held, pa.large_string())
-    parts = [words.take(pa.array(codes[at + k])) for k in range(size)]
-    joined = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if size > 1 else parts[0]
-    return joined, n
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
 
+def frequent_groups(relation: DataFrame, size: int, least: int):
+    """The filter of groups of so many words that occur often enough, to be read by tasks.
 
-def group_counts(relation: DataFrame, size: int) -> DataFrame:
-    """lang, phrase and f of the phrases of so many words at the starts of a relation."""
+    The relation has the occurrences of phrases of one word less. Counts are summed within each task and dealt
+    out by ranges of groups, as many as the occurrences need; each range makes its part of the filter.
+    """
+    n = relation.agg(F.sum("n")).first()[0] or 0
+    log = min(max(4, (n // RANGE).bit_length()), FILTER_BITS - 3)
+    filter_bits, hash_bits = FILTER_BITS, HASH_BITS
 
     def run(batches):
+        held, rows = [], 0
         for batch in batches:
-            for lang, held, codes, starts in zip(*(c.to_pylist() for c in batch.columns)):
-                phrases, n = counted(held, np.frombuffer(codes, np.int32), np.frombuffer(starts, np.int32), size)
-                for k in range(0, len(n), 65_536):
-                    some = phrases[k : k + 65_536].cast(pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(some), pa.string()), some, pa.array(n[k : k + 65_536])],
-                        names=["lang", "phrase", "f"],
-                    )
+            for lang, words, codes, starts in blocks_of(batch):
+                starts = extended(starts, len(codes)) if size > 1 else starts
+                spelled, n = grouped(len(words), codes, starts, size)
+                hashes = word_hashes(lang, words)
+                held.append((groups([hashes[x] for x in spelled]), n))
+                rows += len(n)
+                if rows >= HELD:
+                    yield dealt(*summed(held))
+                    held, rows = [], 0
+        if held:
+            yield dealt(*summed(held))
+
+    def dealt(code, n):
+        cuts = np.searchsorted(code, np.arange(1 << log) << (hash_bits - log)).tolist()
+        found = [(k, a, b) for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(code)])) if a < b]
+        columns = [
+            pa.array([k for k, _, _ in found], pa.int64()),
+            pa.array([packed(np.diff(code[a:b], prepend=0)) for _, a, b in found], pa.binary()),
+            pa.array([packed(n[a:b]) for _, a, b in found], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["range", "codes", "counts"])
+
+    def gathered(found: pa.Table) -> pa.Table:
+        pairs = zip(found["codes"].to_pylist(), found["counts"].to_pylist())
+        code, n = summed([(np.cumsum(unpacked(c)), unpacked(f)) for c, f in pairs])
+        place = found["range"][0].as_py()
+        bits = np.zeros(1 << (filter_bits - log), dtype=bool)
+        bits[(code[n >= least] >> (hash_bits - filter_bits)) - (place << (filter_bits - log))] = True
+        held = zstandard.ZstdCompressor(level=1).compress(np.packbits(bits).tobytes())
+        return pa.table({"range": found["range"][:1], "bits": pa.array([held], pa.binary())})
+
+    counts = relation.mapInArrow(run, "range long, codes binary, counts binary")
+    parts = counts.groupBy("range").applyInArrow(gathered, "range long, bits binary").collect()
+    shared, width = np.zeros(1 << (filter_bits - 3), dtype=np.uint8), 1 << (filter_bits - 3 - log)
+    for r in parts:
+        bits = zstandard.ZstdDecompressor().decompress(bytes(r["bits"]))
+        shared[r["range"] * width : (r["range"] + 1) * width] = np.frombuffer(bits, np.uint8)
+    return relation.sparkSession.sparkContext.broadcast(shared)
+
+
+def frequent_occurrences(relation: DataFrame, size: int, shared) -> DataFrame:
+    """The relation of phrases of so many words whose group the filter holds, from that of one word less."""
+    shift = HASH_BITS - FILTER_BITS
 
-    found = relation.mapInArrow(run, "lang string, phrase string, f long")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    def run(batches):
+        for batch in batches:
+            for lang, words, codes, starts in blocks_of(batch):
+                starts = extended(starts, len(codes)) if size > 1 else starts
+                hashes = word_hashes(lang, words)
+                bit = groups([hashes[codes[starts + k]] for k in range(size)]) >> shift
+                starts = starts[(shared.value[bit >> 3] >> (7 - (bit & 7))) & 1 == 1]
+                if len(starts):
+                    yield row(lang, *without_rest(words, codes, starts, size))
 
+    return relation.mapInArrow(run, _RELATION)
 
-def next_relation(relation: DataFrame, size: int, frequent: DataFrame, words) -> tuple[DataFrame, object]:
-    """From occurrences of phrases of so many words those of frequent ones, extended by a word.
 
-    words is the filter of frequent words, null where these are what is looked for. Returns the relation
-    and the filter of the frequent phrases.
-    """
-    shared = phrase_filter(frequent, size)
-    words = words or shared
+def phrase_counts(relation: DataFrame, size: int) -> DataFrame:
+    """lang, phrase and f of the phrases of so many words that start where a relation says."""
 
     def run(batches):
         for batch in batches:
-            for lang, held, codes, starts in zip(*(c.to_pylist() for c in batch.columns)):
-                at, starts = np.frombuffer(codes, np.int32), np.frombuffer(starts, np.int32)
-                kept = frequent_starts(lang, held, at, starts, size, shared)
-                single = kept if size == 1 else frequent_starts(lang, held, at, np.flatnonzero(at >= 0), 1, words)
-                longer = extended(at, kept, single, size).astype(np.int32)
-                yield pa.RecordBatch.from_pydict(
-                    {"lang": [lang], "vocabulary": [held], "codes": [codes], "starts": [longer.tobytes()]}
+            for lang, words, codes, starts in blocks_of(batch):
+                spelled, n = grouped(len(words), codes, starts, size)
+                parts = [words.take(pa.array(x)) for x in spelled]
+                phrases = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(n), pa.string()), phrases, pa.array(n)], names=["lang", "phrase", "f"]
                 )
 
-    return relation.mapInArrow(run, _RELATION), words
+    found = relation.mapInArrow(run, "lang string, phrase string, f long")
+    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def frequent_phrases(docs: DataFrame, longest: int, least: int, folder: str, text_col: str, lang_col: str) -> DataFrame:
     """lang, size, phrase and f of all phrases of up to so many words that occur often enough; n of the language."""
-    relation, words, found = stored(occurrences(docs, text_col, lang_col), folder, "occurrences-1"), None, None
+    relation = stored(occurrences(docs, text_col, lang_col), folder, "words")
+    totals, found = relation.groupBy("lang").agg(F.sum("n").alias("n")), None
     for size in range(1, longest + 1):
-        counts = group_counts(relation, size)
-        if size == 1:
-            counts = stored(counts, folder, "words")
-            totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-        frequent = stored(counts.where(F.col("f") >= least).withColumn("size", F.lit(size)), folder, f"frequent-{size}")
-        found = frequent if found is None else found.unionByName(frequent)
+        relation = frequent_occurrences(relation, size, frequent_groups(relation, size, least))
         if size < longest:
-            relation, words = next_relation(relation, size, frequent, words)
-            relation = stored(relation, folder, f"occurrences-{size + 1}")
+            relation = stored(relation, folder, f"occurrences-{size}")
+        frequent = phrase_counts(relation, size).where(F.col("f") >= least).withColumn("size", F.lit(size))
+        frequent = stored(frequent, folder, f"frequent-{size}")
+        found = frequent if found is None else found.unionByName(frequent)
     return found.join(totals, "lang")
 
 

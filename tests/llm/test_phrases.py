@@ -74,7 +74,7 @@ def test_texts_are_cut_after_a_piece(monkeypatch):
 
 
 def test_a_filter_that_lets_everything_through_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "FILTER_BITS", 64)
+    monkeypatch.setattr(phrases, "FILTER_BITS", 7)
     rng = random.Random(4)
     rows = [(k, text_of(rng, 50, ["a", "b", "c", "d", "e", f"u{k}"]), "en") for k in range(40)]
     assert found(spark, rows) == brute(rows, 3, 10, 2_000)
