@@ -29,13 +29,13 @@ from starloom.llm.common import U64, mixed, scratch, stored
 #: What ends a piece, and the language of rows without one.
 ENDS, UNKNOWN = re.compile("[.,;:!?\n-\r]"), "und"
 #: Bytes of text of a block, about, and blocks that a task fills at a time.
-BLOCK_BYTES, BLOCKS = 4_000_000, 4
+BLOCK_BYTES, BLOCKS = 4_000_000, 2
 #: Counts of groups that a task holds before it hands them on.
-HELD = 2_000_000
+HELD = 1_000_000
 #: Bits of a group's hash, and of its part that the filter of frequent groups has a bit for: 8 MB whatever it holds.
 HASH_BITS, FILTER_BITS = 40, 26
 #: Occurrences for which groups are dealt to one more range of hashes.
-RANGE = 4_000_000
+RANGE = 1_000_000
 #: Parts that a language's candidates are ranked in before they are ranked together.
 SALTS = 16
 
@@ -205,14 +205,12 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
-def frequent_groups(relation: DataFrame, size: int, least: int):
+def frequent_groups(relation: DataFrame, size: int, least: int, log: int):
     """The filter of groups of so many words that occur often enough, to be read by tasks.
 
     The relation has the occurrences of phrases of one word less. Counts are summed within each task and dealt
-    out by ranges of groups, as many as the occurrences need; each range makes its part of the filter.
+    out by 2**log ranges of groups; each range makes its part of the filter.
     """
-    n = relation.agg(F.sum("n")).first()[0] or 0
-    log = min(max(4, (n // RANGE).bit_length()), FILTER_BITS - 3)
     filter_bits, hash_bits = FILTER_BITS, HASH_BITS
 
     def run(batches):
@@ -275,32 +273,72 @@ def frequent_occurrences(relation: DataFrame, size: int, shared) -> DataFrame:
     return relation.mapInArrow(run, _RELATION)
 
 
-def phrase_counts(relation: DataFrame, size: int) -> DataFrame:
-    """lang, phrase and f of the phrases of so many words that start where a relation says."""
+def phrase_counts(relation: DataFrame, size: int, least: int, log: int) -> DataFrame:
+    """lang, phrase and f of the phrases of so many words that start where a relation says, if frequent.
+
+    Like groups, they are summed within each task and dealt out, language by language, in 2**log ranges.
+    """
+    shift = HASH_BITS - log
 
     def run(batches):
+        held, rows = {}, 0
         for batch in batches:
             for lang, words, codes, starts in blocks_of(batch):
                 spelled, n = grouped(len(words), codes, starts, size)
+                hashes = word_hashes(lang, words)
                 parts = [words.take(pa.array(x)) for x in spelled]
                 phrases = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()), phrases, pa.array(n)], names=["lang", "phrase", "f"]
-                )
+                place = groups([hashes[x] for x in spelled]) >> shift
+                held.setdefault(lang, []).append(pa.table({"range": place, "phrase": phrases, "f": n}))
+                rows += len(n)
+                if rows >= HELD:
+                    for x, tables in held.items():
+                        yield dealt(x, tables)
+                    held, rows = {}, 0
+        for x, tables in held.items():
+            yield dealt(x, tables)
+
+    def dealt(lang, tables):
+        found = pa.concat_tables(tables)
+        if len(tables) > 1:
+            found = found.group_by(["range", "phrase"]).aggregate([("f", "sum")]).rename_columns(["range", "phrase", "f"])
+        place = found["range"].to_numpy()
+        order = np.argsort(place, kind="stable")
+        place, n, phrases = place[order], found["f"].to_numpy()[order], found["phrase"].take(pa.array(order))
+        cuts = [*np.flatnonzero(np.diff(place, prepend=-1)).tolist(), len(place)]
+        rows = []
+        for a, b in zip(cuts, cuts[1:]):
+            spelled = "\n".join(phrases[a:b].to_pylist()).encode()
+            rows.append((lang, int(place[a]), zstandard.ZstdCompressor(level=1).compress(spelled), packed(n[a:b])))
+        kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary())
+        columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "range", "phrases", "counts"])
+
+    def gathered(found: pa.Table) -> pa.Table:
+        held = []
+        for phrases, counts in zip(found["phrases"].to_pylist(), found["counts"].to_pylist()):
+            spelled = zstandard.ZstdDecompressor().decompress(phrases).decode().split("\n")
+            held.append(pa.table({"phrase": pa.array(spelled, pa.string()), "f": unpacked(counts)}))
+        total = pa.concat_tables(held).group_by("phrase").aggregate([("f", "sum")])
+        total = total.filter(pc.greater_equal(total["f_sum"], least))
+        lang = pa.array([found["lang"][0].as_py()] * len(total), pa.string())
+        return pa.table({"lang": lang, "phrase": total["phrase"], "f": total["f_sum"]})
 
-    found = relation.mapInArrow(run, "lang string, phrase string, f long")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    parts = relation.mapInArrow(run, "lang string, range long, phrases binary, counts binary")
+    return parts.groupBy("lang", "range").applyInArrow(gathered, "lang string, phrase string, f long")
 
 
 def frequent_phrases(docs: DataFrame, longest: int, least: int, folder: str, text_col: str, lang_col: str) -> DataFrame:
     """lang, size, phrase and f of all phrases of up to so many words that occur often enough; n of the language."""
     relation = stored(occurrences(docs, text_col, lang_col), folder, "words")
     totals, found = relation.groupBy("lang").agg(F.sum("n").alias("n")), None
+    n = relation.agg(F.sum("n")).first()[0] or 0
+    log = min(max(4, (n // RANGE).bit_length()), FILTER_BITS - 3)
     for size in range(1, longest + 1):
-        relation = frequent_occurrences(relation, size, frequent_groups(relation, size, least))
+        relation = frequent_occurrences(relation, size, frequent_groups(relation, size, least, log))
         if size < longest:
             relation = stored(relation, folder, f"occurrences-{size}")
-        frequent = phrase_counts(relation, size).where(F.col("f") >= least).withColumn("size", F.lit(size))
+        frequent = phrase_counts(relation, size, least, log).withColumn("size", F.lit(size))
         frequent = stored(frequent, folder, f"frequent-{size}")
         found = frequent if found is None else found.unionByName(frequent)
     return found.join(totals, "lang")
