@@ -349,17 +349,83 @@ def _second_run(first: str, second: str) -> str:
             where f.article_id is null or n.median_price is distinct from f.median_price)"""
 
 
-def _quarter() -> str:
-    """What the checks say after each month of the quarter, with the sales up to then."""
+def _reports(months: list[tuple[str, str, str, str]]) -> str:
+    """What the checks say after each month: label, first day sold, first day not sold yet, customers."""
     parts = []
-    for month, following in (("01", "02"), ("02", "03"), ("03", "04")):
-        sales = (
-            _CTES["tx"]
-            + f" where cast(o_orderdate as date) + interval '24' year >= date '2021-01-01'"
-            + f" and cast(o_orderdate as date) + interval '24' year < date '2021-{following}-01'"
+    for month, first, end, customers in months:
+        sales = f"select * from sold where t_dat >= date '{first}' and t_dat < date '{end}'"
+        parts.append(
+            f"select '{month}' as month, * from ({_sql(_report(), tx=sales, customers=customers)})"
         )
-        parts.append(f"select '2021-{month}' as month, * from ({_sql(_report(), tx=sales)})")
-    return " union all ".join(parts)
+    return f"with sold as materialized ({_CTES['tx_rounded']}) " + " union all ".join(parts)
+
+
+_LACKING = _CTES["customers"] + " where c_custkey % 50 <> 7"
+
+
+def _every_month() -> str:
+    """What the checks say after each of 80 months, from the rows that are there by its end."""
+    relation = _RELATION | {
+        "stg_transactions": "stg_by", "fct_sales": "fact_by", "dim_article": "article_by",
+        "dim_article_price_history": "history_by",
+    }
+    counts = {}
+    for table, column in _KEYS + [("stg_transactions", "sale_date"), ("stg_transactions", "sales_channel_id")]:
+        counts[f"not_null_{table}_{column}", table] = f"from {relation[table]} where {column} is null"
+    for table, column in _KEYS:
+        by = "month, " * (relation[table] != _RELATION[table])
+        counts[f"unique_{table}_{column}", table] = (
+            f"from (select {by}{column} from {relation[table]} where {column} is not null"
+            f" group by {by}{column} having count(*) > 1)"
+        )
+    for table, column, parent, field in _REFERENCES:
+        counts[f"not_null_{table}_{column}", table] = f"from {relation[table]} where {column} is null"
+        counts[f"relationships_{table}_{column}", table] = (
+            f"from {relation[table]} where {column} is not null"
+            f" and {column} not in (select {field} from {_RELATION[parent]} where {field} is not null)"
+        )
+    grain = "sale_date, customer_id, article_id, channel_sk"
+    counts |= {
+        ("between_stg_transactions_price", "stg_transactions"): "from stg_by where price <= 0",
+        ("accepted_values_stg_transactions_sales_channel_id", "stg_transactions"):
+            "from stg_by where sales_channel_id not in (1, 2)",
+        ("unique_dim_article_price_history_article_id_where_is_current", "dim_article_price_history"):
+            "from (select month, article_id from history_by where valid_to is null or valid_to >= ends"
+            " group by 1, 2 having count(*) > 1)",
+        ("between_dim_article_current_price", "dim_article"): "from article_by where current_price <= 0",
+        ("unique_combination_fct_sales_" + grain.replace(", ", "_"), "fct_sales"):
+            f"from (select month, {grain} from fact_by group by all having count(*) > 1)",
+        ("between_fct_sales_quantity", "fct_sales"): "from fact_by where quantity < 1",
+    }
+    parts = []
+    for (name, table), found in counts.items():
+        month = "month" if relation[table] != _RELATION[table] else "cast(null as varchar)"
+        parts.append(
+            f"select '{name}' as check_name, '{table}' as table_name, {month} as month,"
+            f" count(*) as n {found} group by all"
+        )
+    names = ", ".join(f"('{name}', '{table}')" for name, table in counts)
+    others = {
+        "tx": _CTES["tx_rounded"],
+        "customers": _LACKING,
+        "months": """select strftime(d, '%Y-%m') as month, cast(d + interval 1 month as date) as ends
+            from generate_series(date '2019-01-01', date '2025-08-01', interval 1 month) t(d)""",
+        "stg_by": "select month, s.* from months join stg s on sale_date < ends",
+        "fact_by": "select month, f.* from months join fact f on sale_date < ends",
+        "history_by": "select month, ends, h.* from months join history h on valid_from < ends",
+        "price_by": """select month, article_id, arg_max(median_price, price_month) as current_price
+            from months join monthly on price_month < ends group by all""",
+        "article_by": f"""select m.month, {_sk('a.article_id')} as article_sk, current_price from months m
+            cross join stg_articles a left join price_by p on p.month = m.month and p.article_id = a.article_id""",
+    }
+    return _sql(
+        f"""select m.month, c.check_name, c.table_name, cast(coalesce(n, 0) as bigint) as failures,
+            case when coalesce(n, 0) = 0 then 'pass' else 'fail' end as status
+        from months m cross join (values {names}) c(check_name, table_name)
+        left join ({" union all ".join(parts)}) f
+            on f.check_name = c.check_name and coalesce(f.month, m.month) = m.month""",
+        **others,
+    )
 
 
 _BODIES = {
@@ -508,4 +574,10 @@ _CTES["month_snap"] = _open(
 )
 
 ORACLES = {name: _sql(body) for name, body in _BODIES.items()}
-ORACLES["replay_months"] = _quarter()
+ORACLES["run_month_reports"] = _reports(
+    [
+        ("2021-05", "2021-05-01", "2021-06-01", _CTES["customers"]),
+        ("2021-06", "2021-05-01", "2021-07-01", _LACKING),
+    ]
+)
+ORACLES["replay_months"] = _every_month()

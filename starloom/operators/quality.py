@@ -180,7 +180,8 @@ SUITE: list[Check] = [
 _ROW_KINDS = ("not_null", "accepted_values", "between")
 
 
-def _fails(check: Check) -> Column:
+def fails(check: Check) -> Column:
+    """Whether a row fails a check on single rows."""
     column = F.col(check.column)
     if check.kind == "not_null":
         return column.isNull()
@@ -192,7 +193,7 @@ def _fails(check: Check) -> Column:
 def _row_failures(rows: DataFrame, checks: list[Check]) -> DataFrame:
     """All single-row checks of one table from one scan."""
     counts = rows.agg(
-        *[F.count_if(_fails(c)).alias(f"c{i}") for i, c in enumerate(checks)]
+        *[F.count_if(fails(c)).alias(f"c{i}") for i, c in enumerate(checks)]
     )
     pairs = [
         F.struct(
@@ -251,16 +252,14 @@ def with_parents(keys: DataFrame, checks: list[Check], tables: dict[str, DataFra
     return keys.join(parents, ["reference", "key"], "left")
 
 
-def _reference_failures(
-    keys: DataFrame, checks: list[Check], tables: dict[str, DataFrame]
-) -> DataFrame:
+def _missing(keys: DataFrame, checks: list[Check], tables: dict[str, DataFrame], *by: str) -> DataFrame:
     """Of one table's keys, as reference_keys() gives them: a row without parents counts once per key."""
     missing = F.when(F.col("found").isNull(), F.col("n_records")).otherwise(0)
-    failures = (
-        with_parents(keys, checks, tables)
-        .groupBy("reference")
-        .agg(F.sum(missing).alias("failures"))
-    )
+    return with_parents(keys, checks, tables).groupBy(*by, "reference").agg(F.sum(missing).alias("failures"))
+
+
+def _listed(found: DataFrame, checks: list[Check]) -> DataFrame:
+    """check_name, table_name and failures of every check, by reference, 0 where there is no row."""
     names = F.array(
         *[
             F.struct(
@@ -271,34 +270,112 @@ def _reference_failures(
             for i, c in enumerate(checks)
         ]
     )
-    listed = keys.sparkSession.range(0, 1, 1, 1).select(F.inline(names))
-    return listed.join(failures, "reference", "left").select(
+    listed = found.sparkSession.range(0, 1, 1, 1).select(F.inline(names))
+    return listed.join(found, "reference", "left").select(
         "check_name", "table_name", F.coalesce("failures", F.lit(0)).alias("failures")
     )
 
 
+def _reference_failures(
+    keys: DataFrame, checks: list[Check], tables: dict[str, DataFrame]
+) -> DataFrame:
+    return _listed(_missing(keys, checks, tables), checks)
+
+
+# -- states ----------------------------------------------------------------------------------------
+
+
+def states(rows: DataFrame, table: str, by: str, suite: list[Check] = SUITE) -> DataFrame:
+    """What the checks of a table need to know of its rows, by a column: `by`, check_name, key, n_records.
+
+    States of different values of `by` add up, so those of rows that did not change need not be taken
+    again. Checks on single rows and on groups have one row each, key null, with their failures;
+    foreign keys have one row per value, as its parent may come and go. A group must lie within one value
+    of `by`, as the grain of a fact does within its month; uniqueness over all rows has no such state.
+    """
+    own = [c for c in suite if c.table == table]
+    if any(c.kind == "unique" for c in own):
+        raise ValueError(f"uniqueness over all rows of {table} cannot be added up")
+    single = [c for c in own if c.kind in _ROW_KINDS]
+    none = F.lit(None).cast("string").alias("key")
+    parts = []
+    if single:
+        counts = rows.groupBy(by).agg(*[F.count_if(fails(c)).alias(f"c{i}") for i, c in enumerate(single)])
+        pairs = [
+            F.struct(F.lit(c.name).alias("check_name"), none, F.col(f"c{i}").alias("n_records"))
+            for i, c in enumerate(single)
+        ]
+        parts.append(counts.select(by, F.inline(F.array(*pairs))))
+    for c in own:
+        if c.kind == "unique_combination":
+            failing = unique_combination(rows, [by, *c.columns]).groupBy(by)
+            counts = failing.agg(F.count(F.lit(1)).alias("n_records"))
+            parts.append(counts.select(by, F.lit(c.name).alias("check_name"), none, "n_records"))
+    referring = references(table, own)
+    if referring:
+        names = F.array(*[F.lit(c.name) for c in referring])
+        keys = reference_keys(rows, referring, by)
+        parts.append(keys.select(by, F.get(names, "reference").alias("check_name"), "key", "n_records"))
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    return merged
+
+
+def _place(checks: list[Check]) -> Column:
+    return (F.array_position(F.array(*[F.lit(c.name) for c in checks]), F.col("check_name")) - 1).cast("int")
+
+
+def state_failures(
+    held: DataFrame, table: str, tables: dict[str, DataFrame], *by: str, suite: list[Check] = SUITE
+) -> DataFrame:
+    """Failures of a table's checks from their states, added up; by the columns in `by`, if any."""
+    own = [c for c in suite if c.table == table]
+    referring = references(table, own)
+    others = [c for c in own if c not in referring]
+    place = [F.struct(F.lit(c.name), F.lit(c.table)) for c in own]
+    summed = held.withColumn("reference", _place(others)).where("reference >= 0")
+    summed = summed.groupBy(*by, "reference").agg(F.sum("n_records").alias("failures"))
+    found = summed.withColumn("reference", _place_of(others, own))
+    if referring:
+        keys = held.withColumn("reference", _place(referring)).where("reference >= 0")
+        keys = keys.groupBy(*by, "reference", "key").agg(F.sum("n_records").alias("n_records"))
+        missing = _missing(keys, referring, tables, *by)
+        found = found.unionByName(missing.withColumn("reference", _place_of(referring, own)))
+    if not by:
+        return _listed(found, own)
+    return found.withColumn("_", F.get(F.array(*place), "reference")).select(
+        *by, F.col("_.col1").alias("check_name"), F.col("_.col2").alias("table_name"), "failures"
+    )
+
+
+def _place_of(some: list[Check], own: list[Check]) -> Column:
+    """The place of a check among others, given its place among some of them."""
+    return F.get(F.array(*[F.lit(own.index(c)) for c in some]), F.col("reference"))
+
+
 def report(
     tables: dict[str, DataFrame],
     suite: list[Check] = SUITE,
-    keys: dict[str, DataFrame] | None = None,
+    held: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per declared check whose tables are given: name, table, failures, status.
 
-    `keys` has, by table, what reference_keys() gives for references() of it, to check instead of its rows.
+    `held` has, by table, states() of it; they are added up instead of reading the table's rows.
     """
+    held = held or {}
     known = [
         c for c in suite if c.table in tables and (c.parent is None or c.parent[0] in tables)
     ]
-    parts = []
+    parts = [state_failures(rows, table, tables, suite=known) for table, rows in held.items()]
+    known = [c for c in known if c.table not in held]
     for table in dict.fromkeys(c.table for c in known):
         on_rows = [c for c in known if c.table == table and c.kind in _ROW_KINDS]
         if on_rows:
             parts.append(_row_failures(tables[table], on_rows))
         referring = references(table, known)
         if referring:
-            given = (keys or {}).get(table)
-            if given is None:
-                given = reference_keys(tables[table], referring)
+            given = reference_keys(tables[table], referring)
             parts.append(_reference_failures(given, referring, tables))
     parts += [
         _group_failures(c, tables[c.table])
@@ -308,6 +385,8 @@ def report(
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
-    return merged.withColumn(
-        "status", F.when(F.col("failures") == 0, "pass").otherwise("fail")
-    )
+    return with_status(merged)
+
+
+def with_status(failures: DataFrame) -> DataFrame:
+    return failures.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))

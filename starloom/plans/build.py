@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime
 
@@ -67,13 +68,12 @@ _FACT_SCHEMA = T.StructType(
     ]
 )
 
-_KEYS = "sales_keys"
-_KEYS_SCHEMA = T.StructType(
+_STATES = "sales_checks"
+_STATES_SCHEMA = T.StructType(
     [
         T.StructField("check_name", T.StringType()),
         T.StructField("key", T.StringType()),
         T.StructField("n_records", T.LongType()),
-        T.StructField("found", T.BooleanType()),
     ]
 )
 # The tables of sales.
@@ -91,14 +91,16 @@ def _refresh_months(
     table: str,
     schema: T.StructType,
     partition: str,
-    build: Callable[[DataFrame], DataFrame],
+    build: Callable[[DataFrame, list[str]], DataFrame],
     run_ts: datetime,
     months: list[str] | None = None,
+    version: str = "",
 ) -> tuple[dict[str, str], list[str]]:
     """Rebuild the months of a derived table that were loaded again since its last build.
 
     `months` rebuilds exactly those instead. Months that no load touched would come out the same,
-    so they are neither read nor written. Returns the loaded months, and those rebuilt.
+    so they are neither read nor written, unless they were built by another `version` of the table's
+    rule. Returns the loaded months, and those rebuilt.
     """
     w.create_partitioned(
         layer, table, schema, T.StructType([T.StructField(partition, T.DateType())])
@@ -106,13 +108,13 @@ def _refresh_months(
     loaded = loaded_months(w)
     built = w.properties(layer, table)
     if months is None:
-        months = [m for m, run in loaded.items() if built.get(_BUILT + m) != run]
+        months = [m for m, run in loaded.items() if built.get(_BUILT + m) != run + version]
     if months:
         rows = w.table("raw", "transactions").where(F.col(LOAD_MONTH).isin(months))
         folder = f"{w.root}/{layer}/builds/{table}/{w.new_run(run_ts)}"
-        write_partitioned(build(rows), partition, folder)
+        write_partitioned(build(rows, months), partition, folder)
         w.swap_partitions(layer, table, folder)
-        w.set_properties(layer, table, {_BUILT + m: loaded[m] for m in months if m in loaded})
+        w.set_properties(layer, table, {_BUILT + m: loaded[m] + version for m in months if m in loaded})
     return loaded, months
 
 
@@ -128,7 +130,7 @@ def build_fact(
     if month is not None:
         month_bounds(month)
 
-    def build(landing: DataFrame) -> DataFrame:
+    def build(landing: DataFrame, _: list[str]) -> DataFrame:
         transactions = staging.stg_transactions(staging.raw_transactions(landing))
         grain = marts.sales_grain(transactions, month)
         return marts.with_sales_keys(grain.hint("rebalance", F.col("sale_month")))
@@ -141,60 +143,33 @@ def build_fact(
     return rebuilt
 
 
-def _refresh_sales_keys(w: Warehouse, run_ts: datetime) -> list[str]:
-    """Note the foreign keys of months loaded again, and whether each had its parent when noted.
+def _refresh_states(w: Warehouse, run_ts: datetime) -> None:
+    """Take the check states of sales for the months that were loaded again, or checked otherwise before."""
+    declared = sorted(str(c) for c in quality.SUITE if c.table in _SALES)
+    suite = hashlib.md5("\n".join(declared).encode()).hexdigest()[:8]
 
-    One row per month, foreign key and value. Returns the months noted.
-    """
-    tables = warehouse_tables(w)
-
-    def build(landing: DataFrame) -> DataFrame:
+    def build(landing: DataFrame, months: list[str]) -> DataFrame:
         transactions = staging.stg_transactions(staging.raw_transactions(landing))
-        first_days = [r[0] for r in landing.select(LOAD_MONTH).distinct().collect()]
-        first_days = [month_bounds(m)[0] for m in first_days]
-        sales = {
-            "stg_transactions": transactions.withColumn("sale_month", month_start("sale_date")),
-            FACT: tables[FACT].where(F.col("sale_month").isin(first_days)),
-        }
-        noted = None
-        for table, rows in sales.items():
-            checks = quality.references(table)
-            names = F.array(*[F.lit(c.name) for c in checks])
-            keys = quality.reference_keys(rows, checks, "sale_month")
-            own = quality.with_parents(keys, checks, tables).select(
-                F.get(names, F.col("reference")).alias("check_name"),
-                "key",
-                "n_records",
-                F.col("found").isNotNull().alias("found"),
-                "sale_month",
-            )
-            noted = own if noted is None else noted.unionByName(own)
-        return noted.hint("rebalance", F.col("sale_month"))
-
-    _, noted = _refresh_months(w, "dwh", _KEYS, _KEYS_SCHEMA, "sale_month", build, run_ts)
-    return noted
-
-
-def _keys_to_check(w: Warehouse, months: list[str]) -> dict[str, DataFrame]:
-    """By table of sales, the foreign keys that a run may have left without a parent.
-
-    All keys of the given months; of the others those that had their parent when they were noted,
-    as the dimensions may have been replaced since.
-    """
-    first_days = [month_bounds(m)[0] for m in months]
-    rows = w.table("dwh", _KEYS).where(F.col("found") | F.col("sale_month").isin(first_days))
+        first_days = [month_bounds(m)[0] for m in months]
+        fact = w.table("dwh", FACT).where(F.col("sale_month").isin(first_days))
+        own = transactions.withColumn("sale_month", month_start("sale_date"))
+        held = quality.states(own, _SALES[0], "sale_month")
+        held = held.unionByName(quality.states(fact, FACT, "sale_month"))
+        return held.hint("rebalance", F.col("sale_month"))
+
+    _refresh_months(w, "dwh", _STATES, _STATES_SCHEMA, "sale_month", build, run_ts, version=suite)
+
+
+def sales_states(w: Warehouse) -> dict[str, DataFrame]:
+    """By table of sales, its check states; one row per month, check and, for foreign keys, value."""
+    rows = w.table("dwh", _STATES)
     landed = [month_bounds(m)[0] for m in loaded_months(w)]
     found = {}
     for table in _SALES:
-        names = [c.name for c in quality.references(table)]
+        names = [c.name for c in quality.SUITE if c.table == table]
         own = rows.where(F.col("check_name").isin(names))
-        if table != FACT:  # the fact keeps months that are gone from the landing table
-            own = own.where(F.col("sale_month").isin(landed))
-        place = F.array_position(F.array(*map(F.lit, names)), F.col("check_name")) - 1
-        found[table] = (
-            own.groupBy(place.cast("int").alias("reference"), "key")
-            .agg(F.sum("n_records").alias("n_records"))
-        )
+        # the fact keeps months that are gone from the landing table
+        found[table] = own if table == FACT else own.where(F.col("sale_month").isin(landed))
     return found
 
 
@@ -202,7 +177,7 @@ def _refresh_monthly_prices(w: Warehouse, run_ts: datetime) -> DataFrame:
     """Median price per article and month, recomputed only for months that were loaded again."""
     counted = f"{w.root}/stg/builds/{_MONTHLY}_counted/{w.new_run(run_ts)}"
 
-    def build(landing: DataFrame) -> DataFrame:
+    def build(landing: DataFrame, _: list[str]) -> DataFrame:
         monthly = median.monthly_median_price(staging.raw_transactions(landing), counted)
         return monthly.hint("rebalance", F.col("price_month"))
 
@@ -346,24 +321,13 @@ def build_layer(w: Warehouse, layer: str, run_ts: datetime | None = None) -> lis
     return rebuilt
 
 
-def warehouse_tables(w: Warehouse, months: list[str] | None = None) -> dict[str, DataFrame]:
-    """The tables and views the declared checks look at; sales of the given months only, if any.
-
-    Apart from foreign keys, every check on sales is about single rows or a grain that holds the
-    date, so what was not rebuilt cannot change its answer. Foreign keys of all months depend on
-    dimensions that are replaced as a whole; build() checks them from the keys noted by month.
-    """
+def warehouse_tables(w: Warehouse) -> dict[str, DataFrame]:
+    """The tables and views the declared checks look at."""
     names = {"raw": staging.RAW_VIEWS, "stg": staging.STG_VIEWS}
     tables = {v: w.table(layer, v) for layer, views in names.items() for v in views}
     dwh = ("dim_date", "dim_channel", "dim_customer", "dim_article",
            "dim_article_price_history", FACT)
-    tables = {**tables, **{t: w.table("dwh", t) for t in dwh}}
-    if months is not None:
-        landed = w.table("raw", "transactions").where(F.col(LOAD_MONTH).isin(months))
-        tables["stg_transactions"] = staging.stg_transactions(staging.raw_transactions(landed))
-        first_days = [month_bounds(m)[0] for m in months]
-        tables[FACT] = tables[FACT].where(F.col("sale_month").isin(first_days))
-    return tables
+    return {**tables, **{t: w.table("dwh", t) for t in dwh}}
 
 
 class ChecksFailed(Exception):
@@ -387,27 +351,26 @@ def build(
     w: Warehouse,
     run_ts: datetime | None = None,
     seeds_dir: str | None = None,
-    only_rebuilt: bool = False,
     stop_on_failure: bool = False,
 ) -> DataFrame:
     """Seeds, views, snapshot and star, in dependency order; returns the check report.
 
-    With only_rebuilt, checks on sales look at the months this run rebuilt, and at the foreign keys
-    of the other months that had their parent when their month was built.
+    The report is about all rows of all tables. Of sales, only months loaded since they were last
+    checked are read; the others' part comes from the states kept with them.
     """
     run_ts = run_ts or utc_now()
     build_seeds(w, run_ts, seeds_dir)
     build_layer(w, "raw", run_ts)
     build_layer(w, "stg", run_ts)
     build_snapshot(w, run_ts)
-    rebuilt = build_layer(w, "dwh", run_ts)
-    noted = _refresh_sales_keys(w, run_ts)
-    if only_rebuilt:
-        keys = _keys_to_check(w, sorted({*rebuilt, *noted}))
-        report = quality.report(warehouse_tables(w, rebuilt), keys=keys)
-    else:
-        report = quality.report(warehouse_tables(w))
-    return _checked(report, stop_on_failure)
+    build_layer(w, "dwh", run_ts)
+    return _checked(check(w, run_ts), stop_on_failure)
+
+
+def check(w: Warehouse, run_ts: datetime | None = None) -> DataFrame:
+    """The report of all declared checks: equal to quality.report(warehouse_tables(w))."""
+    _refresh_states(w, run_ts or utc_now())
+    return quality.report(warehouse_tables(w), held=sales_states(w))
 
 
 def build_all(
@@ -421,7 +384,7 @@ def build_all(
     run_ts = run_ts or utc_now()
     csv_files.convert_all(w.spark, data_dir)
     Landing(w, f"{data_dir}/parquet").load_history(run_ts)
-    return build(w, run_ts, seeds_dir, stop_on_failure=stop_on_failure)
+    return build(w, run_ts, seeds_dir, stop_on_failure)
 
 
 def source_freshness(w: Warehouse, run_ts: datetime | None = None) -> DataFrame:
@@ -436,16 +399,12 @@ def run_month(
     seeds_dir: str | None = None,
     stop_on_failure: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """The monthly job: replace both dimensions, load one month, build, then check freshness.
-
-    Checks on sales look at the months built in this run, and at all others for foreign keys that
-    have lost their parent since; quality.report(warehouse_tables(w)) looks at all rows.
-    """
+    """The monthly job: replace both dimensions, load one month, build, then check freshness."""
     run_ts = run_ts or utc_now()
     landing.load_dimension("articles", run_ts)
     landing.load_dimension("customers", run_ts)
     landing.load_month(month, run_ts)
-    report = build(landing.warehouse, run_ts, seeds_dir, True, stop_on_failure)
+    report = build(landing.warehouse, run_ts, seeds_dir, stop_on_failure)
     return report, source_freshness(landing.warehouse, run_ts)
 
 
@@ -454,6 +413,8 @@ def replay_months(
 ) -> DataFrame:
     """Run the monthly job for each month in order, stamped with the month's first day.
 
+    replay.replay_reports() gives the same from one pass, if the warehouse is new.
+
     Returns what the checks said after each month. Each report is evaluated before the next month
     changes the tables; it has one row per declared check.
     """
@@ -482,4 +443,4 @@ def replay_history(landing: Landing, run_ts: datetime | None = None) -> DataFram
     build_layer(w, "stg", run_ts)
     build_snapshot_history(w)
     build_layer(w, "dwh", run_ts)
-    return quality.report(warehouse_tables(w))
+    return check(w, run_ts)
