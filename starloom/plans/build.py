@@ -105,16 +105,16 @@ def _refresh_months(
     w.create_partitioned(
         layer, table, schema, T.StructType([T.StructField(partition, T.DateType())])
     )
-    loaded = loaded_months(w)
-    built = w.properties(layer, table)
+    since, loaded = w.state(layer, table), loaded_months(w)
+    built = since.notes
     if months is None:
         months = [m for m, run in loaded.items() if built.get(_BUILT + m) != run + version]
     if months:
         rows = w.table("raw", "transactions").where(F.col(LOAD_MONTH).isin(months))
         folder = f"{w.root}/{layer}/builds/{table}/{w.new_run(run_ts)}"
         write_partitioned(build(rows, months), partition, folder)
-        w.swap_partitions(layer, table, folder)
-        w.set_properties(layer, table, {_BUILT + m: loaded[m] + version for m in months if m in loaded})
+        notes = {_BUILT + m: loaded[m] + version for m in months if m in loaded}
+        w.commit(layer, table, w.staged(folder), notes=notes, since=since)
     return loaded, months
 
 
@@ -187,7 +187,8 @@ def _refresh_monthly_prices(w: Warehouse, run_ts: datetime) -> DataFrame:
     files.delete(w.spark, counted)
     kept = {f"price_month={month}-01" for month in loaded}
     gone = [s for s in w.partitions("stg", _MONTHLY) if s not in kept]
-    w.drop_partitions("stg", _MONTHLY, gone)
+    if gone:
+        w.commit("stg", _MONTHLY, {}, gone)
     return w.table("stg", _MONTHLY).select("article_id", "price_month", "median_price")
 
 
@@ -209,7 +210,8 @@ def _snapshot_run(w: Warehouse, run_ts: datetime) -> tuple[str, str]:
         run, state = (part.split("=", 1)[1] for part in spec.split("/"))
         if run not in (last, base) and (state == "open" or run > base):
             stray.append(spec)
-    w.drop_partitions("stg", _SNAPSHOT_DATA, stray)
+    if stray:
+        w.commit("stg", _SNAPSHOT_DATA, {}, stray)
 
     time = f"{run_ts:%Y%m%d%H%M%S%f}"
     last_time, _, attempt = last.partition("_")
@@ -238,7 +240,7 @@ def _publish_snapshot(w: Warehouse, rows: DataFrame, run: str, base: str) -> Non
     state = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
     staged = rows.select(*_SNAPSHOT_SCHEMA.fieldNames()).withColumn("state", state)
     write_partitioned(staged.hint("rebalance", F.col("state")), "state", folder)
-    w.swap_partitions("stg", _SNAPSHOT_DATA, folder, within=f"run={run}")
+    w.commit("stg", _SNAPSHOT_DATA, w.staged(folder, within=f"run={run}"))
     w.create_view(
         "stg",
         SNAPSHOT,

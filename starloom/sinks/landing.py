@@ -25,8 +25,7 @@ from starloom.schemas import (
     TRANSACTIONS,
     dimension,
 )
-from starloom.sinks.warehouse import Warehouse, write_partitioned
-from starloom.sources import files
+from starloom.sinks.warehouse import State, Warehouse, write_partitioned
 
 LOAD_MONTH = "load_month"
 _LOADED = "starloom.loaded."
@@ -47,9 +46,9 @@ def list_months(transactions: DataFrame) -> DataFrame:
 
 def loaded_months(w: Warehouse) -> dict[str, str]:
     """Each month in the landing table, with the load run its rows come from."""
-    noted = w.properties("raw", "transactions")
-    months = [spec.split("=", 1)[1] for spec in w.partitions("raw", "transactions")]
-    return {month: noted[_LOADED + month] for month in months}
+    state = w.state("raw", "transactions")
+    months = sorted(spec.split("=", 1)[1] for spec in state.partitions)
+    return {month: state.notes[_LOADED + month] for month in months}
 
 
 class Landing:
@@ -89,17 +88,17 @@ class Landing:
         """Replace one month of transactions; returns its row count.
 
         Rerunning gives the same rows, a month missing from the source is emptied, and a failed
-        load leaves the old rows in place.
+        load leaves the old rows in place. If another load has replaced the month since this one
+        began, it fails with a Conflict.
         """
         month_bounds(month)
         run_ts = run_ts or utc_now()
-        self._create_transactions()
         try:
+            since = self._begin()
             folder = self._run_folder(run_ts)
             rows = self._transactions().where(in_month("t_dat", month))
             self._stage(rows, run_ts, folder)
-            if not self._publish(folder):
-                self.warehouse.drop_partitions("raw", "transactions", [f"{LOAD_MONTH}={month}"])
+            self._publish(folder, since, emptied=month)
             n = self.month_rows(month)
         except Exception:
             self._log([("transactions", month, 0, run_ts, "failed")])
@@ -108,13 +107,13 @@ class Landing:
         return n
 
     def load_months(self, run_ts: datetime | None = None) -> dict[str, int]:
-        """Replace every month the source holds, from one scan instead of one per month."""
+        """Replace every month the source holds, from one scan and all at once: readers see none or all."""
         run_ts = run_ts or utc_now()
-        self._create_transactions()
         try:
+            since = self._begin()
             folder = self._run_folder(run_ts)
             self._stage(self._transactions().where(F.col("t_dat").isNotNull()), run_ts, folder)
-            months = self._publish(folder)
+            months = self._publish(folder, since)
             # Counted from file footers: only the partition column is read.
             counts = (
                 self.warehouse.table("raw", "transactions")
@@ -147,13 +146,15 @@ class Landing:
             .count()
         )
 
-    def _create_transactions(self) -> None:
+    def _begin(self) -> State:
+        """The state of the landing table that a load starts from."""
         self.warehouse.create_partitioned(
             "raw",
             "transactions",
             _LANDED,
             T.StructType([T.StructField(LOAD_MONTH, T.StringType())]),
         )
+        return self.warehouse.state("raw", "transactions")
 
     def _run_folder(self, run_ts: datetime) -> str:
         return f"{self.warehouse.root}/raw/loads/{self.warehouse.new_run(run_ts)}"
@@ -171,18 +172,17 @@ class Landing:
         )
         write_partitioned(staged, LOAD_MONTH, folder)
 
-    def _publish(self, folder: str) -> list[str]:
-        """Publish the staged months and return them.
+    def _publish(self, folder: str, since: State, emptied: str | None = None) -> list[str]:
+        """Publish the staged months in one commit and return them; without rows, a month goes.
 
-        The table first notes which run each month comes from, so that derived tables can tell
-        which months were loaded since they were built. A load that dies in between makes them
-        rebuild a month they need not have; it cannot make them miss one.
+        The commit notes which run each month comes from, so that derived tables can tell which
+        months were loaded since they were built.
         """
-        months = [s.split("=", 1)[1] for s in files.subfolders(self.spark, folder) if "=" in s]
-        self.warehouse.set_properties(
-            "raw", "transactions", {_LOADED + month: folder for month in months}
-        )
-        self.warehouse.swap_partitions("raw", "transactions", folder)
+        put = self.warehouse.staged(folder)
+        months = [s.split("=", 1)[1] for s in put]
+        drop = [f"{LOAD_MONTH}={emptied}"] if emptied and emptied not in months else []
+        notes = {_LOADED + month: folder.rsplit("/", 1)[1] for month in months}
+        self.warehouse.commit("raw", "transactions", put, drop, notes, since)
         return months
 
     def _log(self, entries: list[tuple]) -> None:

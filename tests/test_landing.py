@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from starloom.sinks.landing import Landing
+from starloom.sinks.warehouse import KEPT
 
 RUN = datetime(2019, 3, 1, 12, 0, 0)
 
@@ -14,22 +15,35 @@ def log_rows(landing):
     return sorted((r.table_name, r.partition, r.rows, r.status) for r in rows)
 
 
-def test_month_load_replaces(warehouse, parquet_dir):
+def test_months_of_unequal_size_and_a_reload_that_shrinks_one(spark, warehouse, parquet_dir):
+    def put(sizes):
+        spark.range(max(sizes.values())).crossJoin(
+            spark.createDataFrame(list(sizes.items()), "month STRING, n INT")
+        ).where("id < n").selectExpr(
+            "to_date(concat(month, '-11')) as t_dat", "concat('k', id) as customer_id", "'m1' as article_id",
+            "0.5D as price", "1 as sales_channel_id",
+        ).write.mode("overwrite").parquet(f"{parquet_dir}/transactions_train.parquet")
+
     landing = Landing(warehouse, parquet_dir)
-    assert landing.load_month("2019-01") == 2
-    assert landing.load_month("2019-01") == 2
-    assert warehouse.table("raw", "transactions").count() == 2
-    assert log_rows(landing) == [("transactions", "2019-01", 2, "ok")] * 2
+    put({"2020-02": 7, "2020-03": 1, "2020-05": 4})
+    assert landing.load_months() == {"2020-02": 7, "2020-03": 1, "2020-05": 4}
+    put({"2020-02": 3, "2020-03": 9})
+    assert landing.load_month("2020-02") == 3
+    counts = warehouse.table("raw", "transactions").groupBy("load_month").count().collect()
+    assert dict(map(tuple, counts)) == {"2020-02": 3, "2020-03": 1, "2020-05": 4}
+    assert log_rows(landing)[0:2] == [("transactions", "2020-02", 3, "ok"), ("transactions", "2020-02", 7, "ok")]
 
 
-def test_dimension_is_replaced_whole(warehouse, parquet_dir):
+def test_a_dimension_that_loses_a_column(spark, warehouse, parquet_dir):
     landing = Landing(warehouse, parquet_dir)
-    for _ in range(3):
-        assert landing.load_dimension("articles", RUN) == 2
-    articles = warehouse.table("raw", "articles")
-    assert articles.count() == 2
-    assert articles.columns[-1] == "ingestion_ts"
-    assert {r.ingestion_ts for r in articles.collect()} == {RUN}
+    assert landing.load_dimension("customers", RUN) == 3
+    spark.sql("SELECT 'k8' AS customer_id, 41 AS age").write.mode("overwrite").parquet(
+        f"{parquet_dir}/customers.parquet"
+    )
+    assert landing.load_dimension("customers", RUN) == 1
+    customers = warehouse.table("raw", "customers")
+    assert customers.columns == ["customer_id", "age", "ingestion_ts"]
+    assert customers.first() == ("k8", 41, RUN)
 
 
 def test_months_are_listed_in_order(warehouse, parquet_dir):
@@ -137,18 +151,20 @@ def test_reader_planned_before_a_reload_goes_on(spark, warehouse, parquet_dir):
     assert reader.sparkSession.table(warehouse.name("raw", "transactions")).count() == 1
 
 
-def test_replaced_files_go_when_their_month_is_loaded_once_more(warehouse, parquet_dir):
+def test_replaced_files_go_when_their_commit_is_no_longer_kept(warehouse, parquet_dir):
     import os
 
     landing = Landing(warehouse, parquet_dir)
-    landing.load_month("2019-01", RUN)
-    first = warehouse.partition_location("raw", "transactions", "load_month=2019-01")
-    landing.load_month("2019-01")
-    second = warehouse.partition_location("raw", "transactions", "load_month=2019-01")
-    assert os.path.isdir(first.removeprefix("file:"))
-    landing.load_month("2019-01")
-    assert not os.path.isdir(first.removeprefix("file:"))
-    assert os.path.isdir(second.removeprefix("file:"))
+    at = []
+    for _ in range(KEPT):
+        landing.load_month("2019-01")
+        at.append(warehouse.partition_location("raw", "transactions", "load_month=2019-01"))
+    landing.load_month("2019-02")
+    assert not os.path.isdir(at[0].removeprefix("file:"))
+    assert all(os.path.isdir(x.removeprefix("file:")) for x in at[1:])
+    found = warehouse.commits("raw", "transactions")
+    assert found.select("commit").distinct().count() == KEPT
+    assert {r.partition for r in found.where("commit = 4").collect()} == {"load_month=2019-01", "load_month=2019-02"}
 
 
 def test_failed_clean_up_is_no_failed_load(warehouse, parquet_dir, monkeypatch):
@@ -158,9 +174,9 @@ def test_failed_clean_up_is_no_failed_load(warehouse, parquet_dir, monkeypatch):
         raise OSError("no permission")
 
     landing = Landing(warehouse, parquet_dir)
-    landing.load_month("2019-01")
-    landing.load_month("2019-01")
+    for _ in range(KEPT):
+        landing.load_month("2019-01")
     monkeypatch.setattr(files, "delete", refuse)
     with pytest.warns(UserWarning, match="left behind"):
         assert landing.load_month("2019-01") == 2
-    assert log_rows(landing) == [("transactions", "2019-01", 2, "ok")] * 3
+    assert log_rows(landing) == [("transactions", "2019-01", 2, "ok")] * (KEPT + 1)
