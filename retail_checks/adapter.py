@@ -64,6 +64,16 @@ UNSOLD_COLUMNS = [
 ]
 
 
+# Columns that no contract names, as a CSV file might add them; one value of the last is no number.
+UNDECLARED_COLUMNS = [
+    "c_custkey % 1000 as visits",
+    "c_acctbal as balance",
+    "date_add(date'2020-01-01', cast(c_custkey % 365 as int)) as since",
+    "case when c_custkey % 7 <> 3 then c_custkey % 2 = 0 end as vip",
+    "case when c_custkey = 1 then 'n/a' else cast(c_custkey as string) end as remark",
+]
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -77,8 +87,8 @@ def transactions(spark: SparkSession, sf_dir: str, price: str | None = None) ->
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(*columns)
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").selectExpr(*CUSTOMER_COLUMNS)
+def customers(spark: SparkSession, sf_dir: str, more: list[str] = ()) -> DataFrame:
+    return _table(spark, sf_dir, "customer").selectExpr(*CUSTOMER_COLUMNS, *more)
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

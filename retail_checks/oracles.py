@@ -429,8 +429,13 @@ def _every_month() -> str:
 
 
 _BODIES = {
-    "csv_typed_scan": """select customer_id, fn as "FN", active as "Active", club_member_status,
-        fashion_news_frequency, age, postal_code from customers""",
+    "csv_typed_scan": f"""select c.customer_id, fn as "FN", active as "Active", club_member_status,
+        fashion_news_frequency, age, postal_code, cast(c_custkey % 1000 as bigint) as visits,
+        cast(c_acctbal as double) as balance,
+        cast(date '2020-01-01' + cast(c_custkey % 365 as integer) as date) as since,
+        case when c_custkey % 7 <> 3 then c_custkey % 2 = 0 end as vip,
+        case when c_custkey = 1 then 'n/a' else cast(c_custkey as varchar) end as remark
+        from customers c join customer on c.customer_id = {_id('c_custkey')}""",
     "csv_to_parquet": """select a.article_id, prod_name, detail_desc, n_rows from articles a left join (select article_id, count(*) as n_rows from tx group by 1) t
         on a.article_id = t.article_id""",
     "load_dimension": f"""select customer_id, fn as "FN", active as "Active", club_member_status,

@@ -149,8 +149,9 @@ def stg_customers(spark, sf_dir) -> DataFrame:
 
 
 def csv_typed_scan(spark, sf_dir):
+    """Declared columns by their contract, the others by their values."""
     folder = scratch(spark)
-    adapter.customers(spark, sf_dir).write.option("header", True).csv(f"{folder}/customers.csv")
+    adapter.customers(spark, sf_dir, adapter.UNDECLARED_COLUMNS).write.option("header", True).csv(f"{folder}/customers.csv")
     return csv_files.read_csv(spark, f"{folder}/customers.csv", CUSTOMERS)
 
 

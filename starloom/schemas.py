@@ -83,16 +83,17 @@ INGESTION_TS = "ingestion_ts"
 @dataclass(frozen=True)
 class Dataset:
     """One landing file. `multi_line` is set only where free text can hold a line break, because
-    lines then have to be put together to records."""
+    lines then have to be put together to records. `order` is the column that loads select by."""
 
     file_name: str
     schema: T.StructType
     multi_line: bool = False
+    order: str | None = None
 
 
 # Names of the three input files.
 DATASETS = {
-    "transactions": Dataset("transactions_train", TRANSACTIONS),
+    "transactions": Dataset("transactions_train", TRANSACTIONS, order="t_dat"),
     "articles": Dataset("articles", ARTICLES, multi_line=True),
     "customers": Dataset("customers", CUSTOMERS),
 }

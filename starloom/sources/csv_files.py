@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.schemas import DATASETS
 from starloom.sources import files
 from starloom.sources.csv_records import read_records
+from starloom.sources.inference import typed
 
 
 def read_csv(
@@ -16,22 +18,26 @@ def read_csv(
     """CSV with a header row. Quotes are escaped by doubling; a bad value fails the read, and so
     does a header that lacks a column of the schema.
 
-    Columns come in the order of the header. Those that the schema does not name are kept as text.
+    Columns come in the order of the header. Those that the schema does not name get the narrowest type
+    that all their values fit, which takes a scan of its own.
 
     A multi-line read puts lines together again, which takes a shuffle, so ask for it only where a
     quoted field can hold a line break.
     """
+    declared = schema.names
     schema = _with_extra_columns(_header(spark, path, multi_line), schema, path)
     if multi_line:
-        return read_records(spark, path, schema)
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+        rows = read_records(spark, path, schema)
+    else:
+        rows = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            .option("mode", "FAILFAST")
+            .csv(path)
+        )
+    return typed(rows, [n for n in schema.names if n not in declared])
 
 
 def _header(spark: SparkSession, path: str, multi_line: bool) -> list[str]:
@@ -65,15 +71,23 @@ def convert(
     schema: T.StructType,
     multi_line: bool = False,
     force: bool = False,
+    order: str | None = None,
 ) -> int:
     """Write one CSV as Parquet and return its row count; 0 if the target is already complete.
 
+    With `order`, rows are dealt out by ranges of that column and sorted by it, so that a read of
+    one range skips the other files and row groups by their statistics. A value that many rows share is
+    still spread, by a hash of the rows.
+
     What a broken run left is not complete and is written again. The count comes from the written
     files, so it is right even when tasks were retried.
     """
     if files.is_written(spark, dst) and not force:
         return 0
     rows = read_csv(spark, src, schema, multi_line)
+    if order is not None:
+        spread = F.xxhash64(*[F.col(f"`{c.replace('`', '``')}`") for c in rows.columns])
+        rows = rows.repartitionByRange(order, spread).sortWithinPartitions(order)
     rows.write.mode("overwrite").option("compression", "zstd").parquet(dst)
     return spark.read.parquet(dst).count()
 
@@ -88,6 +102,7 @@ def convert_all(spark: SparkSession, data_dir: str, force: bool = False) -> dict
             d.schema,
             d.multi_line,
             force,
+            d.order,
         )
         for d in DATASETS.values()
     }

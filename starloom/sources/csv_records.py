@@ -83,6 +83,8 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         .otherwise(F.raise_error(F.lit(f"CSV header does not conform to the schema in {path}")))
     )
     records = records.where(below_header)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    columns = ", ".join(
+        f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema
+    )
     parsed = F.from_csv("__text", columns, options)
     return records.select(parsed.alias("__row")).select("__row.*")
