@@ -154,6 +154,17 @@ def sales_between(fact: DataFrame, start: date, end: date) -> DataFrame:
     )
 
 
+def sales_on(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Sales with the attributes of their day, of the days in `dates` alone.
+
+    The month follows from the day; joined on as well, it lets a filter on the date dimension, such as
+    one year, reach the fact's partitions when the query runs.
+    """
+    days = dates.withColumn("__month", month_start("date_day"))
+    same = (F.col("sale_date") == F.col("date_day")) & (F.col("sale_month") == F.col("__month"))
+    return fact.join(F.broadcast(days), same).drop("__month")
+
+
 def star_sales_by_month_band_channel(
     fact: DataFrame, dates: DataFrame, customers: DataFrame, channels: DataFrame
 ) -> DataFrame:
@@ -164,8 +175,7 @@ def star_sales_by_month_band_channel(
     dimensions have a fixed size and are broadcast; the customer side is left to Spark.
     """
     per_customer = (
-        fact.join(F.broadcast(dates.select("date_day", "year", "month")),
-                  F.col("sale_date") == F.col("date_day"))
+        sales_on(fact, dates.select("date_day", "year", "month"))
         .groupBy("year", "month", "customer_sk", "channel_sk")
         .agg(F.sum("quantity").alias("quantity"), F.sum("sales_amount").alias("sales_amount"))
     )

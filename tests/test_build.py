@@ -138,6 +138,29 @@ def test_date_range_prunes_fact_months(built):
     assert marts.sales_between(fact, date(2019, 1, 20), date(2019, 2, 12)).count() == 2
 
 
+def test_a_year_of_the_date_dimension_prunes_fact_months(spark, built, parquet_dir):
+    from starloom.operators import marts
+
+    landing, _ = built
+    w = landing.warehouse
+    put_transactions(
+        spark, parquet_dir,
+        "(DATE'2020-06-09', 'k2', 'm1', 0.7D, 2), (DATE'2020-07-10', 'k2', 'm2', 0.2D, 1),"
+        "(DATE'2021-01-01', 'k2', 'm2', 0.2D, 1)",
+    )
+    landing.load_months(LATER)
+    build.build_fact(w, LATER)
+    fact, days = w.table("dwh", "fct_sales"), w.table("dwh", "dim_date").where("year = 2020")
+    answer = marts.star_sales_by_month_band_channel(
+        fact, days, w.table("dwh", "dim_customer"), w.table("dwh", "dim_channel")
+    )
+    assert rows(answer, "year", "month", "quantity") == [(2020, 6, 1), (2020, 7, 1)]
+    joined = marts.sales_on(fact, days)
+    assert rows(joined, "sale_date") == rows(fact.where("year(sale_date) = 2020"), "sale_date")
+    plan = answer._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(sale_month" in plan
+
+
 def test_second_run_tracks_the_change(spark, built, parquet_dir):
     landing, _ = built
     w = landing.warehouse
