@@ -512,6 +512,7 @@ _BODIES = {
     "dim_customer": "select * from dim_customer",
     "dim_article": "select * from dim_article",
     "dim_article_price_history": "select * from history",
+    "run_month_out_of_order": "select * from history",
     "fct_sales": "select * from fact",
     "fct_sales_month": "select * from fact where sale_month = date '2021-05-01'",
     "sales_between":

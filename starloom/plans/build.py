@@ -199,7 +199,7 @@ def _snapshot_run(w: Warehouse, run_ts: datetime) -> tuple[str, str]:
     """Name of the run about to start and of the run it builds on, '' for none.
 
     Names sort by run time, then attempt. Repeating the time of the last run replaces that run;
-    an earlier time is refused. Partitions that belong neither to the last run nor to the ones it
+    build_snapshot takes care of an earlier time. Partitions that belong neither to the last run nor to the ones it
     builds on were left by runs that died or were replaced, and are dropped first.
     """
     w.create_partitioned("stg", _SNAPSHOT_DATA, _SNAPSHOT_SCHEMA, _SNAPSHOT_PARTS)
@@ -240,7 +240,9 @@ def _publish_snapshot(w: Warehouse, rows: DataFrame, run: str, base: str) -> Non
     state = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
     staged = rows.select(*_SNAPSHOT_SCHEMA.fieldNames()).withColumn("state", state)
     write_partitioned(staged.hint("rebalance", F.col("state")), "state", folder)
-    w.commit("stg", _SNAPSHOT_DATA, w.staged(folder, within=f"run={run}"))
+    put = w.staged(folder, within=f"run={run}")
+    known = w.partitions("stg", _SNAPSHOT_DATA)  # a run of this name may have died before it was shown
+    w.commit("stg", _SNAPSHOT_DATA, put, [s for s in known if s.startswith(f"run={run}/") and s not in put])
     w.create_view(
         "stg",
         SNAPSHOT,
@@ -251,9 +253,34 @@ def _publish_snapshot(w: Warehouse, rows: DataFrame, run: str, base: str) -> Non
     )
 
 
+def _splice_snapshot(w: Warehouse, run_ts: datetime) -> None:
+    """A run for a month before the last one: its versions go between those that are there.
+
+    The month's prices may split a version, join two, or move the day one begins; what is left is what
+    the monthly runs would have left in order. They can be put in order if each was stamped with the
+    first day of its month, which makes the monthly medians, kept by month, all there is to know. The
+    whole history is written again under the last run's time, from those, not from the sales.
+    """
+    versions = w.table("stg", SNAPSHOT)
+    apart = F.col(VALID_FROM) != F.col("price_month").cast("timestamp_ntz")
+    if run_ts != datetime(run_ts.year, run_ts.month, 1) or versions.where(apart).limit(1).count():
+        raise ValueError(
+            f"snapshot run {run_ts} is before the last one; that takes runs stamped with first days of months"
+        )
+    time, _, attempt = w.properties("stg", SNAPSHOT)[VERSION].partition("_")
+    rows = snapshot.replay(_refresh_monthly_prices(w, run_ts))
+    _publish_snapshot(w, rows, f"{time}_{int(attempt) + 1:06d}", "")
+
+
 def build_snapshot(w: Warehouse, run_ts: datetime | None = None) -> None:
-    """One change-tracking run over each article's latest monthly median price."""
+    """One change-tracking run over each article's latest monthly median price.
+
+    A run for a month before the last one is put in its place, see _splice_snapshot.
+    """
     run_ts = run_ts or utc_now()
+    last = w.properties("stg", SNAPSHOT).get(VERSION, "").partition("_")[0]
+    if f"{run_ts:%Y%m%d%H%M%S%f}" < last:
+        return _splice_snapshot(w, run_ts)
     run, base = _snapshot_run(w, run_ts)
     source = median.latest_price(_refresh_monthly_prices(w, run_ts))
     if base:

@@ -121,6 +121,69 @@ def test_reports_of_one_pass_equal_those_of_the_jobs(spark, parquet_dir, tmp_pat
     assert last == whole(one.warehouse)
 
 
+def versions(w):
+    names = ["article_id", "price_month", "median_price", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to"]
+    return sorted((tuple(r) for r in w.table("stg", "snap_article_price").select(*names).collect()), key=str)
+
+
+#: m1 stays, moves and moves back; m2 begins late; m3 is there in the middle month alone.
+STEPS = (
+    "(DATE'2019-01-05','k1','m1',0.1D,1), (DATE'2019-02-05','k1','m1',0.2D,1), (DATE'2019-03-05','k1','m1',0.1D,1),"
+    "(DATE'2019-04-05','k1','m1',0.1D,1), (DATE'2019-02-06','k1','m3',0.5D,1), (DATE'2019-03-06','k1','m2',0.3D,1),"
+    "(DATE'2019-04-06','k1','m2',0.3D,1)"
+)
+
+
+@pytest.mark.parametrize("order", [[3, 1, 2, 4], [4, 2, 1, 3]])
+def test_months_in_any_order_leave_the_same_versions(spark, parquet_dir, tmp_path, order):
+    put_sales(spark, parquet_dir, STEPS)
+    name = f"v{order[0]}"
+    inorder = Landing(Warehouse(spark, str(tmp_path / "o"), prefix=f"{name}1_"), parquet_dir)
+    build.replay_history(inorder, RUN)
+    w = Warehouse(spark, str(tmp_path / "m"), prefix=f"{name}2_")
+    landing = Landing(w, parquet_dir)
+    for m in order:
+        landing.load_month(f"2019-0{m}", datetime(2019, m, 1))
+        build.build_snapshot(w, datetime(2019, m, 1))
+    assert versions(w) == versions(inorder.warehouse)
+    for x in (w, inorder.warehouse):  # and later runs go on from there
+        build.build_snapshot(x, datetime(2019, 6, 1))
+    put_sales(spark, parquet_dir, "(DATE'2019-06-05','k1','m1',0.9D,1)")
+    for x in (w, inorder.warehouse):
+        Landing(x, parquet_dir).load_month("2019-06", datetime(2019, 6, 2))
+        build.build_snapshot(x, datetime(2019, 6, 2))
+    assert versions(w) == versions(inorder.warehouse)
+    assert len(versions(w)) == 6
+    with pytest.raises(ValueError, match="first days"):  # the last run was stamped otherwise
+        build.build_snapshot(w, datetime(2019, 2, 1))
+
+
+def test_a_spliced_month_that_dies_leaves_the_versions(spark, warehouse, parquet_dir, monkeypatch):
+    put_sales(spark, parquet_dir, STEPS)
+    landing = Landing(warehouse, parquet_dir)
+    for m in (1, 3):
+        landing.load_month(f"2019-0{m}")
+        build.build_snapshot(warehouse, datetime(2019, m, 1))
+    before = versions(warehouse)
+    landing.load_month("2019-02")
+    real = Warehouse.create_view
+
+    def die(self, layer, view, *args, **kwargs):
+        if view == build.SNAPSHOT:
+            raise RuntimeError("killed before publishing")
+        return real(self, layer, view, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "create_view", die)
+        with pytest.raises(RuntimeError):
+            build.build_snapshot(warehouse, datetime(2019, 2, 1))
+    assert versions(warehouse) == before
+    build.build_snapshot(warehouse, datetime(2019, 2, 1))
+    assert [(v[0], v[2]) for v in versions(warehouse)] == [
+        ("m1", 0.1), ("m1", 0.2), ("m1", 0.1), ("m2", 0.3), ("m3", 0.5)
+    ]
+
+
 def test_a_report_needs_sales(warehouse, parquet_dir, spark):
     put_sales(spark, parquet_dir, "(CAST(NULL AS DATE), 'k1', 'm1', 0.5D, 1)")
     with pytest.raises(ValueError):
