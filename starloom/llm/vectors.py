@@ -132,7 +132,7 @@ def exact_top(
     `is_query` is a condition on vec_id. A query is compared with every row of another vec_id; ties go
     to the smaller vec_id. Null or empty vectors, null or non-finite components and null vec_ids take no
     part; a shorter vector counts as filled with zeros; a score beyond 64 bits counts as the nearest of 64; rows that repeat a vec_id are candidates one by
-    one, and a repeated query gives one answer. Scores are exact; no rows give no rows. Pivots come from a bounded sample; they decide how much is left out, not the result.
+    one, and of several vectors under a query's id the smallest asks. Scores are exact; no rows give no rows. Pivots come from a bounded sample; they decide how much is left out, not the result.
     """
     spark = vectors.sparkSession
     rows = finite(vectors, id_col, vec_col)
@@ -174,7 +174,7 @@ def exact_top(
 
     kept = "vec_id long, v array<double>, away array<double>"
     n = seen["n"]
-    asked = rows.where(is_query).dropDuplicates(["vec_id"])
+    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     strips = -(-n // CANDIDATES)
     columns = max(1, -(-asked.count() // QUERIES))
     candidates = rows.mapInArrow(measured(True), kept).select(
@@ -330,7 +330,7 @@ def nearest(
     needs for `recall`, and more until they hold k other rows; if that calibration fails, all leaves are visited.
     Scores are exact on the original vectors; ties go to the smaller vec_id. Null, empty or zero vectors,
     null or non-finite components and null vec_ids take no part; vectors of another size than most (the
-    smallest such size) take no part. Repeated rows are candidates one by one; a repeated query gives one answer.
+    smallest such size) take no part. Repeated rows are candidates one by one; of several vectors under a query's id the smallest asks.
     """
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -371,10 +371,10 @@ def nearest(
         for batch in batches:
             at, block, chunks, wanted = [], [], [], []
             counts, where, parts_of = placing.value
-            for i, row in enumerate(matrix(batch.column(1))):
+            for i, (row, own) in enumerate(zip(matrix(batch.column(1)), batch.column(2).to_pylist())):
                 reached, chosen = 0, {}
                 for done, leaf in enumerate(best_bins(shared.value, row)):
-                    if done >= visits and reached > k:
+                    if done >= visits and reached >= k + own:  # rows of its own id may be among them
                         break
                     if leaf in counts:
                         reached += counts[leaf]
@@ -384,13 +384,13 @@ def nearest(
                     block.append(b)
                     chunks.append(parts_of[b])
                     wanted.append(own)
-            taken = batch.take(pa.array(at, pa.int64()))
+            taken = batch.select(["vec_id", "v"]).take(pa.array(at, pa.int64()))
             more = [pa.array(block, pa.int64()), pa.array(chunks, pa.int64()), pa.array(wanted, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
                 [*taken.columns, *more], names=["query_id", "q", "block", "chunks", "leaves"]
             )
 
-    asked = rows.where(is_query).dropDuplicates(["vec_id"])
+    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"), F.count("*").alias("own"))
     asking = asked.mapInArrow(
         visit, "query_id long, q array<double>, block long, chunks long, leaves array<long>"
     ).select(

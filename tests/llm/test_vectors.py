@@ -135,3 +135,21 @@ def test_all_leaves_come_best_bin_first():
         order = list(vectors.best_bins(tree.parts(), row))
         assert sorted(order) == list(range(tree.leaves))
         assert order[0] == vectors.leaf_ids(tree.parts(), row[None])[0]
+
+
+def test_rows_of_the_querys_id_do_not_stand_for_others(spark):
+    rows = random_rows(5, 1_400)
+    rows += [(0, [float(x) + 1e-4 * n for x in rows[0][1]]) for n in range(600)]
+    found = vectors.nearest(frame(spark, rows), "vec_id = 0", k=10).collect()
+    assert len(found) == 10 and {r["query_id"] for r in found} == {0}
+    assert 0 not in {r.vec_id for r in found}
+    assert sorted(r["rank"] for r in found) == list(range(1, 11))
+
+
+def test_of_several_vectors_of_a_query_the_smallest_asks(spark):
+    rows = [(0, [1.0, 0.0]), (0, [-1.0, 5.0]), (0, [-1.0, 0.0]), (1, [1.0, 0.0]), (2, [-1.0, 0.0]), (3, [0.0, 1.0])]
+    for order in (rows, rows[::-1]):
+        some = frame(spark, order).repartition(3)
+        assert [r.vec_id for r in vectors.nearest(some, "vec_id = 0", k=1).collect()] == [2]
+        top = vectors.exact_top(some, "vec_id = 0", k=1).collect()
+        assert [(r.vec_id, r.score) for r in top] == [(2, 65_536)]
