@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as it stands in an expression, whatever characters it has."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on, as doc_id and text; a null text is the empty one."""
     return docs.select(

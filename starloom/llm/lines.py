@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import id_text
+from starloom.llm.common import id_text, quoted
 
 #: A chunk ends where the rolling hash begins with one of these hexadecimal digits.
 ENDS = ("0", "1", "2", "3")
@@ -91,9 +91,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone")
     )
     kept_names = [c for c in docs.columns if c != "n_lines_removed"]
-    packed = docs.select(F.struct(*kept_names).alias("_row"), docs[id_col].cast("long").alias("_id"))
+    packed = docs.select(F.struct(*[F.col(quoted(c)) for c in kept_names]).alias("_row"), docs[id_col].cast("long").alias("_id"))
     joined = packed.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")), "left")
-    text = F.col(f"_row.`{text_col}`").cast("string")
+    text = F.col(f"_row.{quoted(text_col)}").cast("string")
     count = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda n, c: n + c["n_lines"])
     goes = lambda c, k: F.array_contains(
         "_gone", F.struct(k.alias("place"), c["digest"].alias("digest"))
@@ -109,5 +109,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("_gone").isNull(), text).otherwise(F.col("_rest.text")).alias("_text"),
         F.coalesce("_rest.n", F.lit(0)).alias("n_lines_removed"),
     )
-    columns = [F.col("_text").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in kept_names]
+    columns = [F.col("_text").alias(c) if c == text_col else F.col(f"_row.{quoted(c)}").alias(c) for c in kept_names]
     return done.select(*columns, "n_lines_removed")

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import id_text
+from starloom.llm.common import id_text, quoted
 
 #: Bytes of a chunk, at least and at most.
 SHORTEST, LONGEST = 16, 128
@@ -143,7 +143,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("key").alias("_key"), F.col("gone").alias("_gone")
     )
     packed = docs.select(
-        F.struct(*names).alias("_row"),
+        F.struct(*[F.col(quoted(c)) for c in names]).alias("_row"),
         F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1)).alias("_id"),
     )
     joined = packed.join(gone, F.col("_id") == F.col("_key"), "left")
@@ -160,6 +160,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             names=["text", "removed"],
         )
 
-    done = joined.select("_row", cut(F.col(f"_row.`{text_col}`").cast("string"), "_gone").alias("_cut"))
-    columns = [F.col("_cut.text").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in names]
+    done = joined.select("_row", cut(F.col(f"_row.{quoted(text_col)}").cast("string"), "_gone").alias("_cut"))
+    columns = [F.col("_cut.text").alias(c) if c == text_col else F.col(f"_row.{quoted(c)}").alias(c) for c in names]
     return done.select(*columns, F.col("_cut.removed").alias("n_bytes_removed"))
