@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import jaccard, lines, packing, quality, substrings
-from starloom.llm.common import scratch, stored, table
+from starloom.llm.common import quoted, scratch, stored, table
 from starloom.llm.queries import SEQUENCE_TOKENS, vocabulary
 
 #: Near duplicates share this percentage of their shingles of so many words.
@@ -26,7 +26,7 @@ def like_documents(found: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of docs, n_chars (if there) in keeping with the text."""
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    return found.select(*[quoted(c) for c in docs.columns])
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +39,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard.components(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = "gone"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
