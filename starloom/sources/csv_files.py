@@ -21,7 +21,7 @@ def read_csv(
     Columns come in the order of the header. Those that the schema does not name get the narrowest type
     that all their values fit, which takes a scan of its own.
 
-    A multi-line read puts lines together again, which takes a shuffle, so ask for it only where a
+    A multi-line read puts lines together again, which takes three scans, so ask for it only where a
     quoted field can hold a line break.
     """
     declared = schema.names
