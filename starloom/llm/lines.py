@@ -1,8 +1,9 @@
 """Line dedup over content-defined chunks of lines, in DataFrame functions only.
 
-A chunk ends after a line if the rolling hash over that line's and the previous line's hash says so,
-so an inserted line moves no boundary but its neighbours'. A chunk of several lines that occurs
-again, anywhere, is removed; its first occurrence (smallest doc_id, then place) stays.
+A chunk ends after a line if that line's hash or the rolling hash over it and the previous line's hash
+says so, so an inserted line moves no boundary but its neighbours'. What occurs again, anywhere, and
+has several lines is removed: a chunk of several lines, or two adjacent chunks of any number. Its
+first occurrence (smallest doc_id, then text hash, then place) stays.
 """
 
 from __future__ import annotations
@@ -14,8 +15,12 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import id_text, quoted
 
-#: A chunk ends where the rolling hash begins with one of these hexadecimal digits.
-ENDS = ("0", "1", "2", "3")
+#: A chunk ends where a line's hash or the rolling hash begins with one of these hexadecimal digits.
+LINE_ENDS = ("0", "1", "2", "3", "4", "5", "6", "7", "8", "9", "a", "b")
+ROLLING_ENDS = ("0", "1", "2", "3")
+
+#: What tells documents apart: the id and a hash of the text, so that rows that share an id, or have none, are spread.
+_ROW = ["doc_id", "row"]
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -24,16 +29,20 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def line_chunks(text: Column) -> Column:
-    """A text's chunks of lines in order, as structs of n_lines, digest and body.
+    """A text's chunks of lines in order, as structs of n_lines and body.
 
     The bodies joined by line feeds are the text.
     """
 
     def ends(hashes: Column) -> Column:
         def here(i: Column) -> Column:
+            own = F.get(hashes, i)
             before = F.when(i > 0, F.get(hashes, i - 1)).otherwise("")
-            rolling = F.md5(F.concat(before, F.get(hashes, i)))
-            return (i == F.size(hashes) - 1) | F.substring(rolling, 1, 1).isin(*ENDS)
+            return (
+                (i == F.size(hashes) - 1)
+                | F.substring(own, 1, 1).isin(*LINE_ENDS)
+                | F.substring(F.md5(F.concat(before, own)), 1, 1).isin(*ROLLING_ENDS)
+            )
 
         return F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), here)
 
@@ -41,8 +50,7 @@ def line_chunks(text: Column) -> Column:
         def chunk(end: Column, k: Column) -> Column:
             start = F.when(k > 0, F.get(ends, k - 1) + 1).otherwise(0)
             n = end - start + 1
-            body = F.array_join(F.slice(lines, start + 1, n), "\n")
-            return bound(body, lambda x: F.struct(n.alias("n_lines"), F.md5(x).alias("digest"), x.alias("body")))
+            return F.struct(n.alias("n_lines"), F.array_join(F.slice(lines, start + 1, n), "\n").alias("body"))
 
         return F.transform(ends, chunk)
 
@@ -53,57 +61,117 @@ def line_chunks(text: Column) -> Column:
 
 
 def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """Of doc_id and text: doc_id and `gone`, the (place, digest) of every chunk to remove from it.
+    """Of doc_id and text: doc_id, row (hash of the text) and `gone`, the places of the chunks to remove in order.
 
-    Only chunks of several lines that are not all blank count. Chunks with one digest are compared
-    byte by byte, by grouping on their bodies as well; should bodies differ, all of them stay.
+    Blank chunks do not count. Chunks with one digest are compared byte by byte: should the least and
+    the greatest body differ, all of them stay. Pairs of adjacent chunks are told by their digests,
+    which then stand for their bytes.
     """
     chunks = (
-        rows.select("doc_id", F.posexplode(line_chunks(F.col("text"))).alias("place", "chunk"))
-        .select("doc_id", "place", "chunk.*")
-        .where("n_lines > 1 and trim(BOTH ' \t\r\n' FROM body) <> ''")
+        rows.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(line_chunks(F.col("text"))).alias("place", "chunk"))
+        .where("trim(BOTH ' \t\r\n' FROM chunk.body) <> ''")
+        .select(
+            *_ROW,
+            "place",
+            F.unhex(F.md5("chunk.body")).alias("digest"),
+            (F.col("chunk.n_lines") > 1).alias("several"),
+            F.col("chunk.body").alias("body"),
+        )
     )
+    here = F.struct(*_ROW, "place")
     repeated = (
-        chunks.groupBy("digest", "body")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("first"))
-        .groupBy("digest")
-        .agg(F.count("*").alias("bodies"), F.sum("n").alias("n"), F.min("first").alias("first"))
-        .where("n > 1 and bodies = 1")
+        chunks.groupBy("digest")
+        .agg(
+            F.count("*").alias("n"),
+            F.min(here).alias("first"),
+            F.min("body").alias("least"),
+            F.max("body").alias("greatest"),
+        )
+        .where("n > 1 and least = greatest")
         .select("digest", "first")
     )
-    later = (
-        chunks.select("doc_id", "place", "digest")
+    held = (
+        chunks.select(*_ROW, "place", "digest", "several")
         .join(repeated, "digest")
-        .where(~F.struct("doc_id", "place").eqNullSafe(F.col("first")))
+        .groupBy(*_ROW)
+        .agg(
+            F.sort_array(
+                F.collect_set(F.struct("place", "digest", "several", (~here.eqNullSafe(F.col("first"))).alias("later")))
+            ).alias("held")
+        )
+    )
+    alone = held.select(*_ROW, F.explode(F.filter("held", lambda c: c["several"] & c["later"])["place"]).alias("place"))
+    # of two adjacent chunks of several lines, each goes by itself
+    neighbours = F.filter(
+        F.transform(
+            F.slice("held", 1, F.size("held") - 1),
+            lambda c, k: F.struct(
+                c["place"].alias("place"),
+                (F.get("held", k + 1)["place"] == c["place"] + 1).alias("adjacent"),
+                (c["several"] & F.get("held", k + 1)["several"]).alias("several"),
+                c["digest"].alias("left"),
+                F.get("held", k + 1)["digest"].alias("right"),
+            ),
+        ),
+        lambda p: p["adjacent"] & ~p["several"],
+    )
+    pairs = held.select(*_ROW, F.inline(neighbours)).select(*_ROW, "place", "left", "right")
+    first = (
+        pairs.groupBy("left", "right")
+        .agg(F.count("*").alias("n"), F.min(here).alias("first"))
+        .where("n > 1")
+        .select("left", "right", "first")
     )
-    return later.groupBy("doc_id").agg(F.collect_set(F.struct("place", "digest")).alias("gone"))
+    together = (
+        pairs.join(first, ["left", "right"])
+        .where(~here.eqNullSafe(F.col("first")))
+        .select(*_ROW, F.explode(F.array(F.col("place"), F.col("place") + 1)).alias("place"))
+    )
+    return alone.unionByName(together).groupBy(*_ROW).agg(F.sort_array(F.collect_set("place")).alias("gone"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Return docs with all columns, the text without repeated chunks, and n_lines_removed (long).
 
     Lines end at line feeds. A null or empty text stays as it is. Rows that repeat a doc_id and text
-    hold the same occurrences: what is first in one is first in all. A null doc_id counts as one doc_id,
-    smaller than any other. What is kept of a text stays in order, joined by line feeds; a text of
-    which every chunk is removed becomes empty. A column n_lines_removed of docs is replaced.
+    hold the same occurrences: what is first in one is first in all. Rows of one doc_id and different texts
+    are different documents, and so are rows without one, which come before all others. What is
+    kept of a text stays in order, joined by line feeds; a text of which every chunk is removed becomes
+    empty. A column n_lines_removed of docs is replaced.
     """
     gone = repeated_chunks(id_text(docs, id_col, text_col)).select(
-        F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone")
+        F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("gone").alias("_gone")
     )
     kept_names = [c for c in docs.columns if c != "n_lines_removed"]
-    packed = docs.select(F.struct(*[F.col(quoted(c)) for c in kept_names]).alias("_row"), docs[id_col].cast("long").alias("_id"))
-    joined = packed.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")), "left")
+    packed = docs.select(
+        F.struct(*[F.col(quoted(c)) for c in kept_names]).alias("_row"),
+        docs[id_col].cast("long").alias("_id"),
+        F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("_hash"),
+    )
+    joined = packed.join(
+        gone, F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_row")), "left"
+    )
     text = F.col(f"_row.{quoted(text_col)}").cast("string")
-    count = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda n, c: n + c["n_lines"])
-    goes = lambda c, k: F.array_contains(
-        "_gone", F.struct(k.alias("place"), c["digest"].alias("digest"))
+    # whether each chunk goes, up to the last that does
+    flags = lambda places: F.flatten(
+        F.transform(
+            places,
+            lambda p, k: F.concat(
+                F.array_repeat(F.lit(False), p - F.coalesce(F.get(places, k - 1), F.lit(-1)) - 1), F.array(F.lit(True))
+            ),
+        )
     )
-    rest = lambda chunks: F.struct(
-        F.array_join(F.transform(F.filter(chunks, lambda c, k: ~goes(c, k)), lambda c: c["body"]), "\n").alias("text"),
-        count(F.filter(chunks, goes)).alias("n"),
+    goes = lambda gone, k: F.coalesce(F.get(gone, k), F.lit(False))
+    count = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda n, c: n + c["n_lines"])
+    rest = lambda chunks, gone: F.struct(
+        F.array_join(F.filter(chunks, lambda c, k: ~goes(gone, k))["body"], "\n").alias("text"),
+        count(F.filter(chunks, lambda c, k: goes(gone, k))).alias("n"),
     )
     # where nothing goes, there is nothing to split
-    touched = F.when(F.col("_gone").isNotNull(), bound(line_chunks(text), rest))
+    touched = F.when(
+        F.col("_gone").isNotNull(),
+        bound(line_chunks(text), lambda chunks: bound(flags(F.col("_gone")), lambda gone: rest(chunks, gone))),
+    )
     done = joined.select("_row", "_gone", touched.alias("_rest")).select(
         "_row",
         F.when(F.col("_gone").isNull(), text).otherwise(F.col("_rest.text")).alias("_text"),

@@ -155,18 +155,27 @@ WITH split_ AS (
 ), hashed AS (
   SELECT doc_id, text, l, list_transform(l, lambda x: md5(x)) AS h FROM split_
 ), ended AS (
-  SELECT doc_id, text, l, list_filter(range(1, len(l) + 1), lambda i: i = len(l) OR
-    md5(CASE WHEN i > 1 THEN h[i - 1] ELSE '' END || h[i])[1] IN ('0', '1', '2', '3')) AS e FROM hashed
+  SELECT doc_id, text, l, list_filter(range(1, len(l) + 1), lambda i: i = len(l)
+    OR h[i][1] IN ('0', '1', '2', '3', '4', '5', '6', '7', '8', '9', 'a', 'b')
+    OR md5(CASE WHEN i > 1 THEN h[i - 1] ELSE '' END || h[i])[1] IN ('0', '1', '2', '3')) AS e FROM hashed
 ), chunk AS (
   SELECT doc_id, unnest(range(1, len(e) + 1)) AS k, l, e FROM ended
 ), body AS (
   SELECT doc_id, k, e[k] - coalesce(e[k - 1], 0) AS n,
     array_to_string(l[coalesce(e[k - 1], 0) + 1 : e[k]], chr(10)) AS body
   FROM chunk
-), ranked AS (
-  SELECT *, n > 1 AND trim(body, E' \t\r\n') <> ''
-    AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, k) > 1 AS gone
+), paired AS (
+  SELECT *, trim(body, E' \t\r\n') <> '' AS counts, lead(body) OVER (PARTITION BY doc_id ORDER BY k) AS next
   FROM body
+), repeats AS (
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, k) > 1 AS later,
+    counts AND trim(next, E' \t\r\n') <> ''
+      AND row_number() OVER (PARTITION BY body, next ORDER BY doc_id, k) > 1 AS pair
+  FROM paired
+), ranked AS (
+  SELECT *, counts AND (n > 1 AND later OR coalesce(pair, false)
+    OR coalesce(lag(pair) OVER (PARTITION BY doc_id ORDER BY k), false)) AS gone
+  FROM repeats
 )
 SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text,
   CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS n_lines_removed

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from texts import prose, sentence
 
 from starloom.llm import jaccard, lines, substrings
@@ -138,34 +139,45 @@ def brute_chunks(text):
     for k, line in enumerate(every):
         held.append(line)
         h = md5(line)
-        if md5(before + h)[0] in lines.ENDS or k + 1 == len(every):
+        if h[0] in lines.LINE_ENDS or md5(before + h)[0] in lines.ROLLING_ENDS or k + 1 == len(every):
             chunks.append(held)
             held = []
         before = h
     return chunks
 
 
+def row_key(i, text):
+    """Where a row stands among all: rows without an id first, rows of one id by a signed hash of the text."""
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return (i is not None, i or 0, h - (1 << 64) if h >> 63 else h)
+
+
 def brute_lines(rows):
     first = {}
-    order = sorted(((i is not None, i or 0), t) for i, t in rows if t is not None)
-    for key, t in order:
-        for k, c in enumerate(brute_chunks(t)):
-            first.setdefault("\n".join(c), (key, k))
-            first["\n".join(c)] = min(first["\n".join(c)], (key, k))
+
+    def units(key, chunks):
+        """Chunks that are not blank and pairs of adjacent ones, with their place."""
+        bodies = ["\n".join(c) for c in chunks]
+        for k, body in enumerate(bodies):
+            if body.strip(" \t\r\n"):
+                yield (body,), (*key, k), len(chunks[k]) > 1
+                if k + 1 < len(bodies) and bodies[k + 1].strip(" \t\r\n"):
+                    yield (body, bodies[k + 1]), (*key, k), True
+
+    for i, t in rows:
+        for unit, at, _ in units(row_key(i, t or ""), brute_chunks(t or "")):
+            first[unit] = min(first.get(unit, at), at)
     out = Counter()
     for i, t in rows:
         if t is None:
             out[(i, None, 0)] += 1
             continue
-        kept, removed = [], 0
-        for k, c in enumerate(brute_chunks(t)):
-            body = "\n".join(c)
-            counts = len(c) > 1 and body.strip(" \t\r\n")
-            if counts and first[body] != ((i is not None, i or 0), k):
-                removed += len(c)
-            else:
-                kept.append(body)
-        out[(i, "\n".join(kept), removed)] += 1
+        chunks, gone = brute_chunks(t), set()
+        for unit, at, counts in units(row_key(i, t), chunks):
+            if counts and first[unit] != at:
+                gone.update(range(at[-1], at[-1] + len(unit)))
+        kept = ["\n".join(c) for k, c in enumerate(chunks) if k not in gone]
+        out[(i, "\n".join(kept), sum(len(chunks[k]) for k in gone))] += 1
     return out
 
 
@@ -183,6 +195,49 @@ def test_line_chunks_equal_brute_force(spark):
     assert sum(r.n_lines_removed for r in found) > 100
 
 
+def test_short_blocks_go_and_single_lines_stay(spark):
+    """Of blocks of three lines few pairs of lines are left; a line that repeats alone stays."""
+    rng = random.Random(5)
+    blocks = [[prose(rng, 6) for _ in range(3)] for _ in range(40)]
+    often = prose(rng, 5)
+    rows = []
+    for i in range(400):
+        text = [prose(rng, 5), *rng.choice(blocks), prose(rng, 5), often, prose(rng, 6)]
+        rows.append((i, "\n".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    found = lines.without_repeats(docs).collect()
+
+    def repeats(texts):
+        seen = Counter(p for t in texts for p in zip(t.split("\n"), t.split("\n")[1:]))
+        return sum(n - 1 for n in seen.values())
+
+    before = repeats(t for _, t in rows)
+    assert before == 2 * 360
+    assert repeats(r.text for r in found) < before / 5
+    assert all(often in r.text for r in found)
+    assert all({t.split("\n")[0], t.split("\n")[-1]} <= set(r.text.split("\n")) for (_, t), r in zip(rows, sorted(found, key=lambda r: r.doc_id)))
+
+
+def test_every_line_stays_somewhere(spark):
+    rng = random.Random(9)
+    pool = [prose(rng, 4) for _ in range(30)]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 12)))) for i in range(300)]
+    found = lines.without_repeats(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()
+    assert Counter(tuple(r) for r in found) == brute_lines(rows)
+    assert {x for r in found for x in r.text.split("\n")} - {""} == {x for _, t in rows for x in t.split("\n")}
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_lines_of_many_rows_under_one_id(spark, shared):
+    """Rows of one id, or without one, are documents of their own: copied blocks go from all but one."""
+    rng = random.Random(12)
+    block = [prose(rng, 5) for _ in range(20)]
+    rows = [(shared, "\n".join([prose(rng, 5), *block, prose(rng, 5)])) for _ in range(60)]
+    found = lines.without_repeats(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()
+    assert Counter(tuple(r) for r in found) == brute_lines(rows)
+    assert sum("\n".join(block[5:15]) in r.text for r in found) == 1
+
+
 def test_an_inserted_line_moves_only_chunks_next_to_it():
     rng = random.Random(6)
     every = [sentence(rng, 4) for _ in range(200)]
