@@ -100,34 +100,37 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
             ).alias("held")
         )
     )
-    alone = held.select(*_ROW, F.explode(F.filter("held", lambda c: c["several"] & c["later"])["place"]).alias("place"))
+    unit = lambda place, left, right: F.struct(place.alias("place"), left.alias("left"), right.alias("right"))
     # of two adjacent chunks of several lines, each goes by itself
-    neighbours = F.filter(
-        F.transform(
-            F.slice("held", 1, F.size("held") - 1),
-            lambda c, k: F.struct(
-                c["place"].alias("place"),
-                (F.get("held", k + 1)["place"] == c["place"] + 1).alias("adjacent"),
-                (c["several"] & F.get("held", k + 1)["several"]).alias("several"),
-                c["digest"].alias("left"),
-                F.get("held", k + 1)["digest"].alias("right"),
-            ),
+    pairs = F.transform(
+        F.filter(
+            F.sequence(F.lit(0), F.size("held") - 1),
+            lambda k: (F.get("held", k + 1)["place"] == F.get("held", k)["place"] + 1)
+            & ~(F.get("held", k)["several"] & F.get("held", k + 1)["several"]),
         ),
-        lambda p: p["adjacent"] & ~p["several"],
+        lambda k: unit(F.get("held", k)["place"], F.get("held", k)["digest"], F.get("held", k + 1)["digest"]),
     )
-    pairs = held.select(*_ROW, F.inline(neighbours)).select(*_ROW, "place", "left", "right")
+    # what goes by itself has no right side, and is dealt out by its row
+    alone = F.transform(
+        F.filter("held", lambda c: c["several"] & c["later"]),
+        lambda c: unit(c["place"], F.unhex(F.hex("row")), F.lit(None).cast("binary")),
+    )
+    units = held.select(*_ROW, F.inline(F.concat(pairs, alone)))
     first = (
-        pairs.groupBy("left", "right")
+        units.where("right is not null")
+        .groupBy("left", "right")
         .agg(F.count("*").alias("n"), F.min(here).alias("first"))
         .where("n > 1")
         .select("left", "right", "first")
     )
-    together = (
-        pairs.join(first, ["left", "right"])
-        .where(~here.eqNullSafe(F.col("first")))
-        .select(*_ROW, F.explode(F.array(F.col("place"), F.col("place") + 1)).alias("place"))
+    both = F.when(F.col("right").isNull(), F.array("place")).otherwise(F.array(F.col("place"), F.col("place") + 1))
+    return (
+        units.join(first, ["left", "right"], "left")
+        .where(F.col("right").isNull() | (F.col("first").isNotNull() & ~here.eqNullSafe(F.col("first"))))
+        .select(*_ROW, F.explode(both).alias("place"))
+        .groupBy(*_ROW)
+        .agg(F.sort_array(F.collect_set("place")).alias("gone"))
     )
-    return alone.unionByName(together).groupBy(*_ROW).agg(F.sort_array(F.collect_set("place")).alias("gone"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
