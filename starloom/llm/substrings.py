@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import id_text, quoted
@@ -97,8 +97,13 @@ def without(text: str, gone: list[bytes], table: np.ndarray, passage: int) -> tu
     return (b"".join(kept).decode(), removed) if removed else (text, 0)
 
 
+def document_key(doc_id: Column, text: Column) -> Column:
+    """The doc_id; where it is null, a hash of the text among the largest values of a long, so that such rows are spread."""
+    return F.coalesce(doc_id, F.xxhash64(text).bitwiseOR(F.lit(3 << 61)).bitwiseAND(F.lit((1 << 63) - 1)))
+
+
 def repeated_digests(rows: DataFrame) -> DataFrame:
-    """Of doc_id and text: key (doc_id, the largest value for null) and gone, its digests that occur under a smaller key."""
+    """Of doc_id and text: document_key, and gone, its digests that occur under a smaller key."""
 
     def run(batches):
         table = gear_table()
@@ -114,7 +119,7 @@ def repeated_digests(rows: DataFrame) -> DataFrame:
                     [pa.array(keys), pa.array([d for x in found for d in x], pa.binary())], names=["key", "digest"]
                 )
 
-    keyed = rows.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("key"), "text")
+    keyed = rows.select(document_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     chunks = keyed.mapInArrow(run, "key long, digest binary")
     first = (
         chunks.groupBy("digest")
@@ -135,8 +140,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Of a chunk that several documents hold, the one of the smallest doc_id keeps it, and there its
     first place. A null or empty text stays as it is. Rows that repeat a doc_id count as one document:
-    they do not remove each other's chunks. A null doc_id counts as one that is larger than all
-    others. Digests have 128 bits. A column n_bytes_removed of docs is replaced.
+    they do not remove each other's chunks. Rows without a doc_id come after all others (ids below
+    3 * 2^61), in the order of a hash of their texts; only equal ones count as one document.
+    Digests have 128 bits. A column n_bytes_removed of docs is replaced.
     """
     names = [c for c in docs.columns if c != "n_bytes_removed"]
     gone = repeated_digests(id_text(docs, id_col, text_col)).select(
@@ -144,7 +150,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     packed = docs.select(
         F.struct(*[F.col(quoted(c)) for c in names]).alias("_row"),
-        F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1)).alias("_id"),
+        document_key(
+            docs[id_col].cast("long"), F.coalesce(docs[text_col].cast("string"), F.lit(""))
+        ).alias("_id"),
     )
     joined = packed.join(gone, F.col("_id") == F.col("_key"), "left")
 

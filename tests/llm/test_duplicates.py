@@ -275,6 +275,58 @@ def test_passages_go_from_all_but_one_document(spark):
     assert all(found[k].text == t for k, t in clean)
 
 
+def brute_passages(rows):
+    """The whole result by one walk through the documents in order, comparing chunks byte by byte."""
+    table = substrings.gear_table()
+
+    def key(i, t):
+        return i if i is not None else (xxhash.xxh64_intdigest(t.encode(), seed=42) | 3 << 61) & ((1 << 63) - 1)
+
+    def chunks(t):
+        raw = t.encode()
+        ends = substrings.chunk_ends(raw, table)
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    holders = defaultdict(set)
+    for i, t in rows:
+        for c in chunks(t or ""):
+            holders[c].add(key(i, t or ""))
+    out = Counter()
+    for i, t in rows:
+        if t is None:
+            out[(i, None, 0)] += 1
+            continue
+        cut = chunks(t)
+        again = [min(holders[c]) < key(i, t) or c in cut[:k] for k, c in enumerate(cut)]
+        kept, k = [], 0
+        while k < len(cut):
+            e = k
+            while e < len(cut) and again[e]:
+                e += 1
+            if sum(map(len, cut[k:e])) < substrings.PASSAGE:
+                kept += cut[k:e]
+            kept += cut[e : e + 1]
+            k = e + 1
+        text = b"".join(kept)
+        out[(i, text.decode(), len(t.encode()) - len(text))] += 1
+    return out
+
+
+@pytest.mark.parametrize("without_id", [0, 3])
+def test_passages_equal_brute_force(spark, without_id):
+    """Shared passages, copies, repeats within a text; in the second case a third of the rows has no id."""
+    rng = random.Random(11)
+    passages = [prose(rng, rng.choice([10, 30, 55, 120])) for _ in range(15)]
+    rows = []
+    for i in range(150):
+        parts = [prose(rng, rng.randint(0, 40)) if rng.random() < 0.5 else rng.choice(passages) for _ in range(rng.randint(0, 6))]
+        rows.append((None if without_id and i % without_id == 0 else rng.choice([i, i, i, i // 10]), " ".join(parts)))
+    rows += [rows[3], rows[4], (None, rows[5][1]), (None, None), (7, ""), (900, rows[9][1])]
+    found = substrings.without_repeats(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()
+    assert Counter(tuple(r) for r in found) == brute_passages(rows)
+    assert sum(r.n_bytes_removed > 0 for r in found) > 40
+
+
 def test_chunks_resist_an_insertion():
     rng = random.Random(3)
     text = prose(rng, 600).encode()
