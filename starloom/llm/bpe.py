@@ -7,6 +7,12 @@ arcs w has taken over and when, so the whole compilation takes time and memory i
 merges, and an arc between two states is looked up through these notes and then kept in a table.
 What the finished automaton accepts are exactly the token sequences that the merges produce, and of
 the sequences that spell a word it accepts exactly one.
+
+Words are read by a deterministic machine over bytes, once from left to right. Its state is the longest
+end of what was read that some token begins with; it tells the tokens that end here. Every beginning of a
+word has one accepted sequence too, so exactly one of them may follow the last token of the beginning
+before it: the last token of this beginning. A word's tokens are read off the last ones backwards. States
+and arcs are worked out when first met and kept in tables bounded by the vocabulary and by HELD_ARCS.
 """
 
 from __future__ import annotations
@@ -23,8 +29,10 @@ from starloom.llm.common import id_text
 
 #: How the byte-level pre-tokenizer splits a text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A worker forgets its encoded words beyond so many; they are then encoded again.
-CACHED_WORDS = 700_000
+#: Bytes of encoded words that a worker keeps; beyond them it begins anew. Longer words are not kept.
+CACHED_BYTES, CACHED_WORD = 128 << 20, 256
+#: Arcs between tokens that a worker keeps; beyond them it begins anew.
+HELD_ARCS = 1_000_000
 #: Characters of text that a worker holds in encoded form before it hands them on.
 CHUNK_CHARS = 2_000_000
 
@@ -56,6 +64,36 @@ def load(path: str) -> dict:
     return {"labels": labels, "merges": merges, "special": special}
 
 
+class State(dict):
+    """A state of the machine that reads bytes; as a dict, the states that follow, by byte.
+
+    held: the longest end of what was read that some token begins with. ends: the tokens that end
+    here, longest first, and their lengths.
+    """
+
+    __slots__ = ("machine", "held", "ends")
+
+    def __init__(self, machine: Automaton, held: bytes, ends: list[tuple[int, int]]) -> None:
+        self.machine, self.held, self.ends = machine, held, ends
+
+    def __missing__(self, byte: int) -> State:
+        after = self[byte] = self.machine.state(self.held + bytes((byte,)))
+        return after
+
+
+class Arcs(dict):
+    """Whether token y may follow x, by x times the number of tokens plus y; below 0: y comes first."""
+
+    def __init__(self, machine: Automaton) -> None:
+        self.machine = machine
+
+    def __missing__(self, key: int) -> bool:
+        if len(self) > HELD_ARCS:
+            self.clear()
+        found = self[key] = key < 0 or self.machine.arc(*divmod(key, self.machine.size))
+        return found
+
+
 class Automaton:
     """States are tokens (the one read last); arc(x, y) tells whether y may follow x."""
 
@@ -73,15 +111,15 @@ class Automaton:
         hidden = set(self.special.values())
         hidden |= {w for _, _, w in spec["merges"] if self.born[w] < 0}
         self.ids = {x: i for i, x in enumerate(self.labels) if x and i not in hidden}
-        #: The longest token that begins with these four bytes.
-        self.reach: dict[bytes, int] = {}
-        for x in self.ids:
-            if len(x) >= 4 and len(x) > self.reach.get(x[:4], 0):
-                self.reach[x[:4]] = len(x)
-        self.shorter = [self._prefix(x) for x in self.labels]
+        #: All beginnings of tokens.
+        self.beginnings = {x[:k] for x in self.ids for k in range(1, len(x) + 1)}
         self.sizes = list(map(len, self.labels))
-        self.known: dict[int, bool] = {}
+        self.arcs = Arcs(self)
+        #: States met so far, at most one for each beginning of a token.
+        self.states: dict[bytes, State] = {}
+        self.start = self.state(b"")
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
         self.split = regex.compile(SPLIT)
         self.split_special = (
             regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
@@ -96,21 +134,8 @@ class Automaton:
         self.cut[u * self.size + v] = time
         self.entered_as[w], self.left_as[w], self.born[w] = u, v, time
 
-    def _prefix(self, label: bytes) -> int:
-        """The longest token that is a proper prefix of the label, or -1."""
-        for end in range(len(label) - 1, 0, -1):
-            if (i := self.ids.get(label[:end])) is not None:
-                return i
-        return -1
-
     def arc(self, x: int, y: int) -> bool:
-        key = x * self.size + y
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) > 2_000_000:
-                self.known.clear()
-            found = self.known[key] = self._arc(x, y, self.size + 1)
-        return found
+        return self._arc(x, y, self.size + 1)
 
     def _arc(self, x: int, y: int, time: int) -> bool:
         """Whether the arc is there after so many merges."""
@@ -124,48 +149,48 @@ class Automaton:
             else:
                 time, x = self.born[x], self.left_as[x]  # left as v was before it
 
-    def encode_word(self, word: bytes) -> list[int]:
-        """The one accepted path that spells the word.
+    def state(self, held: bytes) -> State:
+        """The state of the longest end of held that some token begins with."""
+        while held and held not in self.beginnings:
+            held = held[1:]
+        found = self.states.get(held)
+        if found is None:
+            ends = [held[k:] for k in range(len(held))]
+            found = self.states[held] = State(self, held, [(self.ids[x], len(x)) for x in ends if x in self.ids])
+        return found
 
-        From each state the longest arc is tried first. A place in the word at which every arc fails
-        is not on the path, whatever leads there, so it is never entered again.
-        """
-        ids, reach = self.ids, self.reach
-        whole = ids.get(word)
+    def encode_word(self, word: bytes) -> list[int]:
+        """The one accepted path that spells the word, read once."""
+        whole = self.ids.get(word)
         if whole is not None:
             return [whole]
-        sizes, shorter, known, arc, size = self.sizes, self.shorter, self.known, self.arc, self.size
-        path: list[int] = []
-        dead: set[int] = set()
-        at, last, n, token = 0, -1, len(word), -2
-        while at < n:
-            if token == -2:  # the longest arc whose label comes next
-                for k in range(reach.get(word[at : at + 4], 3), 0, -1):
-                    if (token := ids.get(word[at : at + k], -2)) >= 0:
-                        break
-                if token == -2:
-                    raise ValueError(f"no token for byte {word[at]}")
-            while token >= 0:
-                if last < 0 or ((found := known.get(last * size + token)) is None and arc(last, token)) or found:
-                    end = at + sizes[token]
-                    if not dead or end not in dead:
-                        break
-                token = shorter[token]
-            if token >= 0:
-                path.append(token)
-                at, last, token = end, token, -2
+        size, arcs, state = self.size, self.arcs, self.start
+        lasts = [-1]  # the last token of each beginning of the word; -1: nothing was read
+        for byte in word:
+            state = state[byte]
+            for token, length in state.ends:
+                if arcs[lasts[-length] * size + token]:
+                    lasts.append(token)
+                    break
             else:
-                dead.add(at)
-                back = path.pop()
-                at -= sizes[back]
-                last = path[-1] if path else -1
-                token = shorter[back]
+                raise ValueError(f"no token for byte {byte}")
+        path, at, sizes = [], len(word), self.sizes
+        while at:
+            token = lasts[at]
+            path.append(token)
+            at -= sizes[token]
+        path.reverse()
         return path
 
     def _packed(self, word: str) -> bytes:
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-        out = self.cache[word] = np.array(self.encode_word(word.encode()), dtype=np.int32).tobytes()
+        raw = word.encode()
+        out = np.array(self.encode_word(raw), dtype=np.int32).tobytes()
+        if len(raw) <= CACHED_WORD:
+            if self.cached > CACHED_BYTES:
+                self.cache.clear()
+                self.cached = 0
+            self.cached += 200 + len(raw) + len(out)
+            self.cache[word] = out
         return out
 
     def encode(self, text: str) -> np.ndarray:

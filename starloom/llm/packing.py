@@ -61,9 +61,7 @@ def pieces(
                 return encoding.encode_to_numpy(text, allowed_special="all")
             if "automaton" not in spec.value:
                 spec.value["automaton"] = Automaton(spec.value)
-            found = spec.value["automaton"].encode(text)
-            spec.value["automaton"].cache.clear()  # its words may be of any length
-            return found
+            return spec.value["automaton"].encode(text)
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

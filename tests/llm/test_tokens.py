@@ -43,6 +43,33 @@ def test_long_words(automaton, library, text):
     assert automaton.encode(text).tolist() == reference(library, text)
 
 
+def test_small_tables_change_no_ids(vocab, library, monkeypatch):
+    monkeypatch.setattr(bpe, "HELD_ARCS", 5)
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 500)
+    small = bpe.Automaton(bpe.load(vocab))
+    rng = random.Random(2)
+    for _ in range(200):
+        text = " ".join("".join(rng.choice("abcdeinorst") for _ in range(rng.randint(1, 30))) for _ in range(5))
+        assert small.encode(text).tolist() == reference(library, text)
+    assert len(small.arcs) <= 6 and small.cached < 1_500
+
+
+def test_long_words_are_not_kept(vocab):
+    automaton = bpe.Automaton(bpe.load(vocab))
+    rng = random.Random(3)
+    for n in (bpe.CACHED_WORD, bpe.CACHED_WORD + 1, 100_000):
+        automaton.encode("".join(rng.choice("aeinrst") for _ in range(n)))
+    assert [len(w) for w in automaton.cache] == [bpe.CACHED_WORD]
+    assert len(automaton.states) <= len(automaton.beginnings) + 1
+
+
+def test_a_byte_without_a_token_is_named():
+    automaton = bpe.Automaton({"labels": [b"a", b"b", b"ab"], "merges": [(0, 1, 2)], "special": {}})
+    assert automaton.encode_word(b"aab") == [0, 2]
+    with pytest.raises(ValueError, match="no token for byte 99"):
+        automaton.encode_word(b"abc")
+
+
 def test_small_automaton_accepts_what_merging_gives():
     """Every sequence over a small alphabet, against merging pair by pair; aaba never appears."""
     merges = [("a", "b"), ("b", "a"), ("a", "a"), ("ab", "a"), ("aa", "ba"), ("b", "b"), ("aa", "aa"), ("a", "ba")]
