@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import U64, id_filter, id_text, scratch, shingle_set, stored
+from starloom.llm.common import U64, id_filter, id_text, quoted, scratch, shingle_set, stored
 
 #: Bytes of text that one chunk of a group holds, about; a larger group is split. So are the sets that ask it.
 CHUNK_BYTES = 4_000_000
@@ -35,6 +35,8 @@ COUNTERS, COUNTER_BLOCKS = 1 << 21, 64
 EXTRA = 5
 #: Columns of the 0/1 matrices that are held at a time.
 COLUMNS = 4096
+#: Keys of rows without an id of their own lie beyond the ids, if those stay within this much of 0.
+KEY_RANGE = 1 << 62
 
 
 def commonness(docs: DataFrame, words: int, id_col: str, text_col: str) -> np.ndarray:
@@ -318,3 +320,54 @@ def components(
         .join(label, F.col("doc_id") == F.col("vertex"), "left")
         .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
     )
+
+
+def row_keys(docs: DataFrame, folder: str, id_col: str = "doc_id") -> tuple[DataFrame, str, bool]:
+    """The rows with a further column that tells them apart, its name, and whether it is more than the id.
+
+    Rows whose id no other row has keep it as their key. Rows that share an id, or have none, are
+    written once with keys that no id equals; a filter of fixed size picks them out, so a hot id
+    is never gathered. If ids fill the range of 64 bits, all rows get new keys.
+    """
+    key = "row_key"
+    while key in [c.lower() for c in docs.columns]:
+        key += "_"
+    own = docs[id_col].cast("long")
+    ids = docs.select(own.alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
+    ids = stored(ids.where("n > 1 or doc_id is null").select("doc_id"), folder, "repeated")
+    if ids.limit(1).count() == 0:
+        return docs.withColumn(key, own), key, False
+    ends = docs.agg(F.max(own).alias("top"), F.min(own).alias("low")).first()
+    number = F.monotonically_increasing_id()
+    if ends.top is None or (ends.top > KEY_RANGE and ends.low < -KEY_RANGE):
+        return stored(docs.withColumn(key, number), folder, "rows"), key, True
+    number = ends.top + 1 + number if ends.top <= KEY_RANGE else ends.low - 1 - number
+    shared = id_filter(ids, "doc_id")
+    others = stored(docs.where(shared(own)).withColumn(key, number), folder, "rows")
+    return docs.where(~shared(own)).withColumn(key, own).union(others), key, True
+
+
+def without_near_copies(
+    docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of docs, one of each group that links connect: that of the smallest doc_id, null last.
+
+    Links are those of components(), but every row is a document of its own, whether its doc_id is null
+    or repeated; of rows alike in that, any one stays. Rows without words link with nothing and stay. All
+    columns are kept as they are, whatever their names.
+    """
+    folder = scratch(docs.sparkSession)
+    rows, key, more = row_keys(docs, folder, id_col)
+    found = components(rows, words, percent, key, text_col)
+    columns = [quoted(c) for c in docs.columns]
+    if not more:
+        gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone"))
+        return rows.join(gone, rows[key] == gone["gone"], "left_anti").select(*columns)
+    named = rows.select(rows[key].alias("vertex"), rows[id_col].cast("long").alias("named"))
+    first = F.min(F.struct(F.col("named").isNull(), "named", "vertex"))
+    stays = (
+        found.join(named, F.col("doc_id") == F.col("vertex"))
+        .groupBy("component_id")
+        .agg(first.getField("vertex").alias("stays"))
+    )
+    return rows.join(stays, rows[key] == stays["stays"], "left_semi").select(*columns)

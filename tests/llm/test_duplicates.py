@@ -119,6 +119,43 @@ def test_components_of_odd_rows(odd, nothing):
     assert jaccard.components(nothing).count() == 0
 
 
+@pytest.mark.parametrize("shift", [0, (1 << 63) - 40, -(1 << 63), None])
+def test_near_copies_of_rows_that_share_an_id_or_have_none(spark, shift):
+    """A third of the rows under no id, a third under one; shift None: ids at both ends of the range."""
+    rng = random.Random(5)
+    first = [sentence(rng, 40) for _ in range(6)]
+    rows = []
+    for k in range(36):
+        text = first[k % 6] if k < 30 else sentence(rng, 40)
+        if 10 <= k < 20:
+            text += " end"
+        base = shift if shift is not None else (-(1 << 63) if k % 2 else (1 << 63) - 40)
+        rows.append((None if k % 3 == 0 else base + 3 if k % 3 == 1 else base + k, text, k))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_key int")
+    words = [frozenset(zip(*(t.split()[j:] for j in range(5)), strict=False)) for _, t, _ in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(words[a] & words[b]) >= 80 * len(words[a] | words[b]):
+                old, new = root[a], root[b]
+                root = [new if r == old else r for r in root]
+    expected = []
+    for r in set(root):
+        ids = [rows[k][0] for k in range(len(rows)) if root[k] == r]
+        expected.append(min((i for i in ids if i is not None), default=None))
+    found = jaccard.without_near_copies(docs)
+    assert found.columns == docs.columns
+    assert sorted((r.doc_id for r in found.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_near_copies_of_odd_rows(odd, nothing):
+    left = sorted(((r.doc_id, r.text) for r in jaccard.without_near_copies(odd).collect()), key=str)
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    others = [(i, t) for i, t in rows if not t or t.lower() != "a b c d e f g h"]
+    assert left == sorted([*others, (1, "a b c d e f g h")], key=str)
+    assert jaccard.without_near_copies(nothing).collect() == []
+
+
 def test_one_doc_id_with_two_texts_joins_their_groups(spark):
     rows = [(1, "a b c d e"), (2, "a b c d e"), (2, "p q r s t"), (3, "p q r s t"), (4, "other words here")]
     docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
