@@ -5,8 +5,8 @@ All but the last return the columns of documents. Stages: documents that the qua
 rejects go; repeated chunks of lines go from the texts; of each group of near duplicates the
 document of the smallest doc_id stays; repeated passages go from the texts; what is left is packed.
 
-A null doc_id never makes a row go, rows that repeat a doc_id stay or go together as near duplicates,
-and a text of which nothing is left stays as an empty one.
+Rows that repeat a doc_id or have none are documents of their own to the near-duplicate stage, a null
+doc_id the last to stay. A text of which nothing is left stays as an empty one.
 """
 
 from __future__ import annotations
@@ -38,12 +38,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.components(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    name = "gone"
-    while name in [c.lower() for c in docs.columns]:
-        name += "_"
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
+    return jaccard.without_near_copies(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
