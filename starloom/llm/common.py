@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,15 @@ def stored(frame: DataFrame, folder: str, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def slices(texts: pa.Array, limit: int = 1 << 20):
+    """Parts of a column of texts, of so many bytes or one row beyond; so its rows are never all objects at once."""
+    part = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // limit
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if a < b:
+            yield a, texts[a:b].to_pylist()
+
+
 def crc_mod(id_column: Column, modulus: int) -> Column:
     """crc32 of the id as decimal text, modulo; null for a null id."""
     return F.crc32(id_column.cast("string").cast("binary")) % modulus

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import id_text, quoted
+from starloom.llm.common import id_text, quoted, slices
 
 #: Bytes of a chunk, at least and at most.
 SHORTEST, LONGEST = 16, 128
@@ -108,13 +108,13 @@ def repeated_digests(rows: DataFrame) -> DataFrame:
     def run(batches):
         table = gear_table()
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for a in range(0, len(texts), 500):
+            ids = batch.column(0).to_numpy()
+            for a, texts in slices(batch.column(1)):
                 found = []
-                for text in texts[a : a + 500]:
+                for text in texts:
                     raw = text.encode()
                     found.append(set(chunk_digests(raw, chunk_ends(raw, table))))
-                keys = np.repeat(ids[a : a + 500], [len(x) for x in found])
+                keys = np.repeat(ids[a : a + len(texts)], [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys), pa.array([d for x in found for d in x], pa.binary())], names=["key", "digest"]
                 )
@@ -159,10 +159,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     @F.arrow_udf("struct<text string, removed long>")
     def cut(texts: pa.Array, digests: pa.Array) -> pa.Array:
         table = gear_table()
-        done = [
-            (None, 0) if t is None else without(t, g or [], table, passage)
-            for t, g in zip(texts.to_pylist(), digests.to_pylist(), strict=True)
-        ]
+        done = []
+        for a, part in slices(texts):
+            for t, g in zip(part, digests[a : a + len(part)].to_pylist(), strict=True):
+                done.append((None, 0) if t is None else without(t, g or [], table, passage))
         return pa.StructArray.from_arrays(
             [pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())],
             names=["text", "removed"],
