@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,25 @@ def stored(frame: DataFrame, folder: str, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Bytes of rows that go to Python at once, where rows are large.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Within it, what is run hands rows to Python in batches of about 4 MB or one row, not 10,000 rows of any length.
+
+    Both sides hold a batch whole, and the JVM's buffers for it stay with the executor.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def slices(texts: pa.Array, limit: int = 1 << 20):
     """Parts of a column of texts, of so many bytes or one row beyond; so its rows are never all objects at once."""
     part = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // limit

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import crc_mod, id_text, scratch, stored
+from starloom.llm.common import crc_mod, id_text, scratch, slices, stored
 
 #: Random Fourier features, the kernel's width in standard deviations, and the ridge penalty per row.
 FEATURES, WIDTH, PENALTY = 384, 3.0, 1e-4
@@ -70,7 +70,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            rows = [statistics(t) for t in batch.column(1).to_pylist()]
+            rows = [statistics(t) for _, part in slices(batch.column(1)) for t in part]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "x"]
             )
@@ -242,7 +242,7 @@ def accepted(
 
     @F.arrow_udf("boolean")
     def good(texts: pa.Array) -> pa.Array:
-        x = np.array([statistics(t) for t in texts.to_pylist()]).reshape(-1, STATISTICS)
+        x = np.array([statistics(t) for _, part in slices(texts) for t in part]).reshape(-1, STATISTICS)
         return pa.array(levels(x, trained.value) >= 0.5)
 
     return docs.where(good(F.coalesce(docs[text_col].cast("string"), F.lit(""))))

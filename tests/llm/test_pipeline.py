@@ -52,6 +52,29 @@ def small(spark, odd, tmp_path):
     return str(tmp_path)
 
 
+def test_stages_get_small_batches(spark, tmp_path, monkeypatch):
+    """Long texts reach Python a few MB at a time; the session's own setting is back afterwards."""
+    import pyarrow as pa
+
+    spark.range(0, 3_000, 1, 1).selectExpr("id AS doc_id", "repeat('long text ', 500) AS text").coalesce(1).write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+
+    def sizes(spark, docs, sf_dir):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+        return docs.mapInArrow(run, "size long")
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", sizes)])
+    found = [r.size for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sum(found) > 3_000 * 5_000 and max(found) < 5_000_000
+    assert spark.conf.get(key, None) == before
+
+
 def test_stages_take_any_column_names(spark, small):
     names = ["_gone", "gone", "Gone_", "_row", "_key", "_id", "_text", "_cut", "a.b", "c`d", "digest", "vertex", "label"]
     docs = spark.read.parquet(f"{small}/documents.parquet")
