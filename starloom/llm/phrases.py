@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import U64, mixed, scratch, stored
+from starloom.llm.common import U64, mixed, scratch, small_batches, stored
 
 #: What ends a piece, and the language of rows without one.
 ENDS, UNKNOWN = re.compile("[.,;:!?\n-\r]"), "und"
@@ -336,8 +336,8 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, folder: str, tex
     log = min(max(4, (n // RANGE).bit_length()), FILTER_BITS - 3)
     for size in range(1, longest + 1):
         relation = frequent_occurrences(relation, size, frequent_groups(relation, size, least, log))
-        if size < longest:
-            relation = stored(relation, folder, f"occurrences-{size}")
+        # written for the last size too, or counting would keep a second Python worker beside each task's
+        relation = stored(relation, folder, f"occurrences-{size}")
         frequent = phrase_counts(relation, size, least, log).withColumn("size", F.lit(size))
         frequent = stored(frequent, folder, f"frequent-{size}")
         found = frequent if found is None else found.unionByName(frequent)
@@ -359,7 +359,8 @@ def collocations(
     if longest < 2 or least < 1:
         raise ValueError("phrases have at least two words and occur at least once")
     folder = scratch(spark)
-    known = frequent_phrases(docs, longest, least, folder, text_col, lang_col)
+    with small_batches(spark):
+        known = frequent_phrases(docs, longest, least, folder, text_col, lang_col)
     longer = known.where("size > 1").withColumn("words", F.split("phrase", " "))
     inside = F.expr(
         "explode(flatten(transform(sequence(2, size - 1), k ->"

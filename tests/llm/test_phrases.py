@@ -93,3 +93,17 @@ def test_empty_table_and_hot_words(spark, nothing):
     assert found(spark, []) == []
     rows = [(1, "the " * 5_000, "en"), (2, "the cat " * 400, "en"), (3, "x" * 100_000, "en")]
     assert found(spark, rows) == brute(rows, 3, 10, 2_000)
+
+
+def test_counting_reads_written_occurrences(spark, monkeypatch):
+    """Each relation that is counted lies in a file, and rows go to Python in small batches while it is made."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    real = phrases.stored
+    monkeypatch.setattr(phrases, "stored", lambda rows, at, name: seen.append((name, spark.conf.get(key, None))) or real(rows, at, name))
+    before = spark.conf.get(key, None)
+    docs = spark.createDataFrame([(1, "a b c " * 20, "en", "", 0, "")], SCHEMA)
+    assert phrases.collocations(docs, longest=3).count() > 0
+    names = [name for name, _ in seen]
+    assert {"occurrences-1", "occurrences-2", "occurrences-3"} <= set(names)
+    assert {size for _, size in seen} == {str(4 << 20)}
+    assert spark.conf.get(key, None) == before
