@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from starloom.functions import month_start
 
-# A group of up to this many distinct values is ranked by one task, which sorts and spills them.
+# A group of up to this many values is ranked by one task, which sorts and spills them.
 # Larger groups are cut into runs of values that many tasks share.
 MAX_GROUP_VALUES = 10_000_000
+# Hashes of the first key, which tell whether groups can be larger.
+BUCKETS = 1 << 16
 
 
 def exact_median(
@@ -19,13 +21,50 @@ def exact_median(
     alias: str,
     folder: str,
     max_group_values: int = MAX_GROUP_VALUES,
+    written: bool = False,
 ) -> DataFrame:
     """Median of `value` per `keys`; nulls do not count, and a group of nulls has a null median.
 
-    The rows are read once, to count each distinct value of a group. The counts are written to
-    `folder`, a new folder on shared storage that must outlive the result; sizes and ranks come
-    from there. Each group is ranked by the method its own size asks for, in one plan.
+    The rows are written to `folder`, a new folder on shared storage that must outlive the result,
+    unless they are `written` already, so that reading them twice costs no more than a scan. Counts by a hash
+    of the first key, a few numbers from each task, tell which groups can be large. All others are moved
+    once and ranked, dealt out by the first key to as many tasks as the session's setting for shuffles
+    says; what asks by that key afterwards, such as an article's last month, moves nothing again.
+    Rows under a crowded hash are counted by value and written; sizes and ranks come from there, and
+    each of their groups is ranked by the method its own size asks for.
     """
+    rows = rows.select(*keys, value)
+    if not written:
+        rows = _written(rows, f"{folder}/values")
+    bucket = F.pmod(F.xxhash64(keys[0]), F.lit(BUCKETS))
+    crowded = _written(
+        rows.groupBy(bucket.alias("__bucket"))
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > max_group_values)
+        .select("__bucket"),
+        f"{folder}/crowded",
+    )
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if crowded.isEmpty():
+        return _median_of_rows(rows.repartition(n, keys[0]), keys, value, alias)
+
+    def matching(how: str) -> DataFrame:
+        return rows.withColumn("__bucket", bucket).join(F.broadcast(crowded), "__bucket", how).drop("__bucket")
+
+    usual = _median_of_rows(matching("left_anti").repartition(n, keys[0]), keys, value, alias)
+    return usual.unionByName(
+        _median_of_crowded(matching("left_semi"), keys, value, alias, folder, max_group_values)
+    )
+
+
+def _median_of_rows(rows: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+    return _median_by_group(rows.withColumn("__weight", F.lit(1)), keys, value, alias)
+
+
+def _median_of_crowded(
+    rows: DataFrame, keys: list[str], value: str, alias: str, folder: str, max_group_values: int
+) -> DataFrame:
+    """The rows are read once, to count each distinct value of a group."""
     weights = _written(_weights(rows, keys, value), f"{folder}/weights")
     large = _written(
         weights.groupBy(*keys)
@@ -130,12 +169,14 @@ def _median_by_rank(weights: DataFrame, keys: list[str], value: str, alias: str)
     )
 
 
-def monthly_median_price(raw_transactions: DataFrame, folder: str) -> DataFrame:
-    """Median landing price per article and calendar month; `folder` as in exact_median."""
+def monthly_median_price(raw_transactions: DataFrame, folder: str, written: bool = False) -> DataFrame:
+    """Median landing price per article and calendar month; `folder` and `written` as in exact_median."""
     by_month = raw_transactions.select(
         "article_id", month_start("t_dat").alias("price_month"), "price"
     )
-    return exact_median(by_month, ["article_id", "price_month"], "price", "median_price", folder)
+    return exact_median(
+        by_month, ["article_id", "price_month"], "price", "median_price", folder, written=written
+    )
 
 
 def latest_price(monthly: DataFrame) -> DataFrame:

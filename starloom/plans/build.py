@@ -178,7 +178,9 @@ def _refresh_monthly_prices(w: Warehouse, run_ts: datetime) -> DataFrame:
     counted = f"{w.root}/stg/builds/{_MONTHLY}_counted/{w.new_run(run_ts)}"
 
     def build(landing: DataFrame, _: list[str]) -> DataFrame:
-        monthly = median.monthly_median_price(staging.raw_transactions(landing), counted)
+        monthly = median.monthly_median_price(
+            staging.raw_transactions(landing), counted, written=True
+        )
         return monthly.hint("rebalance", F.col("price_month"))
 
     loaded, _ = _refresh_months(

@@ -50,6 +50,26 @@ def test_methods_agree(spark, tmp_path, random_rows, expected, limits):
             assert out[group] == pytest.approx(value, abs=1e-15)
 
 
+def test_usual_groups_move_once(spark, tmp_path, random_rows):
+    """Groups that cannot be large are ranked after one shuffle, in as many tasks as the session asks for."""
+    rows = sales(spark, random_rows).repartition(7)
+    out = median.exact_median(rows, ["k", "m"], "price", "median", str(tmp_path / "counted"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    last = out.groupBy("k").agg({"m": "max"})
+    assert last._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_crowded_and_usual_groups_in_one_result(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("CAST(id % 1000 AS STRING) k", "'m' m", "CAST(id AS DOUBLE) price")
+    hot = spark.range(500).selectExpr("'hot' k", "'m' m", "CAST(id AS DOUBLE) price")
+    out = values(median.exact_median(
+        rows.union(hot), ["k", "m"], "price", "median", str(tmp_path / "c"), max_group_values=100
+    ))
+    assert len(out) == 1001 and out["hot", "m"] == 249.5 and out["7", "m"] == 7 + 9500.0
+
+
 def test_latest_month_wins(spark):
     monthly = spark.createDataFrame(
         [("a", date(2019, 1, 1), 1.0), ("a", date(2019, 3, 1), None), ("b", None, 5.0),
