@@ -16,7 +16,7 @@ from starloom.operators import marts, median, quality, snapshot, staging
 from starloom.plans import build, replay
 from starloom.schemas import CUSTOMERS, DATASETS
 from starloom.sinks.landing import LOAD_MONTH, Landing, list_months
-from starloom.sinks.warehouse import LAYERS, Warehouse
+from starloom.sinks.warehouse import CODEC, LAYERS, Warehouse
 from starloom.sources import csv_files, seeds
 
 MONTH = "2021-05"
@@ -44,7 +44,7 @@ def scratch(spark: SparkSession) -> str:
 def stored(rows: DataFrame) -> DataFrame:
     """The rows, written to a new folder and read back."""
     folder = scratch(rows.sparkSession)
-    rows.write.parquet(folder)
+    rows.write.option("compression", CODEC).parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
@@ -81,7 +81,7 @@ def parquet_dir(spark: SparkSession, sf_dir: str, price: str | None = None) -> s
     def write() -> str:
         folder = scratch(spark)
         for name, rows in inputs(spark, sf_dir, price).items():
-            rows.write.parquet(f"{folder}/{DATASETS[name].file_name}.parquet")
+            rows.write.option("compression", CODEC).parquet(f"{folder}/{DATASETS[name].file_name}.parquet")
         return folder
 
     return _once(spark, sf_dir, f"parquet-{price}", write)
@@ -585,7 +585,7 @@ def run_month_out_of_order(spark, sf_dir):
         folder, whole = scratch(spark), inputs(spark, sf_dir, adapter.REPEATED_PRICE)
         whole["transactions"] = whole["transactions"].where(~in_month("t_dat", MONTH))
         for name, rows in whole.items():
-            rows.write.parquet(f"{folder}/{DATASETS[name].file_name}.parquet")
+            rows.write.option("compression", CODEC).parquet(f"{folder}/{DATASETS[name].file_name}.parquet")
         return folder
 
     loader = landing(spark, sf_dir, adapter.REPEATED_PRICE)
@@ -602,7 +602,7 @@ def lacking_customers(spark: SparkSession, sf_dir: str) -> str:
         folder, whole = scratch(spark), inputs(spark, sf_dir, adapter.REPEATED_PRICE)
         whole["customers"] = whole["customers"].where("cast(customer_id as int) % 50 <> 7")
         for name, rows in whole.items():
-            rows.write.parquet(f"{folder}/{DATASETS[name].file_name}.parquet")
+            rows.write.option("compression", CODEC).parquet(f"{folder}/{DATASETS[name].file_name}.parquet")
         return folder
 
     return _once(spark, sf_dir, "lacking-customers", write)

@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from retail_checks import compare
+from retail_checks import compare, queries
 from retail_checks.oracles import ORACLES
 from retail_checks.queries import QUERIES
 
@@ -25,3 +25,12 @@ def test_every_query_has_its_sql():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare.differences(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
+
+
+def test_rows_that_queries_store_are_as_small_as_the_warehouse(spark):
+    import pyarrow.parquet as pq
+
+    kept = queries.stored(spark.range(1000).selectExpr("id", "md5(cast(id AS string)) AS sk"))
+    for file in kept.inputFiles():
+        columns = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0)
+        assert {columns.column(k).compression for k in range(2)} == {"ZSTD"}
