@@ -1,11 +1,13 @@
 """A hashed maximum-entropy language model with a class-factored softmax.
 
-log p(word | words before) = log p(class | features) + log p(word | class). The first factor is a
+log p(word | words before) = log p(class | features) + log p(word | class, features). The first factor is a
 softmax over classes with a weight for each pair of class and hashed feature: the previous word, the
 one before it (skipping one), and both together. The most frequent words are classes by themselves, other words share a
-class by their ending. The second factor is the maximum-entropy model of the word's frequency alone,
-which has a closed form. Training sums, over all training text, what each feature observes and what
-the model expects, and moves the weights along the difference.
+class by their ending. The second factor halves the words of a class by their hashes, again and again: each
+half is a softmax over two, with a weight for each hashed pair of feature and place in the tree, so the same n-grams and
+skips tell the words of a class apart. The few words of one leaf share it by their counts. Training starts from
+counts; then each pass sums, over all training text, the gradient (what each feature observes less what the
+model expects) and moves all weights along it, scaled by the curvature.
 """
 
 from __future__ import annotations
@@ -23,7 +25,11 @@ CLASSES, OWN = 32, 17
 #: Hashed values of each of the three features.
 BUCKETS = 4_096
 #: Training passes after the first, their step, and the weight of the prior in a feature's counts.
-PASSES, STEP, PRIOR = 2, 0.6, 20.0
+PASSES, STEP, PRIOR = 1, 0.6, 20.0
+#: The prior of a feature at a place in a tree, the ridge penalty, and the longest way of one weight in a pass.
+WORD_PRIOR, RIDGE, REACH = 10.0, 10.0, 1.0
+#: Most halvings of a class's words, and binary digits of the weights' table; both follow the training text up to these.
+DEPTH, BITS = 7, 19
 #: Most frequent words whose counts every task holds; the counts of all others are joined.
 HEAD = 1 << 17
 #: Added to a word's count, also to that of the one unknown word.
@@ -32,6 +38,10 @@ ADDED = 0.1
 CHUNK = 1 << 20
 #: Tokens whose classes are scored at a time.
 BLOCK = 1 << 13
+#: Tokens whose ways down the trees are followed at a time.
+WAYS = 1 << 14
+#: Tasks that sum, at least, and for each core; so what is summed does not grow with the files.
+SUMMING, SUMMING_A_CORE = 8, 2
 
 
 class Tokens:
@@ -96,21 +106,19 @@ class Tokens:
                 start, size = k + 1, 0
 
 
-def features(ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Rows of three buckets for each token: the previous word, the one before, both; beginnings are words too."""
+def contexts(ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Rows of three hashes for each token: the previous word, the one before, both; beginnings are words too."""
     before = np.r_[U64(1), ids[:-1]]
     before[begins[:-1]] = U64(1)
     skip = np.r_[U64(2), before[:-1]]
     skip[begins[:-1]] = U64(2)
     both = mixed(before * U64(0x9E3779B97F4A7C15) + skip)
-    buckets = U64(BUCKETS)
-    return np.stack(
-        [
-            mixed(before) % buckets,
-            mixed(skip + U64(0xABCDEF)) % buckets + buckets,
-            both % buckets + U64(2 * BUCKETS),
-        ]
-    ).astype(np.int64)
+    return np.stack([mixed(before), mixed(skip + U64(0xABCDEF)), both])
+
+
+def features(hashes: np.ndarray) -> np.ndarray:
+    """The buckets of contexts(), each row's after those of the row before."""
+    return (hashes % U64(BUCKETS)).astype(np.int64) + np.arange(3)[:, None] * BUCKETS
 
 
 def classes(ids: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -119,6 +127,54 @@ def classes(ids: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.where(own[0][place] == ids, own[1][place].astype(np.int64), (ids & U64(31)).astype(np.int64))
 
 
+class Trees:
+    """The words of each class, halved by the bits of their ids; places in a tree are numbered as in a heap.
+
+    inside: by class and leaf, the count of its words and what is added to them.
+    """
+
+    def __init__(self, inside: np.ndarray, bits: int) -> None:
+        self.depth, self.bits = int(np.log2(inside.shape[1])), bits
+        self.inside = np.log10(inside).ravel()
+        whole = np.concatenate([np.zeros_like(inside), inside], axis=1)
+        for place in range(inside.shape[1] - 1, 0, -1):
+            whole[:, place] = whole[:, 2 * place] + whole[:, 2 * place + 1]
+        half = np.zeros(inside.shape)  # log odds of a place's second half by the counts alone
+        half[:, 1:] = np.log(whole[:, 3::2]) - np.log(whole[:, 2::2])
+        self.half = half.ravel().astype(np.float32)
+
+    def leaves(self, ids: np.ndarray, k: np.ndarray) -> np.ndarray:
+        mask = U64((1 << self.depth) - 1)
+        return (k << self.depth) + np.where(k < OWN, 0, ((ids >> U64(5)) & mask).astype(np.int64))
+
+    def ways(self, ids: np.ndarray, k: np.ndarray, hashes: np.ndarray):
+        """Blocks of the tokens that share their class: which, and by depth and token the place, whether its
+        second half is taken, and for each context the weight that speaks for that.
+        """
+        if not self.depth:
+            return
+        shared = np.flatnonzero(k >= OWN)
+        down = np.arange(self.depth)[:, None]
+        for a in range(0, len(shared), WAYS):
+            at = shared[a : a + WAYS]
+            leaf = ((ids[at] >> U64(5)) & U64((1 << self.depth) - 1)).astype(np.uint32)
+            place = (np.uint32(1) << down.astype(np.uint32)) | (leaf >> (self.depth - down).astype(np.uint32))
+            place |= k[at].astype(np.uint32) << np.uint32(self.depth)
+            second = (leaf >> (self.depth - 1 - down).astype(np.uint32)) & np.uint32(1) == 1
+            spread = place * np.uint32(0x9E3779B1)
+            weight = (hashes[:, None, at] >> U64(32)).astype(np.uint32) ^ spread
+            weight *= np.uint32(0x85EBCA6B)
+            weight >>= np.uint32(32 - self.bits)
+            yield at, place, second, weight
+
+    def chances(self, place: np.ndarray, weight: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The log odds of the second half at each place."""
+        x = np.take(self.half, place)
+        for w in weight:
+            x += np.take(weights, w)
+        return x
+
+
 def scores_of_classes(f: np.ndarray, weights: np.ndarray, prior: np.ndarray):
     """Blocks of tokens: where each begins, and their classes' scores above the best one, classes by rows.
 
@@ -152,62 +208,98 @@ def log_probabilities(f: np.ndarray, k: np.ndarray, weights: np.ndarray, prior:
     return out
 
 
-def summed(training: DataFrame, make) -> np.ndarray:
-    """Sums of matrices of features by classes: one of each task, added up by row; the result has a fixed size."""
+def summed(training: DataFrame, make, n: int) -> np.ndarray:
+    """Sums of matrices of n rows of one number a class: one of each task, added up by row; the result has a fixed size."""
+    names = [f"c{k}" for k in range(CLASSES)]
 
     def run(batches):
         total = make(batches)
         rows = np.flatnonzero(total.any(axis=1))
-        columns = [pa.array(rows.astype(np.int32)), *(pa.array(c) for c in total[rows].T.copy())]
-        yield pa.RecordBatch.from_arrays(columns, names=["f", *(f"c{k}" for k in range(CLASSES))])
+        for a in range(0, len(rows), BLOCK):
+            part = rows[a : a + BLOCK]
+            columns = [pa.array(part.astype(np.int32)), *(pa.array(c.astype(float)) for c in total[part].T)]
+            yield pa.RecordBatch.from_arrays(columns, names=["f", *names])
 
-    names = [f"c{k}" for k in range(CLASSES)]
-    parts = training.mapInArrow(run, "f int, " + ", ".join(f"{c} double" for c in names))
+    tasks = max(SUMMING, SUMMING_A_CORE * training.sparkSession.sparkContext.defaultParallelism)
+    parts = training.coalesce(tasks).mapInArrow(run, "f int, " + ", ".join(f"{c} double" for c in names))
     rows = parts.groupBy("f").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
-    out = np.zeros((3 * BUCKETS, CLASSES))
+    out = np.zeros((n, CLASSES))
     out[rows["f"].to_numpy(dtype=np.int64)] = rows[names].to_numpy()
     return out
 
 
-def train(training: DataFrame, own: np.ndarray, prior: np.ndarray) -> np.ndarray:
-    """Weights by feature and class. prior: the share of each class in the training text.
+def climbed(weights: np.ndarray, seen: np.ndarray, expected: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The weights after a step along the gradient of the penalised likelihood, each scaled by its curvature.
+
+    n: how often each weight's feature occurs, of which it was seen to hold, and expected to hold, so often.
+    """
+    gradient = seen - expected - RIDGE * weights
+    curvature = expected * np.maximum(1 - expected / np.maximum(n, 1), 0) + RIDGE
+    return weights + STEP * np.clip(gradient / curvature, -REACH, REACH)
+
+
+def train(
+    training: DataFrame, own: np.ndarray, prior: np.ndarray, trees: Trees
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights by feature and class, and the trees' weights. prior: the share of each class in the training text.
 
-    What a model without weights expects follows from how often a feature occurs; later passes compute
-    it from the model. A step is along observed minus expected, scaled by feature as in iterative scaling.
+    What a model without weights expects follows from counts alone, and gives the weights to start with; later
+    passes compute it from the model.
     """
     sc = training.sparkSession.sparkContext
-    base = sc.broadcast((own, np.log(prior).astype(np.float32)))
+    base = sc.broadcast((own, np.log(prior).astype(np.float32), trees))
+    size = 1 << trees.bits
+    cells = 3 * BUCKETS * CLASSES
 
     def observed(batches):
-        tokens, total = Tokens(), np.zeros(3 * BUCKETS * CLASSES, dtype=np.int64)
+        own, _, trees = base.value
+        tokens, total, found = Tokens(), np.zeros(cells), np.zeros((3, size))
         for batch in batches:
             for _, _, ids, begins in tokens.batches(batch):
-                at = features(ids, begins) * CLASSES + classes(ids, base.value[0])
-                total += np.bincount(at.ravel(), minlength=len(total))
-        return total.reshape(-1, CLASSES).astype(float)
-
-    seen = summed(training, observed)
-    expected = seen.sum(axis=1, keepdims=True) * prior
-    weights = np.zeros(seen.shape)
-    for turn in range(PASSES + 1):
-        if turn:
-            now = sc.broadcast(by_class(weights))
-
-            def expect(batches, now=now):
-                tokens, total = Tokens(), np.zeros((CLASSES, 3, BUCKETS))
-                for batch in batches:
-                    for _, _, ids, begins in tokens.batches(batch):
-                        f = features(ids, begins)
-                        p = probabilities(f, now.value, base.value[1])
-                        for kind in range(3):
-                            bucket = f[kind] - kind * BUCKETS
-                            for k in range(CLASSES):
-                                total[k, kind] += np.bincount(bucket, weights=p[k], minlength=BUCKETS)
-                return total.reshape(CLASSES, -1).T
-
-            expected = summed(training, expect)
-        weights += STEP * np.log((seen + PRIOR * prior) / (expected + PRIOR * prior))
-    return weights
+                hashes, k = contexts(ids, begins), classes(ids, own)
+                total += np.bincount((features(hashes) * CLASSES + k).ravel(), minlength=cells)
+                for _, place, second, weight in trees.ways(ids, k, hashes):
+                    even = np.broadcast_to(1 / (1 + np.exp(-np.take(trees.half, place))), weight.shape)
+                    found[0] += np.bincount(weight.ravel(), minlength=size)
+                    found[1] += np.bincount(weight[:, second].ravel(), minlength=size)
+                    found[2] += np.bincount(weight.ravel(), weights=even.ravel(), minlength=size)
+        return np.concatenate([total, found.ravel()]).reshape(-1, CLASSES)
+
+    found = summed(training, observed, (cells + 3 * size) // CLASSES).ravel()
+    seen = found[:cells].reshape(-1, CLASSES)
+    often, second, even = found[cells:].reshape(3, size)
+    n = seen.sum(axis=1, keepdims=True)
+    weights = STEP * np.log((seen + PRIOR * prior) / (n * prior + PRIOR * prior))
+    # a weight that no token of the training text asks stays 0
+    share = np.where(often > 0, even / np.maximum(often, 1), 0.5)
+    more = np.log((second + WORD_PRIOR * share) / (even + WORD_PRIOR * share))
+    less = np.log((often - second + WORD_PRIOR * (1 - share)) / (often - even + WORD_PRIOR * (1 - share)))
+    words = STEP * (more - less)
+    for _ in range(PASSES):
+        now = sc.broadcast((by_class(weights), words.astype(np.float32)))
+
+        def expect(batches, now=now):
+            (own, logs, trees), (by_feature, by_place) = base.value, now.value
+            tokens, total, chosen = Tokens(), np.zeros((CLASSES, 3, BUCKETS)), np.zeros(size)
+            for batch in batches:
+                for _, _, ids, begins in tokens.batches(batch):
+                    hashes, k = contexts(ids, begins), classes(ids, own)
+                    f = features(hashes)
+                    p = probabilities(f, by_feature, logs)
+                    for kind in range(3):
+                        bucket = f[kind] - kind * BUCKETS
+                        for c in range(CLASSES):
+                            total[c, kind] += np.bincount(bucket, weights=p[c], minlength=BUCKETS)
+                    for _, place, _, weight in trees.ways(ids, k, hashes):
+                        chance = 1 / (1 + np.exp(-trees.chances(place, weight, by_place)))
+                        every = np.broadcast_to(chance, weight.shape).ravel()
+                        chosen += np.bincount(weight.ravel(), weights=every, minlength=size)
+            return np.concatenate([total.reshape(CLASSES, -1).T.ravel(), chosen]).reshape(-1, CLASSES)
+
+        expected = summed(training, expect, (cells + size) // CLASSES).ravel()
+        weights = climbed(weights, seen, expected[:cells].reshape(-1, CLASSES), n)
+        words = climbed(words, second, expected[cells:], often)
+    return weights, words
 
 
 def by_class(weights: np.ndarray) -> np.ndarray:
@@ -222,7 +314,7 @@ def scored(
     Learns from rows whose crc32(doc_id as text) mod folds is not held_fold. Tokens are the words between
     ASCII white space, A-Z lower-cased, and one end for each text; a null or empty text is the end
     alone. base_score is the sum of log10((c + 0.1) / (N + 0.1 (V + 1))); score is the model's log10
-    probability, in which one unknown word of each class counts 0.1. Null doc_ids are scored, not learned
+    probability, in which one unknown word of each leaf of a class's tree counts 0.1. Null doc_ids are scored, not learned
     from, and not held out; rows that repeat a doc_id are scored one by one. Without training text all
     words are unknown and the model's classes are equally likely.
     """
@@ -261,20 +353,28 @@ def scored(
 
     c = dict(zip(head["id"].tolist(), head["n"].tolist(), strict=True))
     mass = np.zeros(CLASSES)
-    words = np.zeros(CLASSES)
     for r in endings:
         mass[r.k] += r.n
-        words[r.k] += r.v
     for k, i in enumerate([0, *top]):
         n = c.get(i, 0)
         if i:
             mass[i & 31] -= n
-            words[i & 31] -= 1
-        mass[k], words[k] = n, 1
+        mass[k] = n
     prior = (mass + 1) / (mass + 1).sum()
-    # a class of its own has one word and no unknown one
-    inside = np.where(np.arange(CLASSES) < OWN, mass + ADDED, mass + ADDED * (words + 1))
-    weights = train(training, own, prior) if total else np.zeros((3 * BUCKETS, CLASSES))
+    # trees and tables as large as the words and tokens they tell apart, up to a bound
+    depth = min(DEPTH, int(np.ceil(np.log2(max(1, kinds / (CLASSES - OWN))))))
+    bits = min(BITS, max(12, int(total or 0).bit_length()))
+    leaf = F.expr(f"(id & 31) * {1 << depth} + (shiftrightunsigned(id, 5) & {(1 << depth) - 1})")
+    held = counts.where(~F.col("id").isin([0, *top])).groupBy(leaf.alias("leaf"))
+    held = held.agg((F.sum("n") + ADDED * F.count("*")).alias("inside")).toPandas()
+    # one unknown word of each leaf; a class of its own has one word and no unknown one
+    inside = np.full((CLASSES, 1 << depth), ADDED)
+    inside.ravel()[held["leaf"].to_numpy(dtype=np.int64)] += held["inside"].to_numpy(dtype=float)
+    inside[:OWN] = (mass + ADDED)[:OWN, None]
+    trees = Trees(inside, bits)
+    weights, by_place = np.zeros((3 * BUCKETS, CLASSES)), np.zeros(1 << bits)
+    if total:
+        weights, by_place = train(training, own, prior, trees)
 
     ordered = head.sort_values("id")
     shared = spark.sparkContext.broadcast(
@@ -282,7 +382,8 @@ def scored(
             "own": own,
             "prior": np.log(prior).astype(np.float32),
             "weights": by_class(weights),
-            "inside": np.log10(inside),
+            "trees": trees,
+            "by_place": by_place.astype(np.float32),
             "ids": ordered["id"].to_numpy(dtype=np.int64),
             "logs": np.log10(ordered["n"].to_numpy(dtype=float) + ADDED),
         }
@@ -294,8 +395,12 @@ def scored(
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
             for a, b, ids, begins in tokens.batches(batch):
-                f, k = features(ids, begins), classes(ids, m["own"])
-                model = log_probabilities(f, k, m["weights"], m["prior"]) / np.log(10) - m["inside"][k]
+                hashes, k, trees = contexts(ids, begins), classes(ids, m["own"]), m["trees"]
+                model = log_probabilities(features(hashes), k, m["weights"], m["prior"])
+                for at, place, second, weight in trees.ways(ids, k, hashes):
+                    chance = trees.chances(place, weight, m["by_place"])
+                    model[at] -= np.logaddexp(0, np.where(second, -chance, chance)).sum(axis=0)
+                model = model / np.log(10) - trees.inside[trees.leaves(ids, k)]
                 signed = ids.view(np.int64)
                 if len(ids_held):
                     place = np.minimum(np.searchsorted(ids_held, signed), len(ids_held) - 1)

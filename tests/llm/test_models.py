@@ -72,6 +72,40 @@ def test_scores_of_odd_rows(odd, nothing):
     assert all(math.isfinite(r.score) for r in alone)
 
 
+def test_words_of_one_class_are_told_apart(spark):
+    """61 words of one ending, each of which tells the next; most of them have no class of their own."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"q{(k * 7 + at) % 61}xx" for k in range(60))) for i in range(300) for at in [rng.randrange(61)]]
+    found = maxent.scored(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()
+    held = [r for r in found if r.held_out]
+    assert held
+    assert sum(r.score for r in held) > 0.45 * sum(r.base_score for r in held)
+
+
+def test_leaves_of_a_tree_sum_to_one():
+    rng = np.random.default_rng(4)
+    inside = rng.random((maxent.CLASSES, 8)) + 0.1
+    trees = maxent.Trees(inside, 12)
+    weights = rng.standard_normal(1 << 12).astype(np.float32)
+    k = np.full(8, maxent.OWN + 3)
+    ids = (np.arange(8, dtype=np.uint64) << np.uint64(5)) | np.uint64(maxent.OWN + 3)
+    hashes = np.repeat(rng.integers(0, 1 << 63, (3, 1), dtype=np.uint64), 8, axis=1)
+    for learned in (weights, np.zeros_like(weights)):
+        (at, place, second, weight), = trees.ways(ids, k, hashes)
+        chance = trees.chances(place, weight, learned)
+        p = np.exp(-np.logaddexp(0, np.where(second, -chance, chance)).sum(axis=0))
+        assert p.sum() == pytest.approx(1, rel=1e-5)
+    assert p == pytest.approx(inside[maxent.OWN + 3] / inside[maxent.OWN + 3].sum(), rel=1e-4)
+
+
+def test_steps_along_the_gradient_reach_what_was_seen():
+    """One weight, asked 100 times and held 80 times: the penalised optimum has no gradient left."""
+    w = np.zeros(1)
+    for _ in range(60):
+        w = maxent.climbed(w, np.array([80.0]), 100 / (1 + np.exp(-w)), np.array([100.0]))
+    assert 80 - 100 / (1 + np.exp(-w[0])) == pytest.approx(maxent.RIDGE * w[0], abs=1e-3)
+
+
 def test_probabilities_sum_to_one(spark):
     """Over all words that can follow one context: known ones and, per class of endings, an unknown one."""
     words = [f"a{c}{d}" for c in "bcdfghjkl" for d in "xyz"]
