@@ -49,19 +49,27 @@ def stored(frame: DataFrame, folder: str, name: str) -> DataFrame:
 BATCH_BYTES = 4 << 20
 
 
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches_from_now(spark: SparkSession) -> None:
+    """As small_batches(), for results that others run later; a size that the session has set already stays."""
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
 @contextmanager
 def small_batches(spark: SparkSession):
     """Within it, what is run hands rows to Python in batches of about 4 MB or one row, not 10,000 rows of any length.
 
     Both sides hold a batch whole, and the JVM's buffers for it stay with the executor.
     """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(BATCH_BYTES))
+    before = spark.conf.get(BATCH_KEY, None)
+    spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        spark.conf.unset(BATCH_KEY) if before is None else spark.conf.set(BATCH_KEY, before)
 
 
 def slices(texts: pa.Array, limit: int = 1 << 20):

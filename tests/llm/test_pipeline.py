@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from starloom.llm import queries
+from starloom.llm import common, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data")
@@ -132,3 +132,24 @@ def test_pipeline_over_the_smallest_tables(spark):
     for r in rows:
         fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
     assert rows and max(fill.values()) <= queries.SEQUENCE_TOKENS
+
+
+def test_a_stage_by_itself_hands_small_batches_to_python(spark, tmp_path):
+    """The stage's result is run by its caller, after the stage has returned."""
+    rows = [(i, f"words of text {i} " * 200, "en", "s", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars INT")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(300)], "doc_id LONG, quality INT, toxic INT").write.parquet(
+        str(tmp_path / "labels.parquet")
+    )
+    before = spark.conf.get(common.BATCH_KEY, None)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(common.BATCH_KEY)
+            stage(spark, docs, str(tmp_path))
+            if name != "line_dedup":  # it has no Python
+                assert spark.conf.get(common.BATCH_KEY, None) == str(common.BATCH_BYTES)
+            spark.conf.set(common.BATCH_KEY, "12345")  # the caller's own choice stays
+            stage(spark, docs, str(tmp_path))
+            assert spark.conf.get(common.BATCH_KEY) == "12345"
+    finally:
+        spark.conf.unset(common.BATCH_KEY) if before is None else spark.conf.set(common.BATCH_KEY, before)
