@@ -40,8 +40,8 @@ CHUNK = 1 << 20
 BLOCK = 1 << 13
 #: Tokens whose ways down the trees are followed at a time.
 WAYS = 1 << 14
-#: Tasks that sum, at least, and for each core; so what is summed does not grow with the files.
-SUMMING, SUMMING_A_CORE = 8, 2
+#: Tasks that sum, at least, for each core, and files' parts in one of them beyond; what is summed grows by far less than the files.
+SUMMING, SUMMING_A_CORE, PARTS = 32, 4, 8
 
 
 class Tokens:
@@ -220,7 +220,8 @@ def summed(training: DataFrame, make, n: int) -> np.ndarray:
             columns = [pa.array(part.astype(np.int32)), *(pa.array(c.astype(float)) for c in total[part].T)]
             yield pa.RecordBatch.from_arrays(columns, names=["f", *names])
 
-    tasks = max(SUMMING, SUMMING_A_CORE * training.sparkSession.sparkContext.defaultParallelism)
+    cores = training.sparkSession.sparkContext.defaultParallelism
+    tasks = max(SUMMING, SUMMING_A_CORE * cores, training.rdd.getNumPartitions() // PARTS)
     parts = training.coalesce(tasks).mapInArrow(run, "f int, " + ", ".join(f"{c} double" for c in names))
     rows = parts.groupBy("f").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
     out = np.zeros((n, CLASSES))
