@@ -34,3 +34,14 @@ def test_rows_that_queries_store_are_as_small_as_the_warehouse(spark):
     for file in kept.inputFiles():
         columns = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0)
         assert {columns.column(k).compression for k in range(2)} == {"ZSTD"}
+
+
+def test_a_changed_input_is_read_from_the_same_files(spark):
+    loader = queries.landing(spark, SF_DIR, queries.adapter.REPEATED_PRICE)
+    lacking = queries.lacking_customers(loader)
+    assert lacking.warehouse is loader.warehouse
+    for name in ("transactions", "articles", "customers"):
+        assert sorted(lacking.source(name).inputFiles()) == sorted(loader.source(name).inputFiles())
+    gone = loader.source("customers").exceptAll(lacking.source("customers"))
+    assert {int(r.customer_id) % 50 for r in gone.collect()} == {7}
+    assert lacking.source("transactions").count() == loader.source("transactions").count()
