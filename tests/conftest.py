@@ -5,6 +5,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from landing_files import write_articles
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -59,12 +60,3 @@ def parquet_dir(spark, tmp_path):
                 postal_code)"""
     ).write.parquet(str(folder / "customers.parquet"))
     return str(folder)
-
-
-def write_articles(spark, folder, ids):
-    from starloom.schemas import ARTICLES
-
-    rows = [tuple([i, n] + [f"{i} name"] + [None] * (len(ARTICLES) - 3)) for n, i in enumerate(ids)]
-    spark.createDataFrame(rows, ARTICLES).write.mode("overwrite").parquet(
-        str(Path(folder) / "articles.parquet")
-    )

@@ -23,7 +23,7 @@ def put_sales(spark, folder, rows):
 
 
 def put_articles(spark, folder, ids):
-    from conftest import write_articles
+    from landing_files import write_articles
 
     write_articles(spark, folder, ids)
 
