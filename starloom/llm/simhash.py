@@ -74,7 +74,11 @@ def ball(bits: range, radius: int) -> list[int]:
 
 
 def near(fps: DataFrame, folder: str) -> DataFrame:
-    """Pairs (x, y), x < y, of the distinct fingerprints fp that differ in at most two bits."""
+    """Pairs (x, y), x < y, of the distinct fingerprints fp that differ in at most two bits.
+
+    Spark sizes a table that explode() has made as if it still had a row for each of those before, up to
+    2,081 times too low, and would bring it to the driver to broadcast it. So these joins ask for a merge.
+    """
     upper, lower = range(HALF, 2 * HALF), range(HALF)
 
     def entry(segment: int, fp: Column) -> Column:
@@ -90,13 +94,13 @@ def near(fps: DataFrame, folder: str) -> DataFrame:
     asked = asked.unionByName(fps.select("fp", F.lit(0).cast("long").alias("mask"), entry(1, fp).alias("entry")))
     sizes = held.groupBy("entry").agg(F.count("*").alias("size"))
     # its own entry is no match, if nothing else stands there
-    asked = stored(asked.join(sizes, "entry").where("mask <> 0 or size > 1"), folder, "asked")
+    asked = stored(asked.hint("merge").join(sizes, "entry").where("mask <> 0 or size > 1"), folder, "asked")
 
     distance = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
     pairs = (
         asked.where(f"size <= {ENTRY}")
         .select("entry", F.col("fp").alias("x"))
-        .join(held.select("entry", F.col("fp").alias("y")), "entry")
+        .join(held.select("entry", F.col("fp").alias("y")).hint("merge"), "entry")
         .where((F.col("x") < F.col("y")) & (distance <= DISTANCE))
         .select("x", "y")
     )
@@ -112,7 +116,7 @@ def near(fps: DataFrame, folder: str) -> DataFrame:
     balls = spelled(large.where((segment == 0) & (F.col("mask") != 0)), lower, DISTANCE - 1)
     balls = balls.union(spelled(large.where((segment == 0) & (F.col("mask") == 0)), lower, DISTANCE))
     balls = balls.union(spelled(large.where(segment == 1), upper, DISTANCE))
-    there = balls.join(fps.select(F.col("fp").alias("y")), "y").select("x", "y")
+    there = balls.hint("merge").join(fps.select(F.col("fp").alias("y")), "y").select("x", "y")
     return pairs.union(there).distinct()
 
 

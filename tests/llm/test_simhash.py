@@ -5,9 +5,11 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from texts import sentence
 
 from starloom.llm import simhash
+from starloom.llm.common import stored
 
 
 def brute_fingerprint(text):
@@ -80,6 +82,19 @@ def test_pairs_of_fingerprints_equal_brute_force(spark, monkeypatch, tmp_path, e
     assert set(got) == expected and len(got) == len(expected)
 
 
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch, tmp_path):
+    """Read from a file, so that Spark knows a size, which does not count what explode() adds."""
+    fps = spark.range(2_000).select(F.xxhash64("id").alias("fp"))
+    fps.write.parquet(str(tmp_path / "fps"))
+    monkeypatch.setattr(simhash, "ENTRY", 1)
+    frames = []
+    monkeypatch.setattr(simhash, "stored", lambda frame, *at: frames.append(frame) or stored(frame, *at))
+    frames.append(simhash.near(spark.read.parquet(str(tmp_path / "fps")), str(tmp_path / "scratch")))
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in frames]
+    assert len(plans) == 2 and all("Generate explode" in p and "SortMergeJoin" in p for p in plans)
+    assert not any("BroadcastExchange" in p for p in plans)
+
+
 def test_rows_of_every_shape(spark, odd, nothing):
     assert found(odd) == brute([tuple(r)[:2] for r in odd.select("doc_id", "text").collect()])
     assert found(nothing) == []
