@@ -292,14 +292,18 @@ def _reference_states(rows: DataFrame, checks: list[Check], by: str) -> DataFram
 
 
 def with_parents(keys: DataFrame, checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """Add found to keys: true, or null without a parent. As in relationships(), the join is an outer one."""
+    """Add found to keys: true, or null without a parent. As in relationships(), the join is an outer one.
+
+    It is a merge on purpose: Spark takes one column of wide tables for far smaller than it is, and would
+    bring the keys of all parents to the driver to broadcast them.
+    """
     parents = None
     for i, c in enumerate(checks):
         table, field = c.parent
         own = tables[table].select(F.lit(i).alias("reference"), F.col(field).cast("string").alias("key"))
         parents = own if parents is None else parents.unionByName(own)
     parents = parents.distinct().withColumn("found", F.lit(True))
-    return keys.join(parents, ["reference", "key"], "left")
+    return keys.join(parents.hint("merge"), ["reference", "key"], "left")
 
 
 def _missing(keys: DataFrame, checks: list[Check], tables: dict[str, DataFrame], *by: str) -> DataFrame:

@@ -58,8 +58,9 @@ def _price_events(versions: DataFrame, articles: DataFrame, first: str) -> DataF
         several, _check("dim_article_price_history", "unique", "article_id"), F.col("month"), F.col("change")
     )
 
-    # an article is one row for each of its rows in the file and each current version
-    counted = articles.groupBy("article_id").agg(F.count(F.lit(1)).alias("n"))
+    # an article is one row for each of its rows in the file and each current version; of files with many empty columns
+    # Spark takes one column for next to nothing and would bring all articles to the driver, so the joins ask for a merge
+    counted = articles.groupBy("article_id").agg(F.count(F.lit(1)).alias("n")).hint("merge")
     unique = _check("dim_article", "unique", "article_sk")
     found = found.unionByName(_event(counted.where("n > 1"), unique, F.lit(first), F.lit(1)))
     single = several.join(counted.where("n = 1"), "article_id")

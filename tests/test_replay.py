@@ -1,5 +1,6 @@
 """Check reports: over all rows after every monthly job, and of a whole replay from one pass."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -184,6 +185,16 @@ def test_a_spliced_month_that_dies_leaves_the_versions(spark, warehouse, parquet
     ]
 
 
+def test_articles_and_parents_are_not_broadcast(spark, warehouse, parquet_dir):
+    """The tables are small here; at any size, what a replay's reports bring to the driver does not grow with them."""
+    put_sales(spark, parquet_dir, MESSY)
+    build.replay_history(Landing(warehouse, parquet_dir), RUN)
+    plan = replay.monthly_reports(warehouse)._jdf.queryExecution().executedPlan().toString()
+    joins = {how: re.findall(rf"{how}Join \[(\w+)#\d+(?:, (\w+)#)?", plan) for how in ("SortMerge", "BroadcastHash")}
+    assert {("article_id", ""), ("reference", "key")} <= set(joins["SortMerge"])
+    assert {k for pair in joins["BroadcastHash"] for k in pair}.isdisjoint({"article_id", "key"})
+
+
 def test_a_report_needs_sales(warehouse, parquet_dir, spark):
     put_sales(spark, parquet_dir, "(CAST(NULL AS DATE), 'k1', 'm1', 0.5D, 1)")
     with pytest.raises(ValueError):
