@@ -83,8 +83,12 @@ def current_price(snapshot: DataFrame) -> DataFrame:
 
 
 def dim_article(articles: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Articles with the price of their open version; articles never sold have none."""
-    return articles.join(current_price(snapshot), "article_id", "left").select(
+    """Articles with the price of their open version; articles never sold have none.
+
+    Spark sizes two columns of the versions many times too low, so the join asks for a merge: else the prices
+    of a million articles go to the driver.
+    """
+    return articles.join(current_price(snapshot).hint("merge"), "article_id", "left").select(
         surrogate_key("article_id").alias("article_sk"), *ARTICLE_ATTRIBUTES, "current_price"
     )
 

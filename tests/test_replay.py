@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pytest
 
-from starloom.operators import quality
+from starloom.operators import marts, quality
 from starloom.plans import build, replay
 from starloom.sinks.landing import Landing
 from starloom.sinks.warehouse import Warehouse
@@ -195,6 +195,13 @@ def test_articles_and_parents_are_not_broadcast(spark, warehouse, parquet_dir):
     assert {k for pair in joins["BroadcastHash"] for k in pair}.isdisjoint({"article_id", "key"})
 
 
+def test_open_prices_are_not_broadcast(spark, warehouse, parquet_dir):
+    build.replay_history(Landing(warehouse, parquet_dir), RUN)
+    rows = marts.dim_article(warehouse.table("stg", "stg_articles"), warehouse.table("stg", build.SNAPSHOT))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [article_id" in plan and "Broadcast" not in plan
+
+
 def test_a_report_needs_sales(warehouse, parquet_dir, spark):
     put_sales(spark, parquet_dir, "(CAST(NULL AS DATE), 'k1', 'm1', 0.5D, 1)")
     with pytest.raises(ValueError):
